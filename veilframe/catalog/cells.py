@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from veilframe import fixed_values as fixed
 from veilframe.catalog.keys import NUMBERS
 from veilframe.catalog.registry import query
-from veilframe.catalog.visits import COLUMNS, VISITS_SQL, table, visits
+from veilframe.catalog.visits import COLUMNS, VISITS_SQL, loaded_visits, table, visits
 from veilframe.functions import dates, hashing
 from veilframe.operators import impute, profile
 from veilframe.operators.columns import add_age_range, condition_target_split, hash_identifiers
 from veilframe.plans.policy import (
     column_types, policy_rows, policy_table, resolve_roles, role_by_name, route_direct,
 )
-from veilframe.session import new_path, written
+from veilframe.session import new_path
 from veilframe.sources.tables import scan_csv, write_csv
 
 TYPES = {
@@ -56,7 +56,7 @@ MEDIANS = ["CODE", "TOTAL_CLAIM_COST", "REASONCODE", "total_medication_cost", "B
   {", ".join(f'coalesce(CAST("{c}" AS DOUBLE), (SELECT median("{c}") FROM visits)) AS "{c}"' for c in MEDIANS)}
   FROM visits""")
 def impute_median(spark, sf_dir):
-    df = visits(spark, sf_dir, ["order_key", *MEDIANS])
+    df = loaded_visits(spark, sf_dir, ["order_key", *MEDIANS])
     return impute.fill_numbers(df, MEDIANS, impute.exact_medians(df, MEDIANS))
 
 
@@ -68,7 +68,7 @@ def _nulls(columns):
 SELECT {_nulls(COLUMNS)} AS missing_before, CAST(0 AS BIGINT) AS missing_after,
        {_nulls(COLUMNS)} AS filled FROM visits""")
 def impute_delta(spark, sf_dir):
-    df = visits(spark, sf_dir)
+    df = loaded_visits(spark, sf_dir)
     numbers = [*NUMBERS, "REASONCODE"]
     filled = impute.fill_numbers(impute.fill_text(df), numbers, impute.exact_medians(df, numbers))
     return impute.missing_delta(df, filled)
@@ -105,7 +105,7 @@ def profile_columns(spark, sf_dir):
 SELECT "column", {_category(DIRECT_PATTERN, QUASI_PATTERN)} AS category, dtype, unique_values, missing_values
 FROM counted""")
 def feature_metadata(spark, sf_dir):
-    return profile.feature_metadata(visits(spark, sf_dir))
+    return profile.feature_metadata(loaded_visits(spark, sf_dir))
 
 
 @query("classify_columns", f"""{VISITS_SQL}, counted AS ({_per_column(" count({c}) AS cells")})
@@ -179,7 +179,7 @@ SELECT x.*, y.* EXCLUDE (order_key) FROM
   (SELECT order_key, "ENCOUNTERCLASS", "CODE", "BASE_ENCOUNTER_COST", "TOTAL_CLAIM_COST", "REASONCODE", "PAYER"
    FROM visits) AS y ON x.order_key = y.order_key""")
 def split(spark, sf_dir):
-    df = written(visits(spark, sf_dir), "visits")
+    df = loaded_visits(spark, sf_dir)
     x, y = condition_target_split(df, "order_key", fixed.SAMPLE_CONDITIONS, fixed.SAMPLE_TARGETS)
     return x.join(y, "order_key")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veilframe.catalog.registry import query
-from veilframe.catalog.visits import VISITS_SQL, visits
+from veilframe.catalog.visits import COLUMNS, VISITS_SQL, loaded_visits, visits
 from veilframe.operators.columns import drop_identifiers, first_rows, generalize_years
 from veilframe.operators.dictionary import (
     NAMESPACES, alternate_namespaces, apply_dictionary, build_dictionary, export_dictionary,
@@ -85,7 +85,7 @@ def _register_single(query_name: str, name: str) -> None:
 
     @query(query_name, sql)
     def run(spark, sf_dir):
-        df = visits(spark, sf_dir, ["order_key", *spec.columns])
+        df = loaded_visits(spark, sf_dir, ["order_key", *spec.columns])
         return apply_dictionary(df, build_dictionary(df, "order_key", {name: spec}), {name: spec})
 
 
@@ -115,7 +115,7 @@ FROM ids LEFT JOIN dict a ON a.original = "PATIENT" LEFT JOIN dict b ON b.origin
     "printf('%s%04d', a.prefix, a.seq)", "a.prefix || printf('%04d', a.seq)").replace(
     "printf('%s%04d', b.prefix, b.seq)", "b.prefix || printf('%04d', b.seq)"))
 def pseudonymize_id_patient(spark, sf_dir):
-    df = visits(spark, sf_dir, ["order_key", "PATIENT", "Id_patient"])
+    df = loaded_visits(spark, sf_dir, ["order_key", "PATIENT", "Id_patient"])
     df = df.withColumn("PATIENT", F.when(F.col("order_key") % 2 == 0, F.col("PATIENT")))
     spec = {"patients": alternate_namespaces()["patients"]}
     return apply_dictionary(df, build_dictionary(df, "order_key", spec), spec)
@@ -146,7 +146,7 @@ BATCHES_SQL = f"""{VISITS_SQL}, batches AS (
 
 
 def _two_batches(spark, sf_dir, columns):
-    df = visits(spark, sf_dir, columns)
+    df = loaded_visits(spark, sf_dir, columns)
     return df.where(F.col("START") < "1998"), df.where(~(F.col("START") < "1998"))
 
 
@@ -246,7 +246,7 @@ LEFT JOIN dict AS r ON r.namespace = 'reason_codes' AND r.original = v.reason"""
 
 @query("deidentify_rules", RULES_SQL)
 def rules(spark, sf_dir):
-    return deidentify_rules(visits(spark, sf_dir), "order_key").output
+    return deidentify_rules(loaded_visits(spark, sf_dir), "order_key").output
 
 
 YEARS_AS_TEXT_SQL = ", ".join(
@@ -264,7 +264,7 @@ LEFT JOIN dict AS r ON r.namespace = 'reason_codes' AND r.original = CAST(v."REA
 
 @query("deidentify_rules_as_published", RULES_AS_PUBLISHED_SQL)
 def rules_as_published(spark, sf_dir):
-    return deidentify_rules(visits(spark, sf_dir), "order_key", as_published=True).output
+    return deidentify_rules(loaded_visits(spark, sf_dir), "order_key", as_published=True).output
 
 
 @query("deidentify_incremental", BATCHES_SQL.replace(
@@ -277,7 +277,7 @@ SELECT v.order_key, d0.pseudonym AS "Id_encounter", d1.pseudonym AS "PATIENT", d
 FROM visits AS v {LOOKUP_JOINS}
 LEFT JOIN dict AS r ON r.namespace = 'reason_codes' AND r.original = CAST(CAST(v."REASONCODE" AS BIGINT) AS VARCHAR)""")
 def incremental(spark, sf_dir):
-    older, newer = _two_batches(spark, sf_dir, visits(spark, sf_dir).columns)
+    older, newer = _two_batches(spark, sf_dir, COLUMNS)
     first = deidentify_incremental(older, "order_key", None)
     second = deidentify_incremental(newer, "order_key", first.dictionary)
     return first.output.unionByName(second.output)
@@ -295,7 +295,7 @@ SELECT (SELECT count(*) FROM visits) AS total_records, CAST(20 AS BIGINT) AS tot
        'Column Deletion, Encounter ID Pseudonymization, Date Generalization, Organization Grouping, '
        || 'Patient Pseudonymization, Payer Mapping, Id_payer Mapping, Reason Code Mapping' AS methods""")
 def summary(spark, sf_dir):
-    done = deidentify_rules(visits(spark, sf_dir), "order_key")
+    done = deidentify_rules(loaded_visits(spark, sf_dir), "order_key")
     report = summary_report(done.output, done.dictionary, done.removed, done.generalized)
     return report.select(
         "total_records", "total_columns", "mappings_generated.*", "columns_removed",
@@ -306,7 +306,7 @@ def summary(spark, sf_dir):
 @query("run_audit", """SELECT 'visits' AS input, 'rules' AS job, '1' AS policy_version,
   (SELECT count(*) FROM orders) AS rows_in, (SELECT count(*) FROM orders) AS rows_out""")
 def audit(spark, sf_dir):
-    df = visits(spark, sf_dir)
+    df = loaded_visits(spark, sf_dir)
     done = deidentify_rules(df, "order_key", fill=False)
     rows_in = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     return run_audit(rows_in, done.output, {"input": "visits", "job": "rules", "policy_version": "1"})

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veilframe.session import written
+
 STAMP = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -40,7 +42,9 @@ def _from_lines():
             F.col("o_orderkey") % 5 == 0, (100000 + F.col("first_part") % 56).cast("double")
         ),
         "STOP": F.date_format("last_ship", STAMP),
-        "condition_dates": F.array_join("ship_days", "; "),
+        "condition_dates": F.array_join(
+            F.transform(F.array_sort("ship_days"), lambda day: day.cast("string")), "; "
+        ),
         "CODE": F.col("first_part"),
         "TOTAL_CLAIM_COST": F.col("claim").cast("double") / 10000,
     }
@@ -54,7 +58,7 @@ def _line_totals():
         "first_part": F.min("l_partkey"),
         "last_ship": F.max("l_shipdate"),
         # Distinct calendar days: bounded by the calendar, not by the number of lines.
-        "ship_days": F.array_sort(F.collect_set(F.date_format("l_shipdate", "yyyy-MM-dd"))),
+        "ship_days": F.collect_set(F.col("l_shipdate").cast("date")),
         "claim": F.sum(cents * (100 - percent)),
     }
 
@@ -120,6 +124,12 @@ def visits(spark: SparkSession, sf_dir: str, columns: Sequence[str] = COLUMNS) -
     return df.select(*[made[c].alias(c) for c in columns])
 
 
+def loaded_visits(spark: SparkSession, sf_dir: str, columns: Sequence[str] = COLUMNS) -> DataFrame:
+    """The visits as a written table, for jobs that read their input more than once:
+    the joins that make it are then run once."""
+    return written(visits(spark, sf_dir, columns), "visits")
+
+
 # The same table for DuckDB. Starts a WITH clause.
 VISITS_SQL = """
 WITH line_totals AS (
