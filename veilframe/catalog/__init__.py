@@ -6,7 +6,7 @@ import importlib
 
 from veilframe.catalog.registry import QUERIES, Query
 
-MODULES = ("keys", "cells")
+MODULES = ("keys", "cells", "measures", "synthetic")
 
 
 def load_all() -> dict[str, Query]:
