@@ -9,8 +9,8 @@ from veilframe.functions import dates, hashing
 from veilframe.operators import encode, impute, privacy, series, utility
 from veilframe.operators.columns import add_age_range, drop_identifiers, first_rows, generalize_years
 from veilframe.operators.dictionary import (
-    NAMESPACES, Namespace, alternate_namespaces, apply_dictionary, build_dictionary, load_dictionary,
-    save_dictionary,
+    NAMESPACES, Namespace, alternate_namespaces, append_entries, apply_dictionary, build_dictionary,
+    load_dictionary, new_entries,
 )
 from veilframe.operators.synth import cycled_conditions
 from veilframe.plans.policy import column_types, load_roles, policy_rows, present_columns, resolve_roles
@@ -78,13 +78,24 @@ def test_second_batch_goes_on_counting(spark, tmp_path):
     spec, folder = {"payers": NAMESPACES["payers"]}, str(tmp_path / "dictionary")
     assert load_dictionary(spark, folder) is None
     first = keyed(spark, "PAYER string", ("a",), ("b",))
-    save_dictionary(build_dictionary(first, "n", spec), folder)
+    append_entries(new_entries(first, "n", spec), folder)
     second = keyed(spark, "PAYER string", ("b",), ("c",))
-    assert save_dictionary(build_dictionary(second, "n", spec, load_dictionary(spark, folder)), folder) == 2
+    for _ in range(2):  # a batch that runs twice adds nothing the second time
+        append_entries(new_entries(second, "n", spec, load_dictionary(spark, folder)), folder)
+    assert load_dictionary(spark, folder).count() == 3
     got = {r.original: r.seq for r in load_dictionary(spark, folder).collect()}
     assert got == {"a": 1, "b": 2, "c": 3}
 
 
+def test_large_namespaces_are_looked_up_on_the_keys_alone(spark):
+    df = keyed(spark, "PATIENT string, Id_patient string, PAYER string, other string",
+               ("x", "y", "p", "1"), ("y", None, "q", "2"), ("Unknown", "x", "p", None))
+    known = build_dictionary(df, "n")
+    direct, split = apply_dictionary(df, known), apply_dictionary(df, known, row_key="n", large_entries=1)
+    assert split.columns == direct.columns == df.columns
+    assert split.orderBy("n").collect() == direct.orderBy("n").collect()
+
+
 def test_a_key_the_dictionary_lacks_never_leaks(spark):
     spec = {"payers": NAMESPACES["payers"]}
     known = build_dictionary(keyed(spark, "PAYER string", ("a",)), "n", spec)

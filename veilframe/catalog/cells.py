@@ -11,6 +11,7 @@ from veilframe.catalog.visits import COLUMNS, VISITS_SQL, loaded_visits, table,
 from veilframe.functions import dates, hashing
 from veilframe.operators import impute, profile
 from veilframe.operators.columns import add_age_range, condition_target_split, hash_identifiers
+from veilframe.operators.dictionary import Namespace, apply_dictionary, random_entries
 from veilframe.plans.policy import (
     column_types, policy_rows, policy_table, resolve_roles, role_by_name, route_direct,
 )
@@ -246,6 +247,30 @@ def pseudonymize_uuid(spark, sf_dir):
     return hash_identifiers(visits(spark, sf_dir, ["order_key", *columns]), {"id": columns}, id_salt="s1")
 
 
+ID_COLUMNS = ["Id_encounter", "PATIENT", "Id_payer"]
+
+
+@query("pseudonymize_uuid_random", VISITS_SQL + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count("{c}") AS cells, count(DISTINCT "{c}") AS originals,
+    count(DISTINCT "{c}") AS pseudonyms, CAST(0 AS BIGINT) AS unchanged FROM visits""" for c in ID_COLUMNS))
+def pseudonymize_uuid_random(spark, sf_dir):
+    """The UUIDs differ from run to run; what must hold is one per key, and no key left."""
+    df = loaded_visits(spark, sf_dir, ["order_key", *ID_COLUMNS])
+    spec = {"ids": Namespace(tuple(ID_COLUMNS), "", 0)}
+    output = apply_dictionary(df, random_entries(df, ID_COLUMNS), spec)
+    renamed = output.select("order_key", *[F.col(c).alias(f"new_{c}") for c in ID_COLUMNS])
+    both = df.join(renamed, "order_key")
+    cells = both.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("old"), F.col(f"new_{c}").alias("new"))
+        for c in ID_COLUMNS
+    ])).alias("c")).select("c.*").groupBy("column", "old", "new").agg(F.count(F.lit(1)).alias("n"))
+    per_key = cells.groupBy("column", "old").agg(
+        F.sum("n").alias("n"), F.count("new").alias("news"), F.count_if(F.col("old") == F.col("new")).alias("same"))
+    return per_key.groupBy("column").agg(
+        F.sum("n").alias("cells"), F.count("old").alias("originals"), F.sum("news").alias("pseudonyms"),
+        F.sum("same").alias("unchanged"))
+
+
 # ---- dates ---------------------------------------------------------------------------
 
 

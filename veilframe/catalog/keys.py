@@ -8,8 +8,8 @@ from veilframe.catalog.registry import query
 from veilframe.catalog.visits import COLUMNS, VISITS_SQL, loaded_visits, visits
 from veilframe.operators.columns import drop_identifiers, first_rows, generalize_years
 from veilframe.operators.dictionary import (
-    NAMESPACES, alternate_namespaces, apply_dictionary, build_dictionary, export_dictionary,
-    load_dictionary, save_dictionary,
+    NAMESPACES, SCHEMA, alternate_namespaces, append_entries, apply_dictionary, build_dictionary,
+    export_dictionary, load_dictionary, new_entries,
 )
 from veilframe.operators.report import mapping_summary, run_audit, summary_report
 from veilframe.plans.rules import deidentify_incremental, deidentify_rules
@@ -153,9 +153,9 @@ def _two_batches(spark, sf_dir, columns):
 @query("dict_incremental", BATCHES_SQL + "SELECT namespace, original, seq, pseudonym FROM dict")
 def dict_incremental(spark, sf_dir):
     older, newer = _two_batches(spark, sf_dir, [*KEYS, "START"])
-    folder = new_path(spark, "versions")
-    save_dictionary(build_dictionary(older, "order_key"), folder)
-    save_dictionary(build_dictionary(newer, "order_key", known=load_dictionary(spark, folder)), folder)
+    folder = new_path(spark, "saved")
+    append_entries(new_entries(older, "order_key"), folder)
+    append_entries(new_entries(newer, "order_key", known=load_dictionary(spark, folder)), folder)
     return load_dictionary(spark, folder)
 
 
@@ -163,9 +163,7 @@ def dict_incremental(spark, sf_dir):
 def dict_export(spark, sf_dir):
     path = new_path(spark, "export")
     export_dictionary(build_dictionary(visits(spark, sf_dir, KEYS), "order_key"), path)
-    return spark.read.schema(
-        "original string, seq bigint, pseudonym string, namespace string"
-    ).json(path)
+    return spark.read.schema(SCHEMA).json(path)
 
 
 @query("mapping_summary", f"""{VISITS_SQL}{dictionary_sql('visits')}
@@ -246,7 +244,7 @@ LEFT JOIN dict AS r ON r.namespace = 'reason_codes' AND r.original = v.reason"""
 
 @query("deidentify_rules", RULES_SQL)
 def rules(spark, sf_dir):
-    return deidentify_rules(loaded_visits(spark, sf_dir), "order_key").output
+    return deidentify_rules(loaded_visits(spark, sf_dir), "order_key", row_key="order_key").output
 
 
 YEARS_AS_TEXT_SQL = ", ".join(

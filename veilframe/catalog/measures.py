@@ -279,15 +279,16 @@ def _ks(c: str) -> str:
              sum(count(*) FILTER (side = 1)) OVER (ORDER BY v) / (SELECT count("{c}") FROM changed) AS f2
       FROM (SELECT CAST("{c}" AS DOUBLE) AS v, 0 AS side FROM visits UNION ALL SELECT CAST("{c}" AS DOUBLE), 1 FROM changed)
       WHERE v IS NOT NULL GROUP BY v)) AS ks_distance,
-    round((SELECT avg("{c}") FROM changed) - (SELECT avg("{c}") FROM visits), 4) AS mean_change,
-    round((SELECT stddev_pop("{c}") FROM changed) - (SELECT stddev_pop("{c}") FROM visits), 4) AS std_change"""
+    round((SELECT avg("{c}") FROM changed) - (SELECT avg("{c}") FROM visits), 4) + 0.0 AS mean_change,
+    round((SELECT stddev_pop("{c}") FROM changed) - (SELECT stddev_pop("{c}") FROM visits), 4) + 0.0 AS std_change"""
 
 
 @query("dist_similarity_numbers", CHANGED_SQL + " UNION ALL ".join(_ks(c) for c in AMOUNTS))
 def dist_similarity_numbers(spark, sf_dir):
     found = utility.number_distance(*_compared(spark, sf_dir, AMOUNTS), AMOUNTS)
     return found.select("feature", F.round("ks_distance", 9).alias("ks_distance"),
-                        F.round("mean_change", 4).alias("mean_change"), F.round("std_change", 4).alias("std_change"))
+                        (F.round("mean_change", 4) + 0.0).alias("mean_change"),
+                        (F.round("std_change", 4) + 0.0).alias("std_change"))  # no negative zero
 
 
 @query("completeness", CHANGED_SQL + " UNION ALL ".join(

@@ -9,7 +9,7 @@ from veilframe.catalog.measures import Y_NUMBERS, Y_TEXT
 from veilframe.catalog.registry import query
 from veilframe.catalog.visits import VISITS_SQL, loaded_visits, table, visits
 from veilframe.operators.columns import add_age_range, assemble_output
-from veilframe.operators.synth import band, condition_cell, cycled_conditions, synthesise
+from veilframe.operators.synth import band, condition_cell, cycled_conditions, synthesise, synthesise_samples
 from veilframe.plans.hybrid import clinical_cell, clinical_sample, deidentify_hybrid, run_all
 
 CELL_SQL = "\"ENCOUNTERCLASS\" || '|' || CAST(CAST(floor(\"BASE_ENCOUNTER_COST\" / 100000) AS BIGINT) AS VARCHAR)"
@@ -107,6 +107,19 @@ def sample_cycle(spark, sf_dir):
     return cycled_conditions(df, "order_key", samples)
 
 
+@query("synth_samples", f"""{VISITS_SQL}, places AS (
+  SELECT *, row_number() OVER (ORDER BY order_key) - 1 AS place, count(*) OVER () AS n FROM visits
+), cycled AS (
+  SELECT sample, "ENCOUNTERCLASS", "BASE_ENCOUNTER_COST" FROM places JOIN (
+    SELECT unnest(generate_series(0, (SELECT count(*) FROM orders) + 499)) AS sample) ON place = sample % n)
+{synth_sql("visits", CELL_SQL, ["MARITAL", "STATE"], "5", 1, "cycled", "sample")} SELECT * FROM drawn""")
+def synth_samples(spark, sf_dir):
+    df = loaded_visits(spark, sf_dir, ["order_key", "ENCOUNTERCLASS", "BASE_ENCOUNTER_COST", "MARITAL", "STATE"])
+    conditions = df.select("order_key", "ENCOUNTERCLASS", "BASE_ENCOUNTER_COST")
+    samples = df.count() + 500
+    return synthesise_samples(df, conditions, "order_key", samples, clinical_cell(df), ["MARITAL", "STATE"], "5")
+
+
 @query("assemble_output", f"""{VISITS_SQL}{synth_sql("visits", CELL_SQL, TARGETS, "42")}
 SELECT v.order_key, "Id_encounter", d."MARITAL", d."CITY", d."STATE", {AGE_RANGE_SQL} AS "AGE_RANGE",
   "ENCOUNTERCLASS", "BASE_ENCOUNTER_COST"

@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe import fixed_values
@@ -19,6 +20,10 @@ from veilframe.operators.ordering import ROWS_PER_BUCKET, numbered
 from veilframe.session import written
 
 COLUMNS = ["namespace", "original", "seq", "pseudonym"]
+SCHEMA = "original string, seq bigint, pseudonym string, namespace string"
+
+# More entries than Catalyst would send to every executor (10 MB of files).
+LARGE_ENTRIES = 150_000
 
 
 @dataclass(frozen=True)
@@ -110,7 +115,7 @@ def _label(namespaces: Mapping[str, Namespace]) -> Column:
     return label
 
 
-def build_dictionary(
+def new_entries(
     df: DataFrame,
     order_key: str,
     namespaces: Mapping[str, Namespace] = NAMESPACES,
@@ -118,10 +123,10 @@ def build_dictionary(
     placeholder: str | None = fixed_values.UNKNOWN,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Number the distinct keys of each namespace in the order they are first met.
+    """The keys a known dictionary lacks, numbered in the order they are first met.
 
-    With a `known` dictionary its entries stay as they are, and only keys it lacks
-    are numbered, from the next free number on.
+    Numbers go on from the last one of the namespace; without a known dictionary they
+    start at 1.
     """
     namespaces = present(df, namespaces)
     keys = first_seen(df, order_key, namespaces, placeholder)
@@ -130,69 +135,112 @@ def build_dictionary(
     keys = written(keys, "first_seen")
     fresh = numbered(keys, ["place", "first_row", "original"], "seq", ["namespace"], rows_per_bucket)
     if known is not None:
-        # One row per namespace, and the namespaces are listed in the policy.
-        used = known.groupBy("namespace").agg(F.max("seq").alias("used"))
-        fresh = fresh.join(F.broadcast(used), "namespace", "left").withColumn(
-            "seq", F.col("seq") + F.coalesce("used", F.lit(0))
-        )
+        used = dict(known.groupBy("namespace").agg(F.max("seq")).collect())  # one per namespace
+        shift = F.lit(0)
+        for name, last in used.items():
+            shift = F.when(F.col("namespace") == name, F.lit(last)).otherwise(shift)
+        fresh = fresh.withColumn("seq", F.col("seq") + shift)
     entries = fresh.select(
         "namespace", "original", F.col("seq").cast("bigint").alias("seq"),
         _label(namespaces).alias("pseudonym"),
     )
-    if known is not None:
-        entries = known.select(*COLUMNS).unionByName(entries)
     return written(entries, "dictionary", by="namespace").select(*COLUMNS)
 
 
+def build_dictionary(
+    df: DataFrame,
+    order_key: str,
+    namespaces: Mapping[str, Namespace] = NAMESPACES,
+    known: DataFrame | None = None,
+    placeholder: str | None = fixed_values.UNKNOWN,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """The known entries, unchanged, and those of the keys met here for the first time."""
+    fresh = new_entries(df, order_key, namespaces, known, placeholder, rows_per_bucket)
+    return fresh if known is None else known.select(*COLUMNS).unionByName(fresh)
+
+
+def random_entries(
+    df: DataFrame, columns: Sequence[str], known: DataFrame | None = None, namespace: str = "ids"
+) -> DataFrame:
+    """A random UUID for each distinct key of the columns, all in one namespace.
+
+    The entries are written before anyone reads them: a UUID is made anew whenever it is
+    computed again.
+    """
+    keys = df.select(F.explode(F.array(*[key_text(df, c) for c in columns])).alias("original"))
+    keys = keys.where(~is_missing(F.col("original"))).distinct()
+    if known is not None:
+        here = known.where(F.col("namespace") == namespace).select("original")
+        keys = keys.join(here, "original", "left_anti")
+    entries = keys.select(
+        F.lit(namespace).alias("namespace"), "original", F.lit(None).cast("bigint").alias("seq"),
+        F.uuid().alias("pseudonym"),
+    )
+    return written(entries, "random", by="namespace").select(*COLUMNS)
+
+
+def _replaced(df, dictionary, columns, placeholder):
+    """Replace each (namespace, column) by its pseudonym."""
+    for name, column in columns:
+        entry = dictionary.where(F.col("namespace") == name).select(
+            F.col("original").alias("_original"), F.col("pseudonym").alias("_pseudonym")
+        )
+        text = key_text(df, column)
+        pseudonym = F.when(_skipped(text, placeholder), text).otherwise(F.col("_pseudonym"))
+        kept = [pseudonym.alias(c) if c == column else F.col(f"`{c}`") for c in df.columns]
+        df = df.join(entry, text == F.col("_original"), "left").select(*kept)
+    return df
+
+
 def apply_dictionary(
     df: DataFrame,
     dictionary: DataFrame,
     namespaces: Mapping[str, Namespace] = NAMESPACES,
     placeholder: str | None = fixed_values.UNKNOWN,
+    row_key: str | None = None,
+    large_entries: int = LARGE_ENTRIES,
 ) -> DataFrame:
     """Replace every key column by its pseudonym.
 
     Null, empty and placeholder keys pass through. A key the dictionary lacks becomes
     null: an original must never reach the output.
+
+    Each namespace too large to be sent to every executor costs a shuffle of the table.
+    With a `row_key` (a column unique per row) two or more of them are looked up on the
+    key columns alone, and the wide rows are shuffled once, to take the result in.
     """
-    for name, spec in present(df, namespaces).items():
-        for column in spec.columns:
-            entry = dictionary.where(F.col("namespace") == name).select(
-                F.col("original").alias("_original"), F.col("pseudonym").alias("_pseudonym")
-            )
-            text = key_text(df, column)
-            replaced = F.when(_skipped(text, placeholder), text).otherwise(F.col("_pseudonym"))
-            order = [replaced.alias(c) if c == column else F.col(f"`{c}`") for c in df.columns]
-            df = df.join(entry, text == F.col("_original"), "left").select(*order)
-    return df
+    columns = [(n, c) for n, spec in present(df, namespaces).items() for c in spec.columns]
+    large = []
+    if row_key is not None and len(columns) > 1:
+        sizes = dict(namespace_sizes(dictionary).collect())  # one per namespace
+        large = [(n, c) for n, c in columns if sizes.get(n, 0) > large_entries]
+    if len(large) < 2:
+        return _replaced(df, dictionary, columns, placeholder)
+    moved = [c for _, c in large]
+    narrow = _replaced(df.select(row_key, *moved), dictionary, large, placeholder)
+    small = [pair for pair in columns if pair not in large]
+    wide = _replaced(df.drop(*moved), dictionary, small, placeholder)
+    return wide.join(narrow, row_key).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def namespace_sizes(dictionary: DataFrame) -> DataFrame:
     return dictionary.groupBy("namespace").agg(F.count(F.lit(1)).alias("entries"))
 
 
-def save_dictionary(dictionary: DataFrame, folder: str) -> int:
-    """Write the next version beside the older ones; nothing being read is overwritten."""
-    version = (latest_version(dictionary.sparkSession, folder) or 0) + 1
-    dictionary.write.partitionBy("namespace").parquet(f"{folder}/version={version}")
-    return version
-
+def append_entries(entries: DataFrame, folder: str) -> None:
+    """Add new entries to a saved dictionary. Files already there are never rewritten."""
+    entries.write.mode("append").partitionBy("namespace").parquet(folder)
 
-def latest_version(spark, folder: str) -> int | None:
-    from pyspark.errors import AnalysisException
 
+def load_dictionary(spark: SparkSession, folder: str) -> DataFrame | None:
+    """A saved dictionary; None where nothing has been saved yet."""
     try:
-        saved = spark.read.parquet(folder)
-    except AnalysisException:  # nothing saved yet
-        return None
-    return saved.agg(F.max("version")).first()[0]
-
-
-def load_dictionary(spark, folder: str) -> DataFrame | None:
-    version = latest_version(spark, folder)
-    if version is None:
+        return spark.read.schema(SCHEMA).parquet(folder).select(*COLUMNS)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return spark.read.parquet(f"{folder}/version={version}").select(*COLUMNS)
 
 
 def export_dictionary(dictionary: DataFrame, path: str, namespaces: Sequence[str] | None = None) -> None:

@@ -43,12 +43,11 @@ def decode_labels(df: DataFrame, state: DataFrame, columns: Sequence[str], clip:
     With `clip`, codes are rounded half to even and moved into the known range;
     otherwise they are cut to whole numbers and unknown ones become null.
     """
-    top = state.groupBy("feature").agg(F.max("code").alias("code"))
-    top = top.agg(F.map_from_entries(F.collect_list(F.struct("feature", "code"))).alias("m")).scalar()
+    top = dict(state.groupBy("feature").agg(F.max("code")).collect()) if clip else {}  # one per column
     for column in columns:
         number = F.col(f"`{column}`").cast("double")
         if clip:
-            code = F.least(F.greatest(F.rint(number).cast("bigint"), F.lit(0)), top[F.lit(column)])
+            code = F.least(F.greatest(F.rint(number).cast("bigint"), F.lit(0)), F.lit(top[column]))
             code = F.when(number.isNotNull(), code)
         else:
             code = number.cast("bigint")
@@ -69,38 +68,37 @@ def scale_state(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _scaled(df: DataFrame, state: DataFrame, columns: Sequence[str], formula) -> DataFrame:
-    entry = F.struct("feature", F.struct("lo", "hi", "mean", "std"))
-    by_column = state.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
-    return df.select(*[
-        formula(F.col(f"`{c}`").cast("double"), by_column[F.lit(c)]).alias(c) if c in columns
-        else F.col(f"`{c}`")
-        for c in df.columns
-    ])
+    by_column = {r.feature: r for r in state.collect()}  # four numbers per column
+
+    def scaled(column):
+        if by_column[column].lo is None:  # no value to scale by
+            return F.lit(None).cast("double").alias(column)
+        return formula(F.col(f"`{column}`").cast("double"), by_column[column]).alias(column)
+
+    return df.select(*[scaled(c) if c in columns else F.col(f"`{c}`") for c in df.columns])
 
 
 def scale_minmax(df: DataFrame, state: DataFrame, columns: Sequence[str]) -> DataFrame:
     """To [-1, 1]; a constant column becomes -1."""
     def formula(x, s):
-        width = s["hi"] - s["lo"]
-        return F.when(width == 0, F.when(x.isNotNull(), F.lit(-1.0))).otherwise(2 * (x - s["lo"]) / width - 1)
+        if s.lo == s.hi:
+            return F.when(x.isNotNull(), F.lit(-1.0))
+        return 2 * (x - s.lo) / (s.hi - s.lo) - 1
 
     return _scaled(df, state, columns, formula)
 
 
 def unscale_minmax(df: DataFrame, state: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _scaled(df, state, columns, lambda x, s: (x + 1) * (s["hi"] - s["lo"]) / 2 + s["lo"])
+    return _scaled(df, state, columns, lambda x, s: (x + 1) * (s.hi - s.lo) / 2 + s.lo)
 
 
 def scale_standard(df: DataFrame, state: DataFrame, columns: Sequence[str]) -> DataFrame:
     """To mean 0 and population standard deviation 1; a constant column becomes 0."""
-    def formula(x, s):
-        return (x - s["mean"]) / F.when(s["std"] == 0, F.lit(1.0)).otherwise(s["std"])
-
-    return _scaled(df, state, columns, formula)
+    return _scaled(df, state, columns, lambda x, s: (x - s.mean) / (s.std or 1.0))
 
 
 def unscale_standard(df: DataFrame, state: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _scaled(df, state, columns, lambda x, s: x * s["std"] + s["mean"])
+    return _scaled(df, state, columns, lambda x, s: x * (s.std or 1.0) + s.mean)
 
 
 def save_prepared(tables: Mapping[str, DataFrame], folder: str) -> None:

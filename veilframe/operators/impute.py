@@ -106,18 +106,19 @@ def fill_numbers(
     """Fill with each column's median, or with 0 when no medians are given.
 
     Filled columns become doubles: the median of whole numbers may lie between two.
-    The medians are one small map, read once by a scalar subquery.
     """
     columns = number_columns(df) if columns is None else list(columns)
     if medians is None:
         return df.na.fill(0, subset=columns)
-    entries = F.map_from_entries(F.collect_list(F.struct("feature", "median")))
-    by_column = medians.agg(entries.alias("m")).scalar()
-    return df.select(*[
-        F.coalesce(F.col(f"`{c}`").cast("double"), by_column[F.lit(c)]).alias(c) if c in columns
-        else F.col(f"`{c}`")
-        for c in df.columns
-    ])
+    known = {r.feature: r.median for r in medians.collect()}  # one number per column
+
+    def filled(column):
+        number = F.col(f"`{column}`").cast("double")
+        if known.get(column) is not None:
+            number = F.coalesce(number, F.lit(known[column]))
+        return number.alias(column)
+
+    return df.select(*[filled(c) if c in columns else F.col(f"`{c}`") for c in df.columns])
 
 
 def missing_delta(before: DataFrame, after: DataFrame) -> DataFrame:

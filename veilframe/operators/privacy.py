@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from veilframe import fixed_values as fixed
 from veilframe.functions.guards import is_missing, key_text
 from veilframe.operators.profile import one_row_per_column
 from veilframe.plans.policy import present_columns
+from veilframe.session import written
 
 
 def k_anonymity(df: DataFrame, quasi: Sequence[str], k: int) -> DataFrame:
@@ -40,26 +43,29 @@ def l_diversity(df: DataFrame, quasi: Sequence[str], sensitive: str, l: int) ->
     )
 
 
-def _class_id(quasi: Sequence[str]):
-    """One text per class, so that classes can be joined with plain equality."""
-    return F.to_json(F.struct(*[F.col(f"`{q}`") for q in quasi]), {"ignoreNullFields": "false"})
-
-
 def t_closeness(df: DataFrame, quasi: Sequence[str], sensitive: str) -> DataFrame:
     """worst_distance, mean_distance, classes: half the summed difference between the
     shares of the sensitive values in a class and in the whole table.
 
     Values a class lacks add their whole-table share, which is what the values it has
-    leave of 1; no grid of classes by values is needed.
+    leave of 1; no grid of classes by values is needed. The rows are counted once, into
+    (class, value), and everything else works on the counts.
     """
-    cells = df.groupBy(_class_id(quasi).alias("class"), F.col(f"`{sensitive}`").alias("v"))
-    cells = cells.agg(F.count(F.lit(1)).alias("n"))
-    in_class = cells.groupBy("class").agg(F.sum("n").alias("n_class"))
-    overall = cells.groupBy(F.col("v").alias("gv")).agg(F.sum("n").alias("n_value"))
-    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    shares = cells.join(in_class, "class").join(overall, F.col("v").eqNullSafe(F.col("gv")))
+    named = [F.col(f"`{q}`").alias(f"_q{i}") for i, q in enumerate(quasi)]
+    classes = [f"_q{i}" for i in range(len(named))]
+    cells = df.groupBy(*named, F.col(f"`{sensitive}`").alias("_v")).agg(F.count(F.lit(1)).alias("n"))
+    cells = written(cells, "class_values")
+    rows = cells.agg(F.sum("n").alias("rows")).scalar()
+
+    def total(keys, name):
+        return cells.groupBy(*[F.col(k).alias(f"{k}_") for k in keys]).agg(F.sum("n").alias(name))
+
+    def same(keys):
+        return reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys])
+
+    shares = cells.join(total(classes, "n_class"), same(classes)).join(total(["_v"], "n_value"), same(["_v"]))
     p, q = F.col("n") / F.col("n_class"), F.col("n_value") / rows
-    distance = shares.groupBy("class").agg(((F.sum(F.abs(p - q) - q) + 1) / 2).alias("d"))
+    distance = shares.groupBy(*classes).agg(((F.sum(F.abs(p - q) - q) + 1) / 2).alias("d"))
     return distance.agg(
         F.max("d").alias("worst_distance"), F.avg("d").alias("mean_distance"),
         F.count(F.lit(1)).alias("classes"),
@@ -95,7 +101,7 @@ def t_closeness_ordered(
 def referential_integrity(pairs: DataFrame) -> DataFrame:
     """Per namespace of (namespace, original, pseudonym): distinct pairs, originals with
     several pseudonyms, pseudonyms with several originals."""
-    distinct = pairs.select("namespace", "original", "pseudonym").distinct()
+    distinct = written(pairs.select("namespace", "original", "pseudonym").distinct(), "pairs")
 
     def several(side):
         return (
@@ -131,14 +137,14 @@ def residual_identifiers(
 ) -> DataFrame:
     """Per key column: distinct output values, and how many of them are original keys;
     `identifier_columns_left` counts direct identifiers the output still has."""
-    def keys(df):
+    def keys(df, *more):
         there = present_columns(key_columns, df)
         cells = [F.struct(F.lit(c).alias("column"), key_text(df, c).alias("value")) for c in there]
-        long = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+        long = df.select(F.explode(F.array(*cells)).alias("c")).select(*more, F.col("c.value").alias("value"))
         return long.where(~is_missing(F.col("value")) & (F.col("value") != placeholder)).distinct()
 
-    known = keys(original).select("value").distinct().withColumn("known", F.lit(1))
-    found = keys(output).join(known, "value", "left")
+    known = keys(original).withColumn("known", F.lit(1))
+    found = keys(output, F.col("c.column").alias("column")).join(known, "value", "left")
     return found.groupBy("column").agg(
         F.count(F.lit(1)).alias("distinct_values"), F.count("known").alias("original_keys_left")
     ).withColumn(

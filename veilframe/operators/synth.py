@@ -39,15 +39,13 @@ def interval_lookup(draws: DataFrame, intervals: DataFrame, row_key: Sequence[st
     draw takes the last interval that starts at or before it. An interval is listed once
     in every chunk it touches, so a chunk needs nothing from its neighbours.
     """
-    touched = F.sequence(
-        F.floor(F.col("before") / CHUNK), F.floor((F.col("before") + F.col("width") - 1) / CHUNK)
-    )
+    touched = F.expr(f"sequence(before div {CHUNK}, (before + width - 1) div {CHUNK})")
     starts = intervals.select("cell", "hit", "before", F.explode(touched).alias("chunk")).select(
         "cell", "chunk", F.greatest("before", F.col("chunk") * CHUNK).alias("at"), "hit",
         F.lit(0).alias("side"),
     )
     asked = draws.select(
-        "cell", F.floor(F.col("at") / CHUNK).alias("chunk"), "at", F.lit(1).alias("side"), *row_key
+        "cell", F.expr(f"at div {CHUNK}").alias("chunk"), "at", F.lit(1).alias("side"), *row_key
     )
     line = Window.partitionBy("cell", "chunk").orderBy("at", "side")
     line = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -78,13 +76,15 @@ def draw_from_cells(
     laid = running_before(cells, list(values), {"before": F.col("width")}, ["cell"], rows_per_bucket)
     intervals = laid.select("cell", F.struct(*values).alias("hit"), "before", "width")
 
-    # The wide cells are one, or one per target column.
-    wide_sizes = counts.groupBy("wide_cell").agg(F.sum("width").alias("wide_size"))
-    placed = draws.join(sizes, "cell", "left").join(F.broadcast(wide_sizes), "wide_cell")
-    placed = placed.select(
+    # The wide cells are one, or one per target column: a small map.
+    wide_sizes = counts.groupBy("wide_cell").agg(F.sum("width").alias("size"))
+    wide_sizes = wide_sizes.agg(
+        F.map_from_entries(F.collect_list(F.struct("wide_cell", "size"))).alias("m")
+    ).scalar()
+    placed = draws.join(sizes, "cell", "left").select(
         *row_key,
         F.when(F.col("size").isNull(), F.col("wide_cell")).otherwise(F.col("cell")).alias("cell"),
-        F.pmod("number", F.coalesce("size", "wide_size")).alias("at"),
+        F.pmod("number", F.coalesce("size", wide_sizes[F.col("wide_cell")])).alias("at"),
     )
     return interval_lookup(placed, intervals, row_key).select(*row_key, "hit.*")
 
@@ -145,3 +145,18 @@ def cycled_conditions(
     wanted = conditions.sparkSession.range(samples).select(F.col("id").alias("sample"))
     wanted = wanted.withColumn("_at", F.col("sample") % F.lit(max(count, 1)) + 1)
     return wanted.join(placed, F.col("_at") == F.col("_place")).drop("_at", "_place")
+
+
+def synthesise_samples(
+    donors: DataFrame,
+    conditions: DataFrame,
+    order_key: str,
+    samples: int,
+    cell: Column,
+    targets: Sequence[str],
+    seed: str,
+    floor_rows: int = 1,
+) -> DataFrame:
+    """Any number of synthetic rows, also more than there are conditions: `sample` and the targets."""
+    asked = cycled_conditions(conditions, order_key, samples)
+    return synthesise(donors, asked, "sample", cell, targets, seed, floor_rows)

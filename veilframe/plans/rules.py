@@ -13,7 +13,7 @@ from veilframe.functions.guards import key_text, number_columns
 from veilframe.operators import impute
 from veilframe.operators.columns import drop_identifiers, generalize_years
 from veilframe.operators.dictionary import (
-    NAMESPACES, Namespace, alternate_namespaces, apply_dictionary, build_dictionary,
+    NAMESPACES, Namespace, alternate_namespaces, apply_dictionary, new_entries,
 )
 from veilframe.plans.policy import present_columns
 
@@ -24,6 +24,7 @@ CODE_COLUMNS = ("REASONCODE", "ZIP", "ZIP_payer")
 class Deidentified:
     output: DataFrame
     dictionary: DataFrame
+    new_entries: DataFrame
     removed: list[str]
     generalized: list[str]
 
@@ -50,12 +51,14 @@ def deidentify_rules(
     namespaces: Mapping[str, Namespace] = NAMESPACES,
     fill: bool = True,
     approximate_medians: bool = False,
+    row_key: str | None = None,
 ) -> Deidentified:
     """Drop identifiers, fill, replace keys by numbers in order of first sight, keep years.
 
     The identifiers go first, so a column that is not wanted is never read. With
     `as_published`, reason codes are amounts with a median, 'Unknown' gets a number like
-    any key, and a date without a year stays as it is.
+    any key, and a date without a year stays as it is. `row_key` names a column unique
+    per row (mostly the order key itself); it saves shuffles of the whole rows.
     """
     removed = present_columns(fixed.DIRECT_IDENTIFIERS, df)
     generalized = present_columns(fixed.YEAR_COLUMNS, df)
@@ -65,11 +68,11 @@ def deidentify_rules(
     if fill:
         df = fill_missing(df, order_key, approximate_medians)
     placeholder = None if as_published else fixed.UNKNOWN
-    dictionary = build_dictionary(df, order_key, namespaces, known, placeholder)
-    output = apply_dictionary(df, dictionary, namespaces, placeholder)
-    return Deidentified(
-        generalize_years(output, as_text=as_published), dictionary, removed, generalized
-    )
+    fresh = new_entries(df, order_key, namespaces, known, placeholder)
+    dictionary = fresh if known is None else known.unionByName(fresh)
+    df = generalize_years(df, as_text=as_published)
+    output = apply_dictionary(df, dictionary, namespaces, placeholder, row_key)
+    return Deidentified(output, dictionary, fresh, removed, generalized)
 
 
 def deidentify_incremental(

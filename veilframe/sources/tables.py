@@ -14,6 +14,10 @@ from veilframe.operators.profile import one_row_per_column
 
 POSITION = "source_position"
 
+# Patterns rather than casts: a cast that fails costs an exception per cell.
+WHOLE = r"^\s*[+-]?[0-9]{1,18}\s*$"
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+|[Ii]nf(inity)?)([eE][+-]?[0-9]+)?\s*$"
+
 
 def scan_csv(
     spark: SparkSession,
@@ -74,8 +78,8 @@ def inferred_types(df: DataFrame) -> dict[str, str]:
         df, texts,
         {
             "cells": F.count,
-            "not_bigint": lambda c: F.count_if(c.isNotNull() & ~c.rlike(r"^\s*[+-]?[0-9]{1,18}\s*$")),
-            "not_double": lambda c: F.count_if(c.isNotNull() & c.try_cast("double").isNull()),
+            "not_bigint": lambda c: F.count_if(~c.rlike(WHOLE)),
+            "not_double": lambda c: F.count_if(~c.rlike(NUMBER)),
         },
     )
     types = {}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from veilframe.operators.columns import add_age_range, drop_identifiers, generalize_years, hash_identifiers
-from veilframe.operators.dictionary import load_dictionary, save_dictionary
+from veilframe.operators.dictionary import append_entries, load_dictionary
 from veilframe.plans.rules import deidentify_incremental
 
 
@@ -32,7 +32,7 @@ def numbered_batches(stream: DataFrame, order_key: str, dictionaries: str, outpu
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         known = load_dictionary(batch.sparkSession, dictionaries)
         done = deidentify_incremental(batch, order_key, known)
-        save_dictionary(done.dictionary, dictionaries)
+        append_entries(done.new_entries, dictionaries)
         done.output.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(one_batch)
