@@ -15,7 +15,7 @@ from veilframe.operators.dictionary import Namespace, apply_dictionary, random_e
 from veilframe.plans.policy import (
     column_types, policy_rows, policy_table, resolve_roles, role_by_name, route_direct,
 )
-from veilframe.session import new_path
+from veilframe.session import local_table, new_path
 from veilframe.sources.tables import scan_csv, write_csv
 
 TYPES = {
@@ -140,7 +140,7 @@ GROUP BY kind""")
 def identify_roles(spark, sf_dir):
     df = visits(spark, sf_dir)
     kinds = [(k, c) for k, columns in column_types(df).items() for c in columns]
-    roles = spark.createDataFrame(kinds, "kind string, column string")
+    roles = local_table(spark, kinds, "kind string, column string")
     cells = profile.one_row_per_column(df, df.columns, {"cells": F.count})
     return roles.join(cells, "column").groupBy("kind").agg(
         F.count(F.lit(1)).alias("columns"), F.sum("cells").alias("cells")

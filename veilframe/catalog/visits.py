@@ -101,8 +101,24 @@ COLUMNS = [
 ]
 
 
+# Stated, so that no file has to be opened to plan a query.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def visits(spark: SparkSession, sf_dir: str, columns: Sequence[str] = COLUMNS) -> DataFrame:
@@ -112,6 +128,9 @@ def visits(spark: SparkSession, sf_dir: str, columns: Sequence[str] = COLUMNS) -
     if needs:
         totals = [c.alias(n) for n, c in _line_totals().items() if n in needs]
         per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*totals)
+        # Two tables of facts: neither is ever small, and the totals are already
+        # partitioned by the order.
+        per_order = per_order.hint("merge")
         df = df.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     if any(c in customer or c in places for c in columns):
         df = df.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from veilframe import fixed_values
 from veilframe.functions.guards import is_missing, key_text
 from veilframe.operators.ordering import ROWS_PER_BUCKET, numbered
-from veilframe.session import written
+from veilframe.session import written, written_and_counted
 
 COLUMNS = ["namespace", "original", "seq", "pseudonym"]
 SCHEMA = "original string, seq bigint, pseudonym string, namespace string"
@@ -132,8 +132,8 @@ def new_entries(
     keys = first_seen(df, order_key, namespaces, placeholder)
     if known is not None:
         keys = keys.join(known.select("namespace", "original"), ["namespace", "original"], "left_anti")
-    keys = written(keys, "first_seen")
-    fresh = numbered(keys, ["place", "first_row", "original"], "seq", ["namespace"], rows_per_bucket)
+    keys, rows = written_and_counted(keys, "first_seen")
+    fresh = numbered(keys, ["place", "first_row", "original"], "seq", ["namespace"], rows_per_bucket, rows)
     if known is not None:
         used = dict(known.groupBy("namespace").agg(F.max("seq")).collect())  # one per namespace
         shift = F.lit(0)

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from veilframe.operators.ordering import ROWS_PER_BUCKET, numbered
 from veilframe.operators.profile import one_row_per_column, unpivoted
-from veilframe.session import written
+from veilframe.session import written, written_and_counted
 
 
 def label_state(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """feature, label, code: the distinct texts of each column numbered in sorted order from 0."""
     texts = unpivoted(df, columns).where(F.col("value").isNotNull())
-    labels = written(texts.select("feature", F.col("value").alias("label")).distinct(), "labels")
-    coded = numbered(labels, ["label"], "code", ["feature"], rows_per_bucket)
+    labels = texts.select("feature", F.col("value").alias("label")).distinct()
+    labels, rows = written_and_counted(labels, "labels")
+    coded = numbered(labels, ["label"], "code", ["feature"], rows_per_bucket, rows)
     coded = coded.select("feature", "label", (F.col("code") - 1).alias("code"))
     return written(coded, "label_codes", by="feature").select("feature", "label", "code")
 
@@ -64,7 +65,7 @@ def scale_state(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             "mean": lambda c: F.avg(c.cast("double")), "std": lambda c: F.stddev_pop(c.cast("double")),
         },
     )
-    return written(state.withColumnRenamed("column", "feature"), "scales")
+    return state.withColumnRenamed("column", "feature")
 
 
 def _scaled(df: DataFrame, state: DataFrame, columns: Sequence[str], formula) -> DataFrame:

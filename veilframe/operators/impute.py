@@ -11,15 +11,15 @@ from veilframe.fixed_values import UNKNOWN
 from veilframe.functions.guards import number_columns, text_columns
 from veilframe.operators.ordering import ROWS_PER_BUCKET, running_before
 from veilframe.operators.profile import one_row_per_column, total_missing
-from veilframe.session import written
+from veilframe.session import local_table, written
 
 SAMPLE_ROWS = 200_000
-BRACKET = 0.01  # six standard errors of the sample's median rank
 
 
-def _bracket(numbers: DataFrame, columns: Sequence[str], share: float) -> dict[str, tuple]:
-    """Two values around each median, from a row sample of fixed size."""
-    sides = [0.5 - BRACKET, 0.5 + BRACKET]
+def _bracket(numbers: DataFrame, columns: Sequence[str], sample: int, rows: int) -> dict[str, tuple]:
+    """Two values around each median, from a row sample of bounded size."""
+    share, reach = sample / rows, 3 / sample**0.5  # six standard errors of the median's rank
+    sides = [0.5 - reach, 0.5 + reach]
     row = numbers.sample(share, 7).agg(*[F.percentile(f"`{c}`", sides).alias(c) for c in columns]).first()
     return {c: tuple(row[c]) for c in columns if row[c]}
 
@@ -39,16 +39,17 @@ def exact_medians(
     spark, columns = df.sparkSession, list(columns)
     schema = "feature string, median double"
     if not columns:
-        return spark.createDataFrame([], schema)
+        return local_table(spark, [], schema)
     numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
     totals = numbers.agg(*[F.count(f"`{c}`").alias(c) for c in columns]).first().asDict()
     columns = [c for c in columns if totals[c]]
     if not columns:
-        return spark.createDataFrame([], schema)
+        return local_table(spark, [], schema)
     most = max(totals.values())
     ends = {c: (float("-inf"), float("inf")) for c in columns}
-    if sample_rows and most > sample_rows:
-        ends.update(_bracket(numbers, columns, sample_rows / most))
+    sample = min(sample_rows or 0, most // 5)
+    if sample >= 100:
+        ends.update(_bracket(numbers, columns, sample, most))
 
     # A null value stands for a cell below the bracket; cells above it are left out.
     cells = [
@@ -63,24 +64,26 @@ def exact_medians(
     counted = counted.groupBy("cell.feature", "cell.value").agg(F.count(F.lit(1)).alias("cells"))
     counted = written(counted, "median_cells")
     found = counted.groupBy("feature").agg(
+        F.count("value").alias("values"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("cells"))), F.lit(0)).alias("below"),
         F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("cells"))), F.lit(0)).alias("inside"),
     )
-    places, missed = [], []
+    places, values = [], 0
     for row in found.collect():  # one row per column
+        values += row["values"]
         lower, upper = (totals[row.feature] - 1) // 2 - row.below, totals[row.feature] // 2 - row.below
         if 0 <= lower and upper < row.inside:
             places.append((row.feature, lower, upper))
-        else:
-            missed.append(row.feature)
+    placed = {feature for feature, _, _ in places}
+    missed = [c for c in columns if c not in placed]
 
     ranked = running_before(
         counted.where(F.col("value").isNotNull()), ["value"], {"before": F.col("cells")}, ["feature"],
-        rows_per_bucket,
+        rows_per_bucket, values,
     )
-    wanted = spark.createDataFrame(places, "feature string, lower bigint, upper bigint")
+    wanted = local_table(spark, places, "feature string, lower bigint, upper bigint")
     after = F.col("before") + F.col("cells")
-    middle = ranked.join(F.broadcast(wanted), "feature").where(  # one row per column
+    middle = ranked.join(wanted, "feature").where(
         ((F.col("before") <= F.col("lower")) & (F.col("lower") < after))
         | ((F.col("before") <= F.col("upper")) & (F.col("upper") < after))
     )

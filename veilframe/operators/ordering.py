@@ -54,12 +54,14 @@ def running_before(
     weights: Mapping[str, Column],
     group: Sequence[str] = (),
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add, for each weight, its sum over the earlier rows of the same group.
 
     `table` must be a written table, (`group`, `order`) unique in it and `group` not null.
+    Its `rows` are counted when not given; they only choose the number of buckets.
     """
-    rows = table.count()
+    rows = table.count() if rows is None else rows
     buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
 
     def before(window_columns):
@@ -106,7 +108,8 @@ def numbered(
     name: str,
     group: Sequence[str] = (),
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows: int | None = None,
 ) -> DataFrame:
     """Number the rows of each group 1, 2, 3 … in the given order."""
-    counted = running_before(table, order, {name: F.lit(1)}, group, rows_per_bucket)
+    counted = running_before(table, order, {name: F.lit(1)}, group, rows_per_bucket, rows)
     return counted.withColumn(name, F.col(name) + 1)

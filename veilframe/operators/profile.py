@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilframe.plans.policy import role_by_name
+from veilframe.session import local_table
 
 
 def unpivoted(df: DataFrame, columns: Sequence[str], cast: str = "string", keep: Sequence[str] = ()) -> DataFrame:
@@ -19,35 +21,33 @@ def unpivoted(df: DataFrame, columns: Sequence[str], cast: str = "string", keep:
 
 
 def one_row_per_column(df: DataFrame, columns: Sequence[str], measures: dict) -> DataFrame:
-    """All measures of all columns in one pass: a wide one-row aggregate, then turned.
+    """All measures of all columns in one scan.
 
-    `measures` maps a name to a function from column to aggregate.
+    `measures` maps a name to a function from column to aggregate. The scan ends in one
+    wide row, which is turned on the driver: it has as many cells as the table has columns.
     """
-    wide = df.agg(
-        *[make(F.col(f"`{c}`")).alias(f"{name}_{i}")
-          for i, c in enumerate(columns) for name, make in measures.items()]
-    )
-    rows = [
-        F.struct(F.lit(c).alias("column"), *[F.col(f"{name}_{i}").alias(name) for name in measures])
-        for i, c in enumerate(columns)
+    aggregates = [
+        make(F.col(f"`{c}`")).alias(f"{name}_{i}")
+        for i, c in enumerate(columns) for name, make in measures.items()
     ]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-
-
-def type_name(df: DataFrame, name: Column) -> Column:
-    types = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
-    return types[name]
+    wide = df.agg(*aggregates)
+    values, width = wide.first(), len(measures)
+    rows = [(c, *values[i * width:(i + 1) * width]) for i, c in enumerate(columns)]
+    fields = [T.StructField(name, wide.schema[f"{name}_0"].dataType) for name in measures]
+    schema = T.StructType([T.StructField("column", T.StringType()), *fields])
+    return local_table(df.sparkSession, rows, schema)
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """column, dtype, total_records, missing_values — one scan, one small row per task."""
+    """column, dtype, total_records, missing_values."""
+    columns = list(columns or df.columns)
     counts = one_row_per_column(
-        df, columns or df.columns,
+        df, columns,
         {"total_records": lambda c: F.count(F.lit(1)), "missing_values": lambda c: F.count_if(c.isNull())},
     )
-    return counts.select(
-        "column", type_name(df, F.col("column")).alias("dtype"), "total_records", "missing_values"
-    )
+    types = [pair for pair in df.dtypes if pair[0] in columns]
+    types = local_table(df.sparkSession, types, "column string, dtype string")
+    return counts.join(types, "column").select("column", "dtype", "total_records", "missing_values")
 
 
 def total_missing(df: DataFrame) -> Column:
@@ -74,9 +74,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True) -
 def feature_metadata(df: DataFrame, mode: str = "token", exact: bool = True) -> DataFrame:
     """column, category, dtype, unique_values, missing_values."""
     profile = profile_columns(df)
-    # Both sides have one row per column of the table.
-    distinct = F.broadcast(distinct_counts(df, df.columns, exact))
-    return profile.join(distinct, "column", "left").select(
+    return profile.join(distinct_counts(df, df.columns, exact), "column", "left").select(
         "column",
         role_by_name(F.col("column"), mode).alias("category"),
         "dtype",

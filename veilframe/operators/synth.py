@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from veilframe.functions.hashing import drawn_number
 from veilframe.operators.ordering import ROWS_PER_BUCKET, numbered, running_before
-from veilframe.session import written
+from veilframe.session import written, written_and_counted
 
 # Positions per chunk: a cell of any size is looked up in pieces of about this many rows.
 CHUNK = 100_000
@@ -72,8 +72,8 @@ def draw_from_cells(
     sizes = counts.groupBy("cell").agg(F.sum("width").alias("size")).where(F.col("size") >= floor_rows)
     wide = counts.groupBy(F.col("wide_cell").alias("cell"), *values).agg(F.sum("width").alias("width"))
     usable = counts.join(sizes, "cell", "left_semi").select("cell", *values, "width")
-    cells = written(usable.unionByName(wide), "cells")
-    laid = running_before(cells, list(values), {"before": F.col("width")}, ["cell"], rows_per_bucket)
+    cells, rows = written_and_counted(usable.unionByName(wide), "cells")
+    laid = running_before(cells, list(values), {"before": F.col("width")}, ["cell"], rows_per_bucket, rows)
     intervals = laid.select("cell", F.struct(*values).alias("hit"), "before", "width")
 
     # The wide cells are one, or one per target column: a small map.
@@ -140,8 +140,8 @@ def cycled_conditions(
 ) -> DataFrame:
     """`samples` rows that go round the conditions in order: sample i takes row i mod n."""
     rows = written(conditions, "conditions")
-    placed = numbered(rows, [order_key], "_place", (), rows_per_bucket)
     count = rows.count()
+    placed = numbered(rows, [order_key], "_place", (), rows_per_bucket, count)
     wanted = conditions.sparkSession.range(samples).select(F.col("id").alias("sample"))
     wanted = wanted.withColumn("_at", F.col("sample") % F.lit(max(count, 1)) + 1)
     return wanted.join(placed, F.col("_at") == F.col("_place")).drop("_at", "_place")

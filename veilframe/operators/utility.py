@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from veilframe.operators.ordering import ROWS_PER_BUCKET, running_before
 from veilframe.operators.profile import one_row_per_column, unpivoted
-from veilframe.session import written
+from veilframe.session import written_and_counted
 
 
 def _counted_sides(original, output, columns, cast):
@@ -40,13 +40,13 @@ def number_distance(
     """Per column the largest gap of the two cumulative distributions, and the change of
     mean and standard deviation. Missing cells are left out."""
     counts = _counted_sides(original, output, columns, "double").where(F.col("value").isNotNull())
-    counts = written(counts, "value_counts")
+    counts, rows = written_and_counted(counts, "value_counts")
     totals = counts.groupBy("feature").agg(
         F.sum("n_original").alias("all_original"), F.sum("n_output").alias("all_output")
     )
     placed = running_before(
         counts, ["value"], {"lower_original": F.col("n_original"), "lower_output": F.col("n_output")},
-        ["feature"], rows_per_bucket,
+        ["feature"], rows_per_bucket, rows,
     ).join(F.broadcast(totals), "feature")  # one row per column
     reached = lambda side: (F.col(f"lower_{side}") + F.col(f"n_{side}")) / F.col(f"all_{side}")
     gaps = placed.groupBy("feature").agg(

@@ -72,7 +72,7 @@ def clinical_sample(
     Drawn as codes and standard scores, then turned back into labels and units, so every
     label is a real one and every number lies in the observed range.
     """
-    prepared = prepare_for_sample(df, row_key)
+    prepared = prepare_for_sample(df, row_key, conditions)
     alike = [F.col(c) for c in present_columns(conditions, prepared.conditions)]
     targets = prepared.targets.columns[1:]
     donors = prepared.conditions.join(prepared.targets, row_key)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from veilframe import fixed_values as fixed
 from veilframe.functions.guards import number_columns, text_columns
+from veilframe.session import local_table
 
 ROLE_LISTS = ("direct_identifiers", "quasi_identifiers", "clinical_data")
 DIRECT, QUASI, CLINICAL = "direct_identifier", "quasi_identifier", "clinical_data"
@@ -105,7 +106,7 @@ def policy_rows(df: DataFrame, roles: Roles, mode: str = "token") -> list[tuple[
 
 
 def policy_table(spark: SparkSession, rows: Sequence[tuple[str, str, str]]) -> DataFrame:
-    return spark.createDataFrame(list(rows), "column string, role string, treatment string")
+    return local_table(spark, rows, "column string, role string, treatment string")
 
 
 def column_types(df: DataFrame) -> dict[str, list[str]]:

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 
@@ -43,3 +48,20 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
         writer = writer.partitionBy(by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written_and_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """`written`, and how many rows were written, without a second job."""
+    seen = Observation()
+    table = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return table, seen.get["rows"]
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
+    """A few rows the driver holds, as a table whose size Catalyst knows."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    columns = [list(c) for c in zip(*rows)] or [[] for _ in schema]
+    fields = to_arrow_schema(schema)
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields), schema)
