@@ -20,7 +20,10 @@ ROUNDED = 6
 
 
 def rounded(df, *columns):
-    return df.select(*[F.round(c, ROUNDED).alias(c) if c in columns else F.col(f"`{c}`") for c in df.columns])
+    """Rounded, and without a negative zero, as the SQL does it too."""
+    return df.select(*[
+        (F.round(c, ROUNDED) + 0.0).alias(c) if c in columns else F.col(f"`{c}`") for c in df.columns
+    ])
 
 
 # ---- labels and scales ---------------------------------------------------------------
@@ -59,7 +62,7 @@ def scale_minmax(spark, sf_dir):
 
 @query("scale_standard", f"""{VISITS_SQL}, z AS (SELECT order_key, {", ".join(
     f'"{c}", ("{c}" - avg("{c}") OVER ()) / stddev_pop("{c}") OVER () AS "z_{c}"' for c in SCALED)} FROM visits)
-SELECT order_key, {", ".join(f'round("z_{c}", 6) AS "z_{c}", round(CAST("{c}" AS DOUBLE), 6) AS "back_{c}"' for c in SCALED)} FROM z""")
+SELECT order_key, {", ".join(f'round("z_{c}", 6) + 0.0 AS "z_{c}", round(CAST("{c}" AS DOUBLE), 6) AS "back_{c}"' for c in SCALED)} FROM z""")
 def scale_standard(spark, sf_dir):
     df = loaded_visits(spark, sf_dir, ["order_key", *SCALED])
     state = encode.scale_state(df, SCALED)
@@ -107,8 +110,8 @@ DAYS_SQL = "CAST(date_diff('day', DATE '1970-01-01', CAST(try_strptime(\"BIRTHDA
 SELECT order_key, {AGE_RANGE_SQL} AS "AGE_RANGE",
   {", ".join(f'code_{c}.code AS "{c}"' for c in CLINICAL_TEXT)},
   {", ".join(f'coalesce(v."{c}", 0) AS "{c}"' for c in CLINICAL_NUMBERS)},
-  round({_minmax(DAYS_SQL)}, 6) AS "BIRTHDATE",
-  {", ".join(f'round({_minmax(f"CAST(code_{c}.code AS DOUBLE)")}, 6) AS "{c}"' for c in QUASI_TEXT)}
+  round({_minmax(DAYS_SQL)}, 6) + 0.0 AS "BIRTHDATE",
+  {", ".join(f'round({_minmax(f"CAST(code_{c}.code AS DOUBLE)")}, 6) + 0.0 AS "{c}"' for c in QUASI_TEXT)}
 FROM visits AS v {code_joins([*QUASI_TEXT, *CLINICAL_TEXT], '')}""")
 def prepare_features_a(spark, sf_dir):
     df = loaded_visits(spark, sf_dir)
@@ -122,7 +125,7 @@ Y_NUMBERS = ["CODE", "BASE_ENCOUNTER_COST", "TOTAL_CLAIM_COST", "REASONCODE"]
 
 
 def _standard(expression: str) -> str:
-    return f"round(({expression} - avg({expression}) OVER ()) / stddev_pop({expression}) OVER (), 6)"
+    return f"round(({expression} - avg({expression}) OVER ()) / stddev_pop({expression}) OVER (), 6) + 0.0"
 
 
 @query("prepare_features_b", f"""{VISITS_SQL}{codes_sql('visits', [*X_TEXT, *Y_TEXT], 'Unknown')}
@@ -313,8 +316,8 @@ CORR_PAIRS = [(a, b) for i, a in enumerate(AMOUNTS) for b in AMOUNTS[i + 1:]]
 
 
 @query("correlation_preservation", CHANGED_SQL + " UNION ALL ".join(
-    f"""SELECT '{a}' AS a, '{b}' AS b, (SELECT round(corr("{a}", "{b}"), 6) FROM visits) AS corr_original,
-    (SELECT round(corr("{a}", "{b}"), 6) FROM changed) AS corr_output""" for a, b in CORR_PAIRS))
+    f"""SELECT '{a}' AS a, '{b}' AS b, (SELECT round(corr("{a}", "{b}"), 6) + 0.0 FROM visits) AS corr_original,
+    (SELECT round(corr("{a}", "{b}"), 6) + 0.0 FROM changed) AS corr_output""" for a, b in CORR_PAIRS))
 def correlation_preservation(spark, sf_dir):
     found = utility.correlation_preservation(*_compared(spark, sf_dir, AMOUNTS), AMOUNTS)
     return rounded(found.drop("change"), "corr_original", "corr_output")
@@ -326,7 +329,7 @@ def correlation_preservation(spark, sf_dir):
 EVENTS_SQL = """WITH points AS (
   SELECT user_id AS run, date_diff('hour', TIMESTAMP '2024-01-01', date_trunc('hour', ts)) AS epoch,
     CASE WHEN event_type = 'click' THEN value END AS g, CASE WHEN event_type = 'view' THEN value END AS d FROM events
-), rolled AS (SELECT run, epoch, round(avg(g), 6) AS g, round(avg(d), 6) AS d FROM points GROUP BY run, epoch)"""
+), rolled AS (SELECT run, epoch, round(avg(g), 6) + 0.0 AS g, round(avg(d), 6) + 0.0 AS d FROM points GROUP BY run, epoch)"""
 
 
 def _rolled(spark, sf_dir):
@@ -351,8 +354,8 @@ def series_latest(spark, sf_dir):
     return series.latest_values(_rolled(spark, sf_dir), "run", "epoch", ["g", "d"])
 
 
-@query("series_ratio", f"""{EVENTS_SQL} SELECT run, epoch, g, d, round(CASE WHEN d > 0 THEN g / d ELSE 0 END, 6) AS ratio,
-  round(abs(g - d), 6) AS difference FROM rolled""")
+@query("series_ratio", f"""{EVENTS_SQL} SELECT run, epoch, g, d, round(CASE WHEN d > 0 THEN g / d ELSE 0 END, 6) + 0.0 AS ratio,
+  round(abs(g - d), 6) + 0.0 AS difference FROM rolled""")
 def series_ratio(spark, sf_dir):
     return rounded(series.paired_ratio(_rolled(spark, sf_dir), "g", "d"), "ratio", "difference")
 

@@ -86,7 +86,7 @@ SAMPLE_SQL = f"""{VISITS_SQL}, filled AS (
   FROM visits
 ), first_rows AS (SELECT * FROM filled ORDER BY order_key LIMIT 100)
 {synth_sql("filled", '"STATE"', ["ENCOUNTERCLASS", "CODE", "BASE_ENCOUNTER_COST", "TOTAL_CLAIM_COST", "REASONCODE", "PAYER"],
-           "42", 1, "first_rows")}
+           "42", 5, "first_rows")}
 SELECT order_key, "ENCOUNTERCLASS", "PAYER", {", ".join(f'round("{c}", 6) AS "{c}"' for c in Y_NUMBERS)} FROM drawn"""
 
 
@@ -134,7 +134,7 @@ def assemble(spark, sf_dir):
 HYBRID_QUASI = ["BIRTHDATE", "MARITAL", "CITY", "STATE"]
 HYBRID_SQL = f"""{VISITS_SQL}, dated AS (
   SELECT * REPLACE (CAST(try_strptime("BIRTHDATE", '%d-%m-%Y') AS DATE) AS "BIRTHDATE") FROM visits)
-{synth_sql("dated", CELL_SQL, HYBRID_QUASI, "42")}
+{synth_sql("dated", CELL_SQL, HYBRID_QUASI, "42", 5)}
 SELECT v.order_key, {", ".join(f'{_uuid_sql(f"{chr(34)}{c}{chr(34)}", "")} AS "{c}"' for c in ("Id_encounter", "Id_patient", "Id_payer"))},
   {_ssn_sql('"SSN"')} AS "SSN", 'Person_' || substr(md5("FIRST"), 1, 8) AS "FIRST",
   'Person_' || substr(md5("LAST"), 1, 8) AS "LAST", 'Address_' || substr(md5("ADDRESS"), 1, 8) AS "ADDRESS",

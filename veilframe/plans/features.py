@@ -24,6 +24,8 @@ class Prepared:
     targets: DataFrame
     labels: DataFrame
     scales: DataFrame
+    labelled: list[str]  # the columns that hold label codes
+    rows: DataFrame  # conditions and targets together
     carried: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
@@ -63,8 +65,9 @@ def prepare_for_quasi(df: DataFrame, row_key: str, roles: Roles, dates: Sequence
     labels = encode.label_state(frame, texts)
     frame = written(encode.encode_labels(frame, labels, texts), "encoded")
     scales = encode.scale_state(frame, quasi)
-    conditions, targets = condition_target_split(frame, row_key, roles.clinical, quasi)
-    return Prepared(conditions, encode.scale_minmax(targets, scales, quasi), labels, scales, carried)
+    rows = encode.scale_minmax(frame, scales, quasi)
+    conditions, targets = condition_target_split(rows, row_key, roles.clinical, quasi)
+    return Prepared(conditions, targets, labels, scales, texts, rows, carried)
 
 
 def prepare_for_sample(
@@ -87,19 +90,16 @@ def prepare_for_sample(
     labels = encode.label_state(frame, texts)
     frame = written(encode.encode_labels(frame, labels, texts), "encoded")
     scales = encode.scale_state(frame, [*conditions, *targets])
-    x, y = condition_target_split(frame, row_key, conditions, targets)
-    return Prepared(
-        encode.scale_standard(x, scales, conditions), encode.scale_standard(y, scales, targets),
-        labels, scales,
-    )
+    rows = encode.scale_standard(frame, scales, [*conditions, *targets])
+    x, y = condition_target_split(rows, row_key, conditions, targets)
+    return Prepared(x, y, labels, scales, texts, rows)
 
 
 def restore_quasi(generated: DataFrame, prepared: Prepared, dates: Sequence[str] = ("BIRTHDATE",)) -> DataFrame:
     """Scaled targets back to their units, codes back to texts, days back to dates."""
     quasi = generated.columns[1:]
-    labelled = _labelled(prepared, quasi)
     frame = encode.unscale_minmax(generated, prepared.scales, quasi)
-    frame = encode.decode_labels(frame, prepared.labels, labelled)
+    frame = encode.decode_labels(frame, prepared.labels, [c for c in quasi if c in prepared.labelled])
     for column in present_columns(dates, frame):
         frame = frame.withColumn(column, date_from_days(F.rint(column)))
     return frame
@@ -109,9 +109,5 @@ def restore_sample(generated: DataFrame, prepared: Prepared, clip: bool = True)
     """Standardised targets back to their units, codes back to texts."""
     targets = generated.columns[1:]
     frame = encode.unscale_standard(generated, prepared.scales, targets)
-    return encode.decode_labels(frame, prepared.labels, _labelled(prepared, targets), clip)
-
-
-def _labelled(prepared: Prepared, columns: Sequence[str]) -> list[str]:
-    known = {r.feature for r in prepared.labels.select("feature").distinct().collect()}  # column names
-    return [c for c in columns if c in known]
+    labelled = [c for c in targets if c in prepared.labelled]
+    return encode.decode_labels(frame, prepared.labels, labelled, clip)

@@ -19,6 +19,9 @@ from veilframe.plans.rules import Deidentified, deidentify_rules
 
 COST_BAND = 100_000.0
 
+# A cell with fewer rows would give a row little else than its own values.
+FLOOR_ROWS = 5
+
 
 def clinical_cell(df: DataFrame) -> Column:
     """Rows are alike when visit class and cost band are the same."""
@@ -35,7 +38,7 @@ def deidentify_hybrid(
     cell: Column | None = None,
     seed: str = "42",
     salt: str | None = None,
-    floor_rows: int = 1,
+    floor_rows: int = FLOOR_ROWS,
     mode: str = "joint",
     name_matching: str = "token",
 ) -> DataFrame:
@@ -65,7 +68,7 @@ def clinical_sample(
     rows: int | None = fixed.SAMPLE_ROWS,
     conditions: Sequence[str] = ("STATE",),
     seed: str = "42",
-    floor_rows: int = 1,
+    floor_rows: int = FLOOR_ROWS,
 ) -> DataFrame:
     """Synthetic clinical and financial columns for the first rows, given demographics.
 
@@ -75,9 +78,8 @@ def clinical_sample(
     prepared = prepare_for_sample(df, row_key, conditions)
     alike = [F.col(c) for c in present_columns(conditions, prepared.conditions)]
     targets = prepared.targets.columns[1:]
-    donors = prepared.conditions.join(prepared.targets, row_key)
     asked = first_rows(prepared.conditions, row_key, rows)
-    drawn = synthesise(donors, asked, row_key, condition_cell(*alike), targets, seed, floor_rows)
+    drawn = synthesise(prepared.rows, asked, row_key, condition_cell(*alike), targets, seed, floor_rows)
     return restore_sample(drawn, prepared)
 
 
