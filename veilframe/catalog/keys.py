@@ -13,7 +13,7 @@ from veilframe.operators.dictionary import (
 )
 from veilframe.operators.report import mapping_summary, run_audit, summary_report
 from veilframe.plans.rules import deidentify_incremental, deidentify_rules
-from veilframe.session import new_path
+from veilframe.session import new_path, written
 
 # ---- SQL parts -----------------------------------------------------------------------
 
@@ -106,14 +106,12 @@ TWO_ID_COLUMNS_SQL = f"""{VISITS_SQL}, ids AS (
   SELECT original, row_number() OVER (ORDER BY first_row, original) AS seq,
          CASE WHEN first_row < 1000000000000 THEN 'Patient_' ELSE 'IDP_' END AS prefix FROM seen
 )
-SELECT order_key, printf('%s%04d', a.prefix, a.seq) AS "PATIENT", printf('%s%04d', b.prefix, b.seq) AS "Id_patient"
+SELECT order_key, a.prefix || printf('%04d', a.seq) AS "PATIENT", b.prefix || printf('%04d', b.seq) AS "Id_patient"
 FROM ids LEFT JOIN dict a ON a.original = "PATIENT" LEFT JOIN dict b ON b.original = "Id_patient"
 """
 
 
-@query("pseudonymize_id_patient", TWO_ID_COLUMNS_SQL.replace(
-    "printf('%s%04d', a.prefix, a.seq)", "a.prefix || printf('%04d', a.seq)").replace(
-    "printf('%s%04d', b.prefix, b.seq)", "b.prefix || printf('%04d', b.seq)"))
+@query("pseudonymize_id_patient", TWO_ID_COLUMNS_SQL)
 def pseudonymize_id_patient(spark, sf_dir):
     df = loaded_visits(spark, sf_dir, ["order_key", "PATIENT", "Id_patient"])
     df = df.withColumn("PATIENT", F.when(F.col("order_key") % 2 == 0, F.col("PATIENT")))
@@ -294,7 +292,8 @@ SELECT (SELECT count(*) FROM visits) AS total_records, CAST(20 AS BIGINT) AS tot
        || 'Patient Pseudonymization, Payer Mapping, Id_payer Mapping, Reason Code Mapping' AS methods""")
 def summary(spark, sf_dir):
     done = deidentify_rules(loaded_visits(spark, sf_dir), "order_key")
-    report = summary_report(done.output, done.dictionary, done.removed, done.generalized)
+    output = written(done.output, "output")  # the result is made once, then reported on
+    report = summary_report(output, done.dictionary, done.removed, done.generalized)
     return report.select(
         "total_records", "total_columns", "mappings_generated.*", "columns_removed",
         "date_columns_generalized", F.array_join("anonymization_methods_applied", ", ").alias("methods"),
@@ -307,4 +306,4 @@ def audit(spark, sf_dir):
     df = loaded_visits(spark, sf_dir)
     done = deidentify_rules(df, "order_key", fill=False)
     rows_in = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return run_audit(rows_in, done.output, {"input": "visits", "job": "rules", "policy_version": "1"})
+    return run_audit(rows_in, written(done.output, "output"), {"input": "visits", "job": "rules", "policy_version": "1"})

@@ -1,8 +1,8 @@
 """Pseudonym dictionaries as tables: build, extend, apply, save, load.
 
-A dictionary holds `namespace, original, seq, pseudonym`, stored by namespace, so the
-size of each namespace is known when a join against it is planned: Catalyst sends a
-small one to every executor and shuffles a large one.
+A dictionary holds `namespace, original, seq, pseudonym`, stored by namespace. The entries
+of each namespace are counted before a lookup: a small namespace is sent to every
+executor, a large one is joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -17,14 +17,11 @@ from pyspark.sql import functions as F
 from veilframe import fixed_values
 from veilframe.functions.guards import is_missing, key_text
 from veilframe.operators.ordering import ROWS_PER_BUCKET, numbered
-from veilframe.session import written, written_and_counted
+from veilframe.session import BROADCAST_ROWS, sent_if_small, written, written_and_counted
 
 COLUMNS = ["namespace", "original", "seq", "pseudonym"]
 SCHEMA = "original string, seq bigint, pseudonym string, namespace string"
 
-# More entries than Catalyst would send to every executor (10 MB of files).
-LARGE_ENTRIES = 150_000
-
 
 @dataclass(frozen=True)
 class Namespace:
@@ -180,12 +177,13 @@ def random_entries(
     return written(entries, "random", by="namespace").select(*COLUMNS)
 
 
-def _replaced(df, dictionary, columns, placeholder):
+def _replaced(df, dictionary, columns, placeholder, sizes, large_entries):
     """Replace each (namespace, column) by its pseudonym."""
     for name, column in columns:
         entry = dictionary.where(F.col("namespace") == name).select(
             F.col("original").alias("_original"), F.col("pseudonym").alias("_pseudonym")
         )
+        entry = sent_if_small(entry, sizes.get(name, 0), large_entries)
         text = key_text(df, column)
         pseudonym = F.when(_skipped(text, placeholder), text).otherwise(F.col("_pseudonym"))
         kept = [pseudonym.alias(c) if c == column else F.col(f"`{c}`") for c in df.columns]
@@ -199,7 +197,7 @@ def apply_dictionary(
     namespaces: Mapping[str, Namespace] = NAMESPACES,
     placeholder: str | None = fixed_values.UNKNOWN,
     row_key: str | None = None,
-    large_entries: int = LARGE_ENTRIES,
+    large_entries: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Replace every key column by its pseudonym.
 
@@ -211,16 +209,16 @@ def apply_dictionary(
     key columns alone, and the wide rows are shuffled once, to take the result in.
     """
     columns = [(n, c) for n, spec in present(df, namespaces).items() for c in spec.columns]
-    large = []
-    if row_key is not None and len(columns) > 1:
-        sizes = dict(namespace_sizes(dictionary).collect())  # one per namespace
-        large = [(n, c) for n, c in columns if sizes.get(n, 0) > large_entries]
-    if len(large) < 2:
-        return _replaced(df, dictionary, columns, placeholder)
-    moved = [c for _, c in large]
-    narrow = _replaced(df.select(row_key, *moved), dictionary, large, placeholder)
+    sizes = dict(namespace_sizes(dictionary).collect())  # one per namespace
+    how = (placeholder, sizes, large_entries)
+    large = [(n, c) for n, c in columns if sizes.get(n, 0) > large_entries]
     small = [pair for pair in columns if pair not in large]
-    wide = _replaced(df.drop(*moved), dictionary, small, placeholder)
+    if row_key is None or len(large) < 2:
+        # The small ones first: the rows are shorter when they have to be shuffled.
+        return _replaced(df, dictionary, [*small, *large], *how)
+    moved = [c for _, c in large]
+    narrow = _replaced(df.select(row_key, *moved), dictionary, large, *how)
+    wide = _replaced(df.drop(*moved), dictionary, small, *how)
     return wide.join(narrow, row_key).select(*[F.col(f"`{c}`") for c in df.columns])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from veilframe.operators.ordering import ROWS_PER_BUCKET, numbered
 from veilframe.operators.profile import one_row_per_column, unpivoted
-from veilframe.session import written, written_and_counted
+from veilframe.session import sent_if_small, written, written_and_counted
 
 
 def label_state(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -22,19 +22,27 @@ def label_state(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = RO
     return written(coded, "label_codes", by="feature").select("feature", "label", "code")
 
 
-def _swapped(df: DataFrame, state: DataFrame, column: str, probe: Column, key: str, value: str) -> DataFrame:
+def _label_counts(state: DataFrame) -> dict[str, int]:
+    """Labels per column; the codes run from 0."""
+    return dict(state.groupBy("feature").agg(F.max("code") + 1).collect())  # one per column
+
+
+def _swapped(df: DataFrame, state: DataFrame, column: str, probe: Column, key: str, value: str,
+             labels: int) -> DataFrame:
     """Replace a column by the `value` of the state row whose `key` is the probe."""
     entries = state.where(F.col("feature") == column).select(
         F.col(key).alias("_key"), F.col(value).alias("_value")
     )
     kept = [F.col("_value").alias(c) if c == column else F.col(f"`{c}`") for c in df.columns]
-    return df.join(entries, probe == F.col("_key"), "left").select(*kept)
+    return df.join(sent_if_small(entries, labels), probe == F.col("_key"), "left").select(*kept)
 
 
 def encode_labels(df: DataFrame, state: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace texts by their codes; a text the state lacks becomes null."""
-    for column in columns:
-        df = _swapped(df, state, column, F.col(f"`{column}`").cast("string"), "label", "code")
+    labels = _label_counts(state)
+    for column in sorted(columns, key=lambda c: labels.get(c, 0)):  # the small ones first
+        text = F.col(f"`{column}`").cast("string")
+        df = _swapped(df, state, column, text, "label", "code", labels.get(column, 0))
     return df
 
 
@@ -44,15 +52,15 @@ def decode_labels(df: DataFrame, state: DataFrame, columns: Sequence[str], clip:
     With `clip`, codes are rounded half to even and moved into the known range;
     otherwise they are cut to whole numbers and unknown ones become null.
     """
-    top = dict(state.groupBy("feature").agg(F.max("code")).collect()) if clip else {}  # one per column
+    labels = _label_counts(state)
     for column in columns:
-        number = F.col(f"`{column}`").cast("double")
+        number, known = F.col(f"`{column}`").cast("double"), labels.get(column, 0)
         if clip:
-            code = F.least(F.greatest(F.rint(number).cast("bigint"), F.lit(0)), F.lit(top[column]))
+            code = F.least(F.greatest(F.rint(number).cast("bigint"), F.lit(0)), F.lit(known - 1))
             code = F.when(number.isNotNull(), code)
         else:
             code = number.cast("bigint")
-        df = _swapped(df, state, column, code, "code", "label")
+        df = _swapped(df, state, column, code, "code", "label", known)
     return df
 
 

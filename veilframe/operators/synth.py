@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from veilframe.functions.hashing import drawn_number
 from veilframe.operators.ordering import ROWS_PER_BUCKET, numbered, running_before
-from veilframe.session import written, written_and_counted
+from veilframe.session import sent_if_small, written, written_and_counted
 
 # Positions per chunk: a cell of any size is looked up in pieces of about this many rows.
 CHUNK = 100_000
@@ -70,6 +70,7 @@ def draw_from_cells(
     counts = donors.groupBy("cell", "wide_cell", *values).agg(F.count(F.lit(1)).alias("width"))
     counts = written(counts, "cell_counts")
     sizes = counts.groupBy("cell").agg(F.sum("width").alias("size")).where(F.col("size") >= floor_rows)
+    sizes = sent_if_small(*written_and_counted(sizes, "cell_sizes"))
     wide = counts.groupBy(F.col("wide_cell").alias("cell"), *values).agg(F.sum("width").alias("width"))
     usable = counts.join(sizes, "cell", "left_semi").select("cell", *values, "width")
     cells, rows = written_and_counted(usable.unionByName(wide), "cells")

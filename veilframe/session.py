@@ -14,6 +14,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 
+# A lookup table of up to this many counted rows is sent to every executor.
+BROADCAST_ROWS = 100_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
@@ -57,6 +60,12 @@ def written_and_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return table, seen.get["rows"]
 
 
+def sent_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a table whose rows have been counted, if they are few. Catalyst cannot
+    tell by itself: it goes by the size of all files, not of the part that is read."""
+    return F.broadcast(df) if rows <= limit else df
+
+
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
     """A few rows the driver holds, as a table whose size Catalyst knows."""
     if isinstance(schema, str):
