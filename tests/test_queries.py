@@ -3,9 +3,11 @@
 import pytest
 from conftest import rows_of
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from veilframe.catalog import load_all
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES = {name: query.run for name, query in load_all().items()}
+SQL = {name: query.sql for name, query in load_all().items() if query.sql is not None}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
