@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import exact_dedup
+from veilframe.llm import exact_dedup, quality_rules
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,61 @@ def query(name: str, sql: str | None = None):
     FROM bare JOIN best USING (t)""")
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality_rules", r"""
+    WITH w AS (
+        SELECT doc_id, lang, source, coalesce(text, '') AS t,
+               list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+        FROM documents),
+    windows AS (
+        SELECT doc_id, unnest(range(1, len(w) - 1)) AS p, w FROM w WHERE len(w) >= 3),
+    again AS (
+        SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, w[p], w[p + 1], w[p + 2]) AS n FROM windows),
+    repeats AS (
+        SELECT doc_id, count(DISTINCT p + o) AS n FROM again, (SELECT unnest([0, 1, 2]) AS o) WHERE n > 1 GROUP BY doc_id),
+    counts AS (
+        SELECT doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+               length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+               len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words,
+               length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_capitals, len(l) AS n_lines
+        FROM w LEFT JOIN repeats USING (doc_id)),
+    based AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
+    long AS (
+        SELECT doc_id, lang, source, base_failed, unnest([
+            {'measure': 'symbols', 'least': 10, 'value': 1000 * n_symbols // greatest(n_words, 1)},
+            {'measure': 'capitals', 'least': 10, 'value': 1000 * n_capitals // greatest(word_chars, 1)},
+            {'measure': 'repeats', 'least': 20, 'value': 1000 * n_repeat_words // greatest(n_words, 1)},
+            {'measure': 'dup_lines', 'least': 50, 'value': 1000 * n_dup_lines // greatest(n_lines, 1)},
+            {'measure': 'length', 'least': 10, 'value': 100 * word_chars // greatest(n_words, 1)}], recursive := true)
+        FROM based),
+    binned AS (
+        SELECT lang, source, measure, least, (value >> greatest(length(bin(value)) - 6, 0)) << greatest(length(bin(value)) - 6, 0) AS bin
+        FROM long WHERE NOT base_failed),
+    levels AS (
+        SELECT 1 AS level, lang, source, measure, least, bin FROM binned UNION ALL
+        SELECT 2, lang, NULL, measure, least, bin FROM binned UNION ALL
+        SELECT 3, NULL, NULL, measure, least, bin FROM binned),
+    quartiles AS (
+        SELECT level, lang, source, measure, least, count(*) AS n, quantile_disc(bin, 0.25) AS q1,
+               quantile_disc(bin, 0.5) AS q2, quantile_disc(bin, 0.75) AS q3
+        FROM levels GROUP BY ALL),
+    cutoffs AS (
+        SELECT level, lang, source, measure, n, q2 + 8 * greatest(q3 - q1, least) AS most,
+               CASE WHEN measure = 'length' THEN q2 - 8 * greatest(q3 - q1, least) END AS low FROM quartiles),
+    verdicts AS (
+        SELECT doc_id, bool_and(
+            value <= CASE WHEN a.n >= 100 THEN a.most WHEN b.n >= 100 THEN b.most ELSE c.most END
+            AND coalesce(value >= CASE WHEN a.n >= 100 THEN a.low WHEN b.n >= 100 THEN b.low ELSE c.low END, true)) AS inside
+        FROM long LEFT JOIN cutoffs a ON a.level = 1 AND a.measure = long.measure
+                AND a.lang IS NOT DISTINCT FROM long.lang AND a.source IS NOT DISTINCT FROM long.source
+            LEFT JOIN cutoffs b ON b.level = 2 AND b.measure = long.measure AND b.lang IS NOT DISTINCT FROM long.lang
+            LEFT JOIN cutoffs c ON c.level = 3 AND c.measure = long.measure
+        GROUP BY doc_id)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_capitals, n_lines, base_failed,
+           NOT base_failed AND coalesce(inside, false) AS kept
+    FROM based JOIN verdicts USING (doc_id)""")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(table(spark, sf_dir, "documents"))
