@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import exact_dedup, quality_rules
+from veilframe.llm import exact_dedup, quality_rules, simhash
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM based JOIN verdicts USING (doc_id)""")
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
+
+
+@query("op8_simhash_near_dedup")
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_report(table(spark, sf_dir, "documents"), shingle=4, radius=4)
