@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import exact_dedup, quality_rules, simhash
+from veilframe.llm import exact_dedup, mixing, quality_rules, simhash
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+# Shares of tokens by language and by form; sources are tempered, so that large ones give way a little.
+MIX = mixing.Targets(
+    sources=0.9, languages={"en": 0.64, "de": 0.14, "fr": 0.14, "es": 0.08},
+    topics={"brief": 0.04, "article": 0.60, "long": 0.36})
+
 
 def query(name: str, sql: str | None = None):
     def register(run):
@@ -97,3 +102,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_simhash_near_dedup")
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
+@query("op5_mixing")
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(table(spark, sf_dir, "documents"), MIX)
