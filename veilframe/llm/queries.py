@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import exact_dedup, mixing, quality_rules, simhash
+from veilframe.llm import exact_dedup, mixing, pieces, quality_rules, simhash
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,9 @@ MIX = mixing.Targets(
     sources=0.9, languages={"en": 0.64, "de": 0.14, "fr": 0.14, "es": 0.08},
     topics={"brief": 0.04, "article": 0.60, "long": 0.36})
 
+# The piece model: a file of a public tokenizer.
+PIECE_MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 
 def query(name: str, sql: str | None = None):
     def register(run):
@@ -107,3 +111,8 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_mixing")
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(table(spark, sf_dir, "documents"), MIX)
+
+
+@query("op4_pieces")
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoding_report(table(spark, sf_dir, "documents"), pieces.read_model(PIECE_MODEL))
