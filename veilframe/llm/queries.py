@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import exact_dedup, mixing, pieces, quality_rules, simhash
+from veilframe.llm import exact_dedup, mixing, pieces, quality_rules, simhash, url_filter
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,45 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_pieces")
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_report(table(spark, sf_dir, "documents"), pieces.read_model(PIECE_MODEL))
+
+
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+@query("op2_url_filter", r"""
+    WITH parts AS (
+        SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path,
+               list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '(?s)^[^?#]*\?([^#]*)', 1), '&'),
+                   lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS asked
+        FROM pages),
+    named AS (
+        SELECT *, CASE WHEN host = '' THEN '' ELSE
+                   regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '')
+                   || CASE WHEN len(asked) > 0 THEN '?' || array_to_string(asked, '&') ELSE '' END END AS canonical
+        FROM parts),
+    listed AS (
+        SELECT DISTINCT canonical FROM named JOIN labels
+            ON try_cast(regexp_extract(path, '/([0-9]+)(\.html)?/?$', 1) AS bigint) = labels.doc_id
+        WHERE toxic = 1 AND canonical <> ''),
+    ruled AS (
+        SELECT *, CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                       WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+                       WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+                       WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+                       WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule,
+               canonical IN (SELECT canonical FROM listed) AS listed
+        FROM named)
+    SELECT page_id, host, path, rule, canonical, listed,
+           CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+                WHEN listed THEN 'block' ELSE 'allow' END AS verdict
+    FROM ruled""")
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: URLs of pages whose document, by the number that ends the path, is labelled toxic."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.expr(r"try_cast(regexp_extract(path, '/([0-9]+)(\\.html)?/?$', 1) AS bigint)")
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
+    listed = pages.select("url", url_filter.path_of(F.col("url")).alias("path")).select("url", number.alias("doc_id")).join(
+        toxic, "doc_id").select("url")
+    return url_filter.filtered(pages, listed, URL_RULES)
