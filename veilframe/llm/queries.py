@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import exact_dedup, mixing, pieces, quality_rules, simhash, url_filter
+from veilframe.llm import exact_dedup, mixing, pieces, quality_rules, simhash, url_filter, warc
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,18 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = pages.select("url", url_filter.path_of(F.col("url")).alias("path")).select("url", number.alias("doc_id")).join(
         toxic, "doc_id").select("url")
     return url_filter.filtered(pages, listed, URL_RULES)
+
+
+@query("op7_warc", r"""
+    WITH payloads AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+    marked AS (
+        SELECT *, max(page_id) OVER (PARTITION BY hex) AS largest FROM payloads)
+    SELECT page_id, payload_bytes,
+           array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS integer), 5))::bigint >> CAST(15 - 5 * (i % 4) AS integer)) & 31), 1)), '') AS payload_digest,
+           CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> largest THEN largest END AS refers_to
+    FROM marked""")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
