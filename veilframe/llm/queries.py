@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import exact_dedup, mixing, pieces, quality_rules, simhash, url_filter, warc
+from veilframe.llm import exact_dedup, mixing, personal, pieces, quality_rules, simhash, url_filter, warc
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +173,8 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM marked""")
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), least_bytes=0)
+
+
+@query("op3_personal_data")
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_report(table(spark, sf_dir, "documents"))
