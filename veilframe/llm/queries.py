@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import exact_dedup, mixing, personal, pieces, quality_rules, simhash, url_filter, warc
+from veilframe.llm import (
+    chat, exact_dedup, mixing, personal, pieces, quality_classifier, quality_rules, simhash, url_filter, warc,
+)
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +180,14 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_personal_data")
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.personal_report(table(spark, sf_dir, "documents"))
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source is the host of a document, and its language the path there."""
+    return quality_classifier.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_chat_format")
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(table(spark, sf_dir, "conversations"))
