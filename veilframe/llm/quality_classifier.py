@@ -15,7 +15,6 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,9 +80,10 @@ def evidence(rows: DataFrame, model: Model) -> DataFrame:
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     fit = LogisticRegression(maxIter=model.steps, regParam=model.penalty, featuresCol="features", labelCol="label").fit(assembler.transform(sample))
     prior = math.log(counted[1.0] / counted[0.0])
-    scored = fit.transform(assembler.transform(rows))
-    return scored.withColumn("evidence", F.get(vector_to_array("rawPrediction"), F.lit(1)) - prior).drop(
-        "features", "rawPrediction", "probability", "prediction")
+    log_odds = F.lit(float(fit.intercept) - prior)
+    for name, weight in zip(FEATURES, fit.coefficients.toArray().tolist()):
+        log_odds += F.lit(weight) * F.col(name)
+    return rows.withColumn("evidence", log_odds)
 
 
 def strength(groups: DataFrame, mean: Column) -> float:
