@@ -91,11 +91,27 @@ def test_large_namespaces_are_looked_up_on_the_keys_alone(spark):
     df = keyed(spark, "PATIENT string, Id_patient string, PAYER string, other string",
                ("x", "y", "p", "1"), ("y", None, "q", "2"), ("Unknown", "x", "p", None))
     known = build_dictionary(df, "n")
-    direct, split = apply_dictionary(df, known), apply_dictionary(df, known, row_key="n", large_entries=1)
+    direct, split = apply_dictionary(df, known), apply_dictionary(df, known, row_key="n", sent_bytes=0)
     assert split.columns == direct.columns == df.columns
     assert split.orderBy("n").collect() == direct.orderBy("n").collect()
 
 
+def test_rows_that_pass_through_are_dealt_out(spark):
+    """Half the rows hold the placeholder; none of the tasks of the shuffled lookup gets them all."""
+    df = spark.range(20_000).select(F.col("id").alias("n"), F.when(F.col("id") % 2 == 0, "Unknown").otherwise(F.col("id").cast("string")).alias("PAYER"))
+    spec = {"payers": NAMESPACES["payers"]}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = apply_dictionary(df, build_dictionary(df, "n", spec), spec, sent_bytes=0)
+        sizes = [r["count"] for r in done.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) < 2 * 20_000 / len(sizes)
+        assert done.where("PAYER = 'Unknown'").count() == 10_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_a_key_the_dictionary_lacks_never_leaks(spark):
     spec = {"payers": NAMESPACES["payers"]}
     known = build_dictionary(keyed(spark, "PAYER string", ("a",)), "n", spec)
@@ -113,6 +129,7 @@ def test_a_key_is_the_same_as_text_number_or_fraction(spark):
 
 def test_hashes(spark):
     assert one(spark, hashing.hash_ssn(F.lit("999-65-9959"))) == "42d-da-debe"
+    assert len(one(spark, hashing.hash_ssn(F.lit("999-65-9959"), "salt"))) == 26
     assert one(spark, hashing.hash_name(F.lit("Ammie189"))) == "Person_809b1fab"
     assert one(spark, hashing.hash_address(F.lit("901 Satterfield Pathway"))) == "Address_1c8d644b"
     assert one(spark, hashing.hash_name(F.lit(""))) == ""
@@ -120,11 +137,11 @@ def test_hashes(spark):
     assert len(one(spark, hashing.keyed_uuid(F.lit("a"), "s"))) == 36
 
 
-@pytest.mark.parametrize("sample_rows", [None, 50])
-def test_medians(spark, sample_rows):
+@pytest.mark.parametrize("bracket", [None, impute.BRACKET])
+def test_medians(spark, bracket):
     df = keyed(spark, "a double, b bigint, c double", (1.0, 5, None), (2.0, 5, None), (3.0, 1, None), (10.0, None, None),
                (None, 7, None))
-    medians = impute.exact_medians(df, ["a", "b", "c"], sample_rows)
+    medians = impute.exact_medians(df, ["a", "b", "c"], bracket=bracket)
     assert {r.feature: r.median for r in medians.collect()} == {"a": 2.5, "b": 5.0}
     filled = impute.fill_numbers(df, ["a", "c"], medians).orderBy("n").collect()
     assert [r.a for r in filled] == [1.0, 2.0, 3.0, 10.0, 2.5] and {r.c for r in filled} == {None}
@@ -135,9 +152,10 @@ def test_bracketed_medians_are_exact(spark, rows_per_bucket):
     df = spark.range(5001).select(
         F.pmod(F.hash("id"), F.lit(997)).cast("double").alias("even"),
         F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.exp(F.col("id") / 500)).alias("hot"),
-        F.lit(4.0).alias("same"),
+        F.lit(4.0).alias("same"), F.when(F.col("id") % 1000 == 7, F.col("id")).alias("sparse"),
+        F.when(F.col("id") < 2, F.col("id")).alias("two"),
     )
-    got = {r.feature: r.median for r in impute.exact_medians(df, df.columns, 500, rows_per_bucket).collect()}
+    got = {r.feature: r.median for r in impute.exact_medians(df, df.columns, rows_per_bucket).collect()}
     expected = df.select(*[F.median(c).alias(c) for c in df.columns]).first().asDict()
     assert got == expected
 
@@ -186,6 +204,8 @@ def test_sample_goes_round_the_conditions(spark):
 def test_first_rows(spark):
     df = spark.range(10)
     assert [first_rows(df, "id", n).count() for n in (None, 0, 3)] == [10, 0, 3]
+    many = first_rows(spark.range(30_000), "id", 12_000)
+    assert many.count() == 12_000 and many.agg(F.max("id")).first()[0] == 11_999
 
 
 def test_roles(spark, tmp_path):
@@ -195,9 +215,9 @@ def test_roles(spark, tmp_path):
     assert by_part.direct == ["PROVIDER", "Id_encounter"] and by_part.quasi == ["PAYER_COVERAGE", "CITY"]
     path = tmp_path / "roles.json"
     path.write_text('{"direct_identifiers": ["FIRST", "ABSENT"], "other": 1}')
-    roles = resolve_roles(df, load_roles(str(path)))
+    roles = resolve_roles(df, load_roles(spark, str(path)))
     assert roles.direct == ["FIRST"] and "Id_encounter" in roles.clinical
-    assert load_roles(None) == {}
+    assert load_roles(spark, None) == {}
     treatments = {c: t for c, _, t in policy_rows(df, resolve_roles(df, {"direct_identifiers": ["FIRST", "PROVIDER"]}))}
     assert treatments["FIRST"] == "name" and treatments["PROVIDER"] == "drop"
 

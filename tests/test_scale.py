@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from veilframe.operators import synth
 from veilframe.operators.dictionary import NAMESPACES, apply_dictionary, build_dictionary
-from veilframe.operators.ordering import numbered, running_before
-from veilframe.session import shared_folder, written
+from veilframe.operators.ordering import dealt_by_range, following, numbered, running_before
+from veilframe.session import drafts, shared_folder, written
 
 
 def hot_rows(spark, rows=6000):
@@ -34,13 +34,48 @@ def test_running_totals_equal_a_plain_window(spark, rows_per_bucket, group):
 def test_buckets_are_of_like_size(spark):
     """Also where one group and one day hold most rows: the split is on the whole order."""
     table = written(spark.range(20_000).select(F.lit("one").alias("g"), F.lit("day").alias("day"), "id"), "t")
-    from veilframe.operators.ordering import _bucket, _split_points
-
-    key = F.struct("g", "day", "id")
-    sizes = table.groupBy(_bucket(_split_points(table, key, 20_000, 20), key, 20).alias("b")).count().collect()
+    sizes = dealt_by_range(table, ["g", "day", "id"], 20_000, 1000).groupBy("_bucket").count().collect()
     assert len(sizes) > 10 and max(r["count"] for r in sizes) < 4000
 
 
+def test_the_next_row_equals_a_plain_window(spark):
+    table = written(hot_rows(spark), "t")
+    window = Window.partitionBy("g").orderBy("day", "id")
+    expected = table.withColumns({"d": F.lead("day").over(window), "i": F.lead("id").over(window)})
+    assert rows_of(following(table, ["day", "id"], {"d": "day", "i": "id"}, ["g"], 50)) == rows_of(expected)
+
+
+def test_many_draws_on_few_donors_are_cut(spark, monkeypatch):
+    """The window of a hot cell is cut by draws: no part holds more than a few chunks."""
+    monkeypatch.setattr(synth, "CHUNK", 500)
+    donors = written(spark.range(20).select(F.lit("one").alias("g"), F.col("id").alias("w")), "t")
+    asked = spark.range(10_000).select("id", F.lit("one").alias("g"))
+    seen = []
+    real = synth.Window.partitionBy
+
+    class Spy(synth.Window):
+        @staticmethod
+        def partitionBy(*names):
+            seen.append(names)
+            return real(*names)
+
+    monkeypatch.setattr(synth, "Window", Spy)
+    got = synth.synthesise(donors, asked, "id", F.col("g"), ["w"], "1")
+    assert got.count() == 10_000 and ("cell", "chunk", "part") in seen
+    shares = [r["count"] for r in got.groupBy("w").count().collect()]
+    assert len(shares) == 20 and min(shares) > 300
+
+
+def test_drafts_are_deleted_at_the_end(spark):
+    import os
+
+    with drafts(spark):
+        table = written(spark.range(5), "clear_text")
+        place = table.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(place)
+    assert not os.path.exists(os.path.dirname(place))
+
+
 @pytest.mark.parametrize("partitions", [1, 8, 64])
 def test_numbers_do_not_depend_on_partitions(spark, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)

@@ -1,5 +1,6 @@
 """Reading, writing and saved state."""
 
+import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
@@ -56,6 +57,26 @@ def test_written_csv_reads_back(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "json")).count() == 2
 
 
+@pytest.mark.parametrize("sink, source", [("quoted", "quoted"), ("escape", "escaped")])
+def test_line_breaks_survive(spark, tmp_path, sink, source):
+    texts = ["one\ntwo", "a\r\nb", "back\\nslash", '"quoted", \\', "\\\\n\n", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "n bigint, t string")
+    write_csv(df, str(tmp_path / "out"), line_breaks=sink)
+    assert rows_of(scan_csv(spark, str(tmp_path / "out"), types={"n": "bigint"}, line_breaks=source)) == rows_of(df)
+    assert row_count(spark, str(tmp_path / "out"), source) == 6
+
+
+def test_line_breaks_are_refused_unless_asked_for(spark, tmp_path):
+    with pytest.raises(Exception, match="line break in column t"):
+        write_csv(spark.createDataFrame([("a\nb",)], "t string"), str(tmp_path / "out"))
+
+
+def test_long_whole_numbers_stay_apart(spark):
+    rows = [("9000000000000000001", "90000000000000000001", "12345678901234567", "1"), ("9000000000000000002", "90000000000000000002", "1.5", "2.5")]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string")
+    assert inferred_types(df) == {"a": "bigint", "d": "double"}
+
+
 def test_inferred_types(spark):
     df = spark.createDataFrame([("1", "1.5", "x", None), ("-2", "3", "4", None)], "a string, b string, c string, d string")
     assert inferred_types(df) == {"a": "bigint", "b": "double", "d": "double"}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from veilframe import fixed_values as fixed
@@ -13,10 +15,10 @@ from veilframe.operators import impute, profile
 from veilframe.operators.columns import add_age_range, condition_target_split, hash_identifiers
 from veilframe.operators.dictionary import Namespace, apply_dictionary, random_entries
 from veilframe.plans.policy import (
-    column_types, policy_rows, policy_table, resolve_roles, role_by_name, route_direct,
+    column_types, load_roles, policy_rows, policy_table, resolve_roles, role_by_name, route_direct,
 )
 from veilframe.session import local_table, new_path
-from veilframe.sources.tables import scan_csv, write_csv
+from veilframe.sources.tables import row_count, scan_csv, write_csv, write_json
 
 TYPES = {
     "order_key": "bigint", "REASONCODE": "double", "CODE": "bigint", "BASE_ENCOUNTER_COST": "double",
@@ -38,6 +40,50 @@ def scan_normalize(spark, sf_dir):
     return scan_csv(spark, path, infer=True, types={"REASONCODE": "double"})
 
 
+UNSAFE_SQL = """SELECT o_orderkey AS order_key, CAST(9000000000000000000 + o_orderkey AS VARCHAR) AS short_id,
+  '1' || CAST(9000000000000000000 + o_orderkey AS VARCHAR) AS long_id,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority || chr(10) || o_orderstatus || chr(13) || chr(10) || '\\n'
+       WHEN o_orderkey % 3 = 1 THEN '"' || o_orderpriority || '", ' || chr(92) || o_orderstatus END AS note FROM orders"""
+
+
+def _unsafe(spark, sf_dir):
+    """Ids of 19 and 20 digits, and notes with line breaks, quotes and backslashes."""
+    number = (F.lit(9000000000000000000) + F.col("o_orderkey")).cast("string")
+    broken = F.concat("o_orderpriority", F.lit("\n"), "o_orderstatus", F.lit("\r\n\\n"))
+    quoted = F.concat(F.lit('"'), "o_orderpriority", F.lit('", \\'), "o_orderstatus")
+    note = F.when(F.col("o_orderkey") % 3 == 0, broken).when(F.col("o_orderkey") % 3 == 1, quoted)
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_key"), number.alias("short_id"), F.concat(F.lit("1"), number).alias("long_id"), note.alias("note"))
+
+
+def _as_read(df):
+    """19 digits fit a bigint and 20 do not, so the ids come back as a number and as text."""
+    return df.select("order_key", F.col("short_id").cast("string").alias("short_id"), "long_id", "note")
+
+
+@query("scan_long_ids_and_breaks", UNSAFE_SQL)
+def scan_long_ids_and_breaks(spark, sf_dir):
+    path = new_path(spark, "scan")
+    write_csv(_unsafe(spark, sf_dir), path, line_breaks="quoted")
+    return _as_read(scan_csv(spark, path, infer=True, line_breaks="quoted"))
+
+
+@query("scan_escaped_breaks", UNSAFE_SQL)
+def scan_escaped_breaks(spark, sf_dir):
+    path = new_path(spark, "scan")
+    write_csv(_unsafe(spark, sf_dir), path, line_breaks="escape")
+    return _as_read(scan_csv(spark, path, infer=True, line_breaks="escaped"))
+
+
+@query("written_rows", "SELECT count(*) AS rows_written, count(*) AS rows_escaped FROM orders")
+def written_rows(spark, sf_dir):
+    df, quoted, escaped = _unsafe(spark, sf_dir), new_path(spark, "scan"), new_path(spark, "scan")
+    write_csv(df, quoted, line_breaks="quoted")
+    write_csv(df, escaped, line_breaks="escape")
+    rows = (row_count(spark, quoted, "quoted"), row_count(spark, escaped))
+    return local_table(spark, [rows], "rows_written bigint, rows_escaped bigint")
+
+
 # ---- fill ----------------------------------------------------------------------------
 
 FILLED_TEXT = ["ORGANIZATION", "STOP", "condition_dates", "MARITAL"]
@@ -61,6 +107,20 @@ def impute_median(spark, sf_dir):
     return impute.fill_numbers(df, MEDIANS, impute.exact_medians(df, MEDIANS))
 
 
+SPARSE = {"rare": 401, "rarer": 1009, "even_rarer": 4001}
+
+
+@query("impute_median_sparse", f"""{VISITS_SQL}, thin AS (
+  SELECT order_key, {", ".join(f'CASE WHEN order_key % {m} = 0 THEN "BASE_ENCOUNTER_COST" END AS {c}' for c, m in SPARSE.items())}
+  FROM visits)
+SELECT order_key, {", ".join(f'coalesce({c}, (SELECT median({c}) FROM thin)) AS {c}' for c in SPARSE)} FROM thin""")
+def impute_median_sparse(spark, sf_dir):
+    """Columns that are mostly null: each is bracketed by its own values."""
+    df = loaded_visits(spark, sf_dir, ["order_key", "BASE_ENCOUNTER_COST"]).select(
+        "order_key", *[F.when(F.col("order_key") % m == 0, F.col("BASE_ENCOUNTER_COST")).alias(c) for c, m in SPARSE.items()])
+    return impute.fill_numbers(df, list(SPARSE), impute.exact_medians(df, list(SPARSE)))
+
+
 def _nulls(columns):
     return " + ".join(f'count(*) FILTER ("{c}" IS NULL)' for c in columns)
 
@@ -101,6 +161,15 @@ def profile_columns(spark, sf_dir):
     return profile.profile_columns(visits(spark, sf_dir))
 
 
+@query("metadata_json_sink", VISITS_SQL + _per_column(
+    " count(*) AS total_records, count(*) FILTER ({c} IS NULL) AS missing_values"))
+def metadata_json_sink(spark, sf_dir):
+    """The profile through its JSON file."""
+    path = new_path(spark, "profile")
+    write_json(profile.profile_columns(visits(spark, sf_dir)), path)
+    return spark.read.json(path)
+
+
 @query("feature_metadata", f"""{VISITS_SQL}, counted AS (
 {_per_column(" count(DISTINCT {c}) AS unique_values, count(*) FILTER ({c} IS NULL) AS missing_values")})
 SELECT "column", {_category(DIRECT_PATTERN, QUASI_PATTERN)} AS category, dtype, unique_values, missing_values
@@ -174,6 +243,18 @@ def policy_resolve(spark, sf_dir):
     return policy_table(spark, policy_rows(df, roles)).join(cells, "column")
 
 
+@query("role_file_resolve", f"""{VISITS_SQL}, counted AS ({_per_column(" count({c}) AS cells")})
+SELECT "column", role, treatment, cells FROM counted JOIN (VALUES
+{", ".join(str(r) for r in RESOLVED)}) AS r(c, role, treatment) ON c = "column" """)
+def role_file_resolve(spark, sf_dir):
+    """The roles through a JSON file in the shared folder."""
+    df, path = visits(spark, sf_dir), new_path(spark, "roles")
+    lists = json.dumps({**fixed.DEFAULT_ROLES, **OVERRIDE, "comment": "no role"}, indent=2)
+    local_table(spark, [(lists,)], "value string").coalesce(1).write.text(path)
+    cells = profile.one_row_per_column(df, df.columns, {"cells": F.count})
+    return policy_table(spark, policy_rows(df, resolve_roles(df, load_roles(spark, path)))).join(cells, "column")
+
+
 @query("condition_target_split", f"""{VISITS_SQL}
 SELECT x.*, y.* EXCLUDE (order_key) FROM
   (SELECT order_key, "CITY", "STATE", "ORGANIZATION", "PATIENT", "MARITAL" FROM visits) AS x JOIN
@@ -194,8 +275,11 @@ def _uuid_sql(text: str, salt: str) -> str:
     return " || '-' || ".join(parts)
 
 
-def _ssn_sql(text: str) -> str:
-    return " || '-' || ".join(f"substr(sha256({text}), {at}, {n})" for at, n in ((1, 3), (4, 2), (6, 4)))
+def _ssn_sql(text: str, parts=((1, 3), (4, 2), (6, 4))) -> str:
+    return " || '-' || ".join(f"substr(sha256({text}), {at}, {n})" for at, n in parts)
+
+
+SALTED_PARTS = ((1, 8), (9, 8), (17, 8))
 
 
 @query("hash_ssn", f'{VISITS_SQL} SELECT order_key, {_ssn_sql(chr(34) + "SSN" + chr(34))} AS "SSN" FROM visits')
@@ -232,7 +316,7 @@ def hash_all(spark, sf_dir):
 
 @query("hash_identifiers_keyed", f"""{VISITS_SQL}
 SELECT order_key, 'Person_' || substr(sha256('s1' || "FIRST"), 1, 16) AS "FIRST",
-  'Person_' || substr(sha256('s1' || "LAST"), 1, 16) AS "LAST", {_ssn_sql("'s1' || " + '"SSN"')} AS "SSN",
+  'Person_' || substr(sha256('s1' || "LAST"), 1, 16) AS "LAST", {_ssn_sql("'s1' || " + '"SSN"', SALTED_PARTS)} AS "SSN",
   'Address_' || substr(sha256('s1' || "ADDRESS"), 1, 16) AS "ADDRESS" FROM visits""")
 def hash_all_keyed(spark, sf_dir):
     columns = ["FIRST", "LAST", "SSN", "ADDRESS"]

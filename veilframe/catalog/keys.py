@@ -11,9 +11,10 @@ from veilframe.operators.dictionary import (
     NAMESPACES, SCHEMA, alternate_namespaces, append_entries, apply_dictionary, build_dictionary,
     export_dictionary, load_dictionary, new_entries,
 )
-from veilframe.operators.report import mapping_summary, run_audit, summary_report
+from veilframe.operators.report import append_audit, load_audit, mapping_summary, run_audit, summary_report
 from veilframe.plans.rules import deidentify_incremental, deidentify_rules
 from veilframe.session import new_path, written
+from veilframe.sources.tables import write_json
 
 # ---- SQL parts -----------------------------------------------------------------------
 
@@ -130,6 +131,24 @@ def dict_build(spark, sf_dir):
     return build_dictionary(visits(spark, sf_dir, KEYS), "order_key")
 
 
+LOOKED_UP = ["Id_encounter", "PATIENT", "Id_patient", "ORGANIZATION", "PAYER"]
+
+
+@query("pseudonymize_shuffled", f"""{VISITS_SQL}, holed AS (
+  SELECT * REPLACE (CASE WHEN order_key % 2 = 0 THEN 'Unknown' ELSE "PATIENT" END AS "PATIENT") FROM visits
+)""" + dictionary_sql("holed") + " SELECT v.order_key, " + ", ".join(
+    f"""CASE WHEN v."{c}" = 'Unknown' THEN 'Unknown' ELSE d{i}.pseudonym END AS "{c}" """ for i, c in enumerate(LOOKED_UP)
+) + " FROM holed AS v " + " ".join(
+    f"""LEFT JOIN dict AS d{i} ON d{i}.namespace = '{n}' AND d{i}.original = v."{c}" """
+    for i, (n, c) in enumerate(zip(("encounters", "patients", "patients", "organizations", "payers"), LOOKED_UP))))
+def pseudonymize_shuffled(spark, sf_dir):
+    """Every namespace is looked up by a shuffle, and half the rows hold the placeholder."""
+    df = loaded_visits(spark, sf_dir, KEYS)
+    df = df.withColumn("PATIENT", F.when(F.col("order_key") % 2 == 0, "Unknown").otherwise(F.col("PATIENT")))
+    done = apply_dictionary(df, build_dictionary(df, "order_key"), row_key="order_key", sent_bytes=0)
+    return done.select("order_key", *LOOKED_UP)
+
+
 # Older orders first, then the rest: numbers go on where the first batch stopped.
 BATCHES_SQL = f"""{VISITS_SQL}, batches AS (
   SELECT *, CASE WHEN "START" < '1998' THEN 0 ELSE 1 END AS batch FROM visits
@@ -274,8 +293,8 @@ FROM visits AS v {LOOKUP_JOINS}
 LEFT JOIN dict AS r ON r.namespace = 'reason_codes' AND r.original = CAST(CAST(v."REASONCODE" AS BIGINT) AS VARCHAR)""")
 def incremental(spark, sf_dir):
     older, newer = _two_batches(spark, sf_dir, COLUMNS)
-    first = deidentify_incremental(older, "order_key", None)
-    second = deidentify_incremental(newer, "order_key", first.dictionary)
+    first = deidentify_incremental(older, "order_key", None, row_key="order_key")
+    second = deidentify_incremental(newer, "order_key", first.dictionary, row_key="order_key")
     return first.output.unionByName(second.output)
 
 
@@ -300,6 +319,16 @@ def summary(spark, sf_dir):
     )
 
 
+@query("summary_json_sink", """SELECT count(*) AS total_records, CAST(20 AS BIGINT) AS total_columns,
+  CAST(4 AS BIGINT) AS columns_removed FROM orders""")
+def summary_json_sink(spark, sf_dir):
+    """The summary through its JSON file."""
+    done = deidentify_rules(loaded_visits(spark, sf_dir), "order_key", fill=False)
+    path = new_path(spark, "summary")
+    write_json(summary_report(done.output, done.dictionary, done.removed, done.generalized), path)
+    return spark.read.json(path).select("total_records", "total_columns", "columns_removed")
+
+
 @query("run_audit", """SELECT 'visits' AS input, 'rules' AS job, '1' AS policy_version,
   (SELECT count(*) FROM orders) AS rows_in, (SELECT count(*) FROM orders) AS rows_out""")
 def audit(spark, sf_dir):
@@ -307,3 +336,19 @@ def audit(spark, sf_dir):
     done = deidentify_rules(df, "order_key", fill=False)
     rows_in = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     return run_audit(rows_in, written(done.output, "output"), {"input": "visits", "job": "rules", "policy_version": "1"})
+
+
+@query("run_audit_log", """SELECT 'visits' AS input, batch AS job, '42' AS seed, CAST(finished AS TIMESTAMP) AS finished,
+  count(*) AS rows_in, count(*) AS rows_out FROM (
+    SELECT CASE WHEN o_orderdate < DATE '1998-01-01' THEN 'older' ELSE 'newer' END AS batch,
+           CASE WHEN o_orderdate < DATE '1998-01-01' THEN '2024-01-01 10:00:00' ELSE '2024-01-02 10:00:00' END AS finished FROM orders)
+  GROUP BY ALL""")
+def audit_log(spark, sf_dir):
+    """Two runs appended to one log, each with its seed and time."""
+    folder = new_path(spark, "audit")
+    for job, batch, day in zip(("older", "newer"), _two_batches(spark, sf_dir, ["order_key", "START", "PATIENT"]), ("01", "02")):
+        done = deidentify_incremental(batch, "order_key", None)
+        rows_in = batch.agg(F.count(F.lit(1)).alias("n")).scalar()
+        finished = F.lit(f"2024-01-{day} 10:00:00").cast("timestamp_ntz")
+        append_audit(run_audit(rows_in, done.output, {"input": "visits", "job": job}, seed="42", finished=finished), folder)
+    return load_audit(spark, folder)

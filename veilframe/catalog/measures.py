@@ -15,6 +15,8 @@ from veilframe.operators.dictionary import NAMESPACES, apply_dictionary, build_d
 from veilframe.operators.synth import band
 from veilframe.plans.features import prepare_for_quasi, prepare_for_sample
 from veilframe.plans.policy import resolve_roles
+from veilframe.session import new_path
+from veilframe.sources.tables import write_json
 
 ROUNDED = 6
 
@@ -106,13 +108,16 @@ def _minmax(expression: str) -> str:
 DAYS_SQL = "CAST(date_diff('day', DATE '1970-01-01', CAST(try_strptime(\"BIRTHDATE\", '%d-%m-%Y') AS DATE)) AS DOUBLE)"
 
 
-@query("prepare_features_a", f"""{VISITS_SQL}{codes_sql('visits', [*QUASI_TEXT, *CLINICAL_TEXT], '')}
+PREPARED_SQL = f"""{VISITS_SQL}{codes_sql('visits', [*QUASI_TEXT, *CLINICAL_TEXT], '')}
 SELECT order_key, {AGE_RANGE_SQL} AS "AGE_RANGE",
   {", ".join(f'code_{c}.code AS "{c}"' for c in CLINICAL_TEXT)},
   {", ".join(f'coalesce(v."{c}", 0) AS "{c}"' for c in CLINICAL_NUMBERS)},
   round({_minmax(DAYS_SQL)}, 6) + 0.0 AS "BIRTHDATE",
   {", ".join(f'round({_minmax(f"CAST(code_{c}.code AS DOUBLE)")}, 6) + 0.0 AS "{c}"' for c in QUASI_TEXT)}
-FROM visits AS v {code_joins([*QUASI_TEXT, *CLINICAL_TEXT], '')}""")
+FROM visits AS v {code_joins([*QUASI_TEXT, *CLINICAL_TEXT], '')}"""
+
+
+@query("prepare_features_a", PREPARED_SQL)
 def prepare_features_a(spark, sf_dir):
     df = loaded_visits(spark, sf_dir)
     done = prepare_for_quasi(df, "order_key", resolve_roles(df, fixed.DEFAULT_ROLES))
@@ -120,6 +125,17 @@ def prepare_features_a(spark, sf_dir):
     return done.conditions.join(targets, "order_key").join(done.carried, "order_key")
 
 
+@query("prepared_saved_and_loaded", PREPARED_SQL)
+def prepared_saved_and_loaded(spark, sf_dir):
+    """Prepared data and fitted state through their files."""
+    df = loaded_visits(spark, sf_dir)
+    done, folder = prepare_for_quasi(df, "order_key", resolve_roles(df, fixed.DEFAULT_ROLES)), new_path(spark, "prepared")
+    encode.save_prepared(done.tables(), folder)
+    back = encode.load_prepared(spark, folder, list(done.tables()))
+    targets = rounded(back["targets"], "BIRTHDATE", *QUASI_TEXT)
+    return back["conditions"].join(targets, "order_key").join(back["carried"], "order_key")
+
+
 X_TEXT, Y_TEXT = ["CITY", "STATE", "ORGANIZATION", "PATIENT", "MARITAL"], ["ENCOUNTERCLASS", "PAYER"]
 Y_NUMBERS = ["CODE", "BASE_ENCOUNTER_COST", "TOTAL_CLAIM_COST", "REASONCODE"]
 
@@ -198,6 +214,28 @@ def t_closeness_ordered(spark, sf_dir):
     return found.select(*[F.round(c, 9).alias(c) for c in ("worst_distance", "mean_distance")], "classes")
 
 
+@query("t_closeness_every_value", f"""{AGED_SQL}, known AS (
+  SELECT "CITY", "AGE_RANGE", "MARITAL", floor("BASE_ENCOUNTER_COST" / 1000) AS v FROM aged WHERE "BASE_ENCOUNTER_COST" IS NOT NULL
+), overall AS (
+  SELECT v, CAST(sum(count(*)) OVER (ORDER BY v) AS DOUBLE) / sum(count(*)) OVER () AS q, count(*) OVER () AS m,
+         row_number() OVER (ORDER BY v) AS place FROM known GROUP BY v
+), grid AS (
+  SELECT c.*, o.v, o.q, o.m, o.place FROM (SELECT "CITY", "AGE_RANGE", "MARITAL", count(*) AS size FROM known GROUP BY ALL) AS c, overall AS o
+), own AS (SELECT "CITY", "AGE_RANGE", "MARITAL", v, count(*) AS n FROM known GROUP BY ALL
+), reached AS (
+  SELECT g."CITY", g."AGE_RANGE", g."MARITAL", m, place, q,
+    CAST(sum(coalesce(n, 0)) OVER (PARTITION BY g."CITY", g."AGE_RANGE", g."MARITAL" ORDER BY g.v) AS DOUBLE) / size AS p
+  FROM grid AS g LEFT JOIN own AS o ON g.v = o.v AND g."CITY" IS NOT DISTINCT FROM o."CITY"
+    AND g."AGE_RANGE" IS NOT DISTINCT FROM o."AGE_RANGE" AND g."MARITAL" IS NOT DISTINCT FROM o."MARITAL"
+), apart AS (
+  SELECT sum(abs(p - q)) FILTER (place < m) / (max(m) - 1) AS d FROM reached GROUP BY "CITY", "AGE_RANGE", "MARITAL")
+SELECT round(max(d), 9) AS worst_distance, round(avg(d), 9) AS mean_distance, count(*) AS classes FROM apart""")
+def t_closeness_every_value(spark, sf_dir):
+    df = _aged(spark, sf_dir, "BASE_ENCOUNTER_COST").withColumn("cost", F.floor(F.col("BASE_ENCOUNTER_COST") / 1000))
+    found = privacy.t_closeness_every_value(df, QUASI, "cost")
+    return found.select(*[F.round(c, 9).alias(c) for c in ("worst_distance", "mean_distance")], "classes")
+
+
 KEY_NAMESPACES = {c: n for n, spec in NAMESPACES.items() for c in spec.columns}
 
 
@@ -360,6 +398,22 @@ def series_ratio(spark, sf_dir):
     return rounded(series.paired_ratio(_rolled(spark, sf_dir), "g", "d"), "ratio", "difference")
 
 
+@query("history_json", f"""{EVENTS_SQL}, kept AS (SELECT epoch, avg(g) AS g, avg(d) AS d FROM rolled GROUP BY epoch
+  HAVING avg(g) IS NOT NULL AND avg(d) IS NOT NULL)
+SELECT CAST(row_number() OVER (ORDER BY epoch) - 1 AS INTEGER) AS position, CAST(epoch AS INTEGER) AS epochs, round(g, 5) + 0.0 AS g_losses,
+  round(d, 5) + 0.0 AS d_losses FROM kept""")
+def history_json(spark, sf_dir):
+    """A training history, one object of parallel arrays, written as JSON and read again."""
+    points = series.rollup_series(_rolled(spark, sf_dir), "epoch", "epoch", ["g", "d"]).select("epoch", "g", "d").dropna()
+    rows = F.array_sort(F.collect_list(F.struct("epoch", "g", "d")))
+    one = points.agg(rows.alias("r")).select(
+        F.col("r.g").alias("g_losses"), F.col("r.d").alias("d_losses"), F.col("r.epoch").alias("epochs"))
+    path = new_path(spark, "history")
+    write_json(one, path)
+    back = series.unnest_series(series.read_history(spark, path), ["epochs", "g_losses", "d_losses"])
+    return back.select("position", "epochs", *[(F.round(c, 5) + 0.0).alias(c) for c in ("g_losses", "d_losses")])
+
+
 @query("series_unnest", """SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS position,
   CAST(unnest(embedding) AS DOUBLE) AS embedding FROM embeddings""")
 def series_unnest(spark, sf_dir):

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from veilframe.catalog.cells import AGE_RANGE_SQL, _ssn_sql, _uuid_sql
+from veilframe import fixed_values as fixed
+from veilframe.catalog.cells import AGE_RANGE_SQL, SALTED_PARTS, _ssn_sql, _uuid_sql
+from veilframe.catalog.keys import RULES_SQL
 from veilframe.catalog.measures import Y_NUMBERS, Y_TEXT
 from veilframe.catalog.registry import query
 from veilframe.catalog.visits import VISITS_SQL, loaded_visits, table, visits
 from veilframe.operators.columns import add_age_range, assemble_output
 from veilframe.operators.synth import band, condition_cell, cycled_conditions, synthesise, synthesise_samples
-from veilframe.plans.hybrid import clinical_cell, clinical_sample, deidentify_hybrid, run_all
+from veilframe.operators.privacy import column_pairs
+from veilframe.plans.hybrid import COST_BAND, clinical_cell, clinical_sample, deidentify_hybrid, run_all
 
 CELL_SQL = "\"ENCOUNTERCLASS\" || '|' || CAST(CAST(floor(\"BASE_ENCOUNTER_COST\" / 100000) AS BIGINT) AS VARCHAR)"
 
@@ -93,7 +96,7 @@ SELECT order_key, "ENCOUNTERCLASS", "PAYER", {", ".join(f'round("{c}", 6) AS "{c
 @query("synth_sample_decode", SAMPLE_SQL)
 def synth_sample_decode(spark, sf_dir):
     df = loaded_visits(spark, sf_dir, ["order_key", "STATE", *Y_TEXT, *Y_NUMBERS])
-    sample = clinical_sample(df, "order_key")
+    sample = clinical_sample(df, "order_key", rows=fixed.SAMPLE_ROWS)
     return sample.select("order_key", *Y_TEXT, *[F.round(c, 6).alias(c) for c in Y_NUMBERS])
 
 
@@ -148,15 +151,52 @@ FROM visits AS v JOIN drawn AS d ON v.order_key = d.order_key"""
 
 @query("deidentify_hybrid", HYBRID_SQL)
 def hybrid(spark, sf_dir):
-    return deidentify_hybrid(loaded_visits(spark, sf_dir), "order_key")
+    return deidentify_hybrid(loaded_visits(spark, sf_dir), "order_key", ids="hashed")
 
 
-@query("run_all", """SELECT 'rules' AS job, count(*) AS rows, CAST(20 AS BIGINT) AS columns FROM orders
+ID_COLUMNS = ["Id_encounter", "Id_patient", "Id_payer"]
+
+
+@query("hybrid_random_ids", VISITS_SQL + f""" SELECT 'apart' AS ids, count(DISTINCT v) AS originals, count(DISTINCT v) AS pseudonyms,
+  count(DISTINCT v) AS pairs, CAST(0 AS BIGINT) AS in_the_clear FROM (
+  {" UNION ALL ".join(f'SELECT "{c}" AS v FROM visits' for c in ID_COLUMNS)})""")
+def hybrid_random_ids(spark, sf_dir):
+    """Random ids cannot be compared as such: they must stand one to one for the originals, in all columns."""
+    df = loaded_visits(spark, sf_dir)
+    out = deidentify_hybrid(df, "order_key")
+    pairs = column_pairs(df, out, "order_key", {c: "ids" for c in ID_COLUMNS})
+    return pairs.agg(
+        F.countDistinct("original").alias("originals"), F.countDistinct("pseudonym").alias("pseudonyms"),
+        F.countDistinct("original", "pseudonym").alias("pairs"), F.count_if(F.col("original") == F.col("pseudonym")).alias("in_the_clear"),
+    ).select(F.lit("apart").alias("ids"), "*")
+
+
+# The same table under names that no fixed list has; the words in the names give the roles.
+RENAMED = {"order_key": "row_no", "Id_patient": "PERSON_ID", "SSN": "PERSON_SSN", "LAST": "PERSON_NAME", "ADDRESS": "HOME_ADDRESS",
+           "CITY": "HOME_CITY", "STATE": "HOME_STATE", "CODE": "LAB_VALUE", "BASE_ENCOUNTER_COST": "VISIT_COST"}
+WORD_CELL_SQL = "CAST(CAST(floor(\"VISIT_COST\" / 100000) AS BIGINT) AS VARCHAR)"
+
+
+@query("hybrid_by_words", f"""{VISITS_SQL}, renamed AS (
+  SELECT {", ".join(f'"{c}" AS "{n}"' for c, n in RENAMED.items())} FROM visits)
+{synth_sql("renamed", WORD_CELL_SQL, ["HOME_CITY", "HOME_STATE"], "42", 5, key="row_no")}
+SELECT v.row_no, {_uuid_sql('"PERSON_ID"', "s1")} AS "PERSON_ID", {_ssn_sql("'s1' || " + '"PERSON_SSN"', SALTED_PARTS)} AS "PERSON_SSN",
+  'Person_' || substr(sha256('s1' || "PERSON_NAME"), 1, 16) AS "PERSON_NAME",
+  'Address_' || substr(sha256('s1' || "HOME_ADDRESS"), 1, 16) AS "HOME_ADDRESS",
+  d."HOME_CITY", d."HOME_STATE", "LAB_VALUE", "VISIT_COST"
+FROM renamed AS v JOIN drawn AS d ON v.row_no = d.row_no""")
+def hybrid_by_words(spark, sf_dir):
+    df = loaded_visits(spark, sf_dir, list(RENAMED)).withColumnsRenamed(RENAMED)
+    cell = condition_cell(band(F.col("VISIT_COST"), COST_BAND))
+    return deidentify_hybrid(df, "row_no", role_file={}, cell=cell, ids="hashed", salt="s1")
+
+
+@query("run_all", f"""SELECT 'rules' AS job, count(*) AS rows, CAST(20 AS BIGINT) AS columns FROM orders
 UNION ALL SELECT 'hybrid', count(*), 24 FROM orders
 UNION ALL SELECT 'sample', least(count(*), 100), 7 FROM orders""")
 def everything(spark, sf_dir):
     """One row per job: the rows and columns it gave."""
-    done = run_all(loaded_visits(spark, sf_dir), "order_key")
+    done = run_all(loaded_visits(spark, sf_dir), "order_key", sample_rows=fixed.SAMPLE_ROWS)
     outputs = {"rules": done["rules"].output, "hybrid": done["hybrid"], "sample": done["sample"]}
     counted = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(
@@ -164,3 +204,40 @@ def everything(spark, sf_dir):
         for job, df in outputs.items()
     ]
     return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+@query("run_all_rules", RULES_SQL)
+def run_all_rules(spark, sf_dir):
+    """The whole output of the first job of a run."""
+    return run_all(loaded_visits(spark, sf_dir), "order_key", synthesis=False, sample=False)["rules"].output
+
+
+@query("run_all_hybrid", HYBRID_SQL)
+def run_all_hybrid(spark, sf_dir):
+    """The whole output of the second job of a run."""
+    return run_all(loaded_visits(spark, sf_dir), "order_key", sample=False, ids="hashed")["hybrid"]
+
+
+@query("run_all_sample", SAMPLE_SQL)
+def run_all_sample(spark, sf_dir):
+    """The whole output of the last job of a run, for its first rows."""
+    sample = run_all(loaded_visits(spark, sf_dir), "order_key", sample_rows=fixed.SAMPLE_ROWS)["sample"]
+    return sample.select("order_key", *Y_TEXT, *[F.round(c, 6).alias(c) for c in Y_NUMBERS])
+
+
+FEW_CELLS = "\"STATE\""
+
+
+@query("synth_many_samples", f"""{VISITS_SQL}, donors AS (
+  SELECT order_key, "STATE", "MARITAL", "CODE" FROM visits WHERE order_key % 50 = 1
+), places AS (
+  SELECT *, row_number() OVER (ORDER BY order_key) - 1 AS place, count(*) OVER () AS n FROM donors
+), cycled AS (
+  SELECT sample, "STATE" FROM places JOIN (
+    SELECT unnest(generate_series(0, 10 * (SELECT count(*) FROM orders) - 1)) AS sample) ON place = sample % n)
+{synth_sql("donors", FEW_CELLS, ["MARITAL", "CODE"], "5", 1, "cycled", "sample")} SELECT * FROM drawn""")
+def synth_many_samples(spark, sf_dir):
+    """Samples far above the donors: five cells with a fifth of the draws each."""
+    df = loaded_visits(spark, sf_dir, ["order_key", "STATE", "MARITAL", "CODE"]).where("order_key % 50 = 1")
+    samples = 10 * table(spark, sf_dir, "orders").count()
+    return synthesise_samples(df, df.select("order_key", "STATE"), "order_key", samples, condition_cell(F.col("STATE")), ["MARITAL", "CODE"], "5")

@@ -26,9 +26,12 @@ def hash_address(text: Column, salt: str | None = None) -> Column:
 
 
 def hash_ssn(text: Column, salt: str | None = None) -> Column:
+    """Nine digits of the hash in the groups of an SSN; salted, 24 digits in three groups of
+    eight, as 36 bits would give the same value to different people in a large table."""
     salted = text if salt is None else F.concat(F.lit(salt), text)
     digest = F.sha2(salted, 256)
-    groups = [F.substring(digest, at, size) for at, size in ((1, 3), (4, 2), (6, 4))]
+    parts = ((1, 3), (4, 2), (6, 4)) if salt is None else ((1, 8), (9, 8), (17, 8))
+    groups = [F.substring(digest, at, size) for at, size in parts]
     return unless_missing(text, F.concat_ws("-", *groups))
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from veilframe import fixed_values as fixed
 from veilframe.functions import dates, hashing
 from veilframe.functions.guards import key_text
+from veilframe.operators.ordering import numbered
 from veilframe.plans.policy import present_columns
+from veilframe.session import written_and_counted
 
 
 def drop_identifiers(df: DataFrame, identifiers: Sequence[str] = fixed.DIRECT_IDENTIFIERS) -> DataFrame:
@@ -95,6 +97,21 @@ def assemble_output(
     return kept.join(made, row_key).select(row_key, *direct, *made.columns[1:], *carried, *clinical)
 
 
+# So many rows are taken by one task at most.
+ROWS_IN_ONE_TASK = 10_000
+
+
 def first_rows(df: DataFrame, order_key: str, rows: int | None) -> DataFrame:
-    """The first rows by the order key; None is all, 0 is none."""
-    return df if rows is None else df.orderBy(order_key).limit(rows)
+    """The first rows by the order key; None is all, 0 is none.
+
+    Many rows are numbered by ranges of the key first, so that no task holds them all; the key
+    has to be unique then, as rows are taken up to the last key.
+    """
+    if rows is None:
+        return df
+    if rows <= ROWS_IN_ONE_TASK:
+        return df.orderBy(order_key).limit(rows)
+    keys, count = written_and_counted(df.select(F.col(order_key).alias("_key"), F.monotonically_increasing_id().alias("_row")), "first_rows")
+    last = numbered(keys, ["_key", "_row"], "_number", rows=count).where(F.col("_number") <= rows)
+    edge = last.agg(F.max("_key").alias("key")).scalar()
+    return df.where(F.col(order_key) <= edge)

@@ -1,7 +1,7 @@
 """Pseudonym dictionaries as tables: build, extend, apply, save, load.
 
-A dictionary holds `namespace, original, seq, pseudonym`, stored by namespace. The entries
-of each namespace are counted before a lookup: a small namespace is sent to every
+A dictionary holds `namespace, original, seq, pseudonym`, stored by namespace. The bytes
+of each namespace are counted before a lookup: small namespaces are sent to every
 executor, a large one is joined by a shuffle.
 """
 
@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from veilframe import fixed_values
 from veilframe.functions.guards import is_missing, key_text
 from veilframe.operators.ordering import ROWS_PER_BUCKET, numbered
-from veilframe.session import BROADCAST_ROWS, sent_if_small, written, written_and_counted
+from veilframe.session import BROADCAST_BYTES, all_small, row_bytes, written, written_and_counted
 
 COLUMNS = ["namespace", "original", "seq", "pseudonym"]
+# A namespace of a dictionary is written by up to so many tasks, and so into so many files.
+FILES = 64
 SCHEMA = "original string, seq bigint, pseudonym string, namespace string"
 
 
@@ -141,7 +143,7 @@ def new_entries(
         "namespace", "original", F.col("seq").cast("bigint").alias("seq"),
         _label(namespaces).alias("pseudonym"),
     )
-    return written(entries, "dictionary", by="namespace").select(*COLUMNS)
+    return written(entries.repartition("namespace", F.col("seq") % FILES), "dictionary", by="namespace").select(*COLUMNS)
 
 
 def build_dictionary(
@@ -177,17 +179,31 @@ def random_entries(
     return written(entries, "random", by="namespace").select(*COLUMNS)
 
 
-def _replaced(df, dictionary, columns, placeholder, sizes, large_entries):
+# Keys that are looked up nowhere are dealt out under so many keys that match nothing.
+SPREAD = 4096
+
+
+def spread_key(text: Column, skipped: Column) -> Column:
+    """What a row is looked up by: its key, and for a row that passes through one of SPREAD keys
+    that no entry has, so that rows without a key do not meet in one task."""
+    return F.when(skipped, F.concat(F.lit("\0"), F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("string"))).otherwise(text)
+
+
+def _replaced(df, dictionary, columns, placeholder, sent):
     """Replace each (namespace, column) by its pseudonym."""
     for name, column in columns:
         entry = dictionary.where(F.col("namespace") == name).select(
             F.col("original").alias("_original"), F.col("pseudonym").alias("_pseudonym")
         )
-        entry = sent_if_small(entry, sizes.get(name, 0), large_entries)
         text = key_text(df, column)
-        pseudonym = F.when(_skipped(text, placeholder), text).otherwise(F.col("_pseudonym"))
+        skipped = F.coalesce(_skipped(text, placeholder), F.lit(True))
+        pseudonym = F.when(skipped, text).otherwise(F.col("_pseudonym"))
         kept = [pseudonym.alias(c) if c == column else F.col(f"`{c}`") for c in df.columns]
-        df = df.join(entry, text == F.col("_original"), "left").select(*kept)
+        if name in sent:
+            df = df.join(F.broadcast(entry), text == F.col("_original"), "left").select(*kept)
+        else:
+            probed = df.withColumn("_probe", spread_key(text, skipped))
+            df = probed.join(entry, F.col("_probe") == F.col("_original"), "left").select(*kept)
     return df
 
 
@@ -197,31 +213,38 @@ def apply_dictionary(
     namespaces: Mapping[str, Namespace] = NAMESPACES,
     placeholder: str | None = fixed_values.UNKNOWN,
     row_key: str | None = None,
-    large_entries: int = BROADCAST_ROWS,
+    sent_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Replace every key column by its pseudonym.
 
     Null, empty and placeholder keys pass through. A key the dictionary lacks becomes
     null: an original must never reach the output.
 
-    Each namespace too large to be sent to every executor costs a shuffle of the table.
-    With a `row_key` (a column unique per row) two or more of them are looked up on the
-    key columns alone, and the wide rows are shuffled once, to take the result in.
+    The smallest namespaces, up to `sent_bytes` in sum, go to every executor. Each other one
+    costs a shuffle of the table. With a `row_key` (a column unique per row) two or more of
+    them are looked up on the key columns alone, and the wide rows are shuffled once, to take
+    the result in.
     """
     columns = [(n, c) for n, spec in present(df, namespaces).items() for c in spec.columns]
-    sizes = dict(namespace_sizes(dictionary).collect())  # one per namespace
-    how = (placeholder, sizes, large_entries)
-    large = [(n, c) for n, c in columns if sizes.get(n, 0) > large_entries]
+    sizes = {n: 0 for n, _ in columns} | dict(namespace_bytes(dictionary).collect())  # one per namespace
+    # A namespace is sent once for each of its columns.
+    sent = all_small({n: size * sum(m == n for m, _ in columns) for n, size in sizes.items()}, sent_bytes)
+    large = [(n, c) for n, c in columns if n not in sent]
     small = [pair for pair in columns if pair not in large]
     if row_key is None or len(large) < 2:
         # The small ones first: the rows are shorter when they have to be shuffled.
-        return _replaced(df, dictionary, [*small, *large], *how)
+        return _replaced(df, dictionary, [*small, *large], placeholder, sent)
     moved = [c for _, c in large]
-    narrow = _replaced(df.select(row_key, *moved), dictionary, large, *how)
-    wide = _replaced(df.drop(*moved), dictionary, small, *how)
+    narrow = _replaced(df.select(row_key, *moved), dictionary, large, placeholder, sent)
+    wide = _replaced(df.drop(*moved), dictionary, small, placeholder, sent)
     return wide.join(narrow, row_key).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def namespace_bytes(dictionary: DataFrame) -> DataFrame:
+    entries = dictionary.select("namespace", "original", "pseudonym")
+    return entries.groupBy("namespace").agg(F.sum(row_bytes(entries)).alias("bytes"))
+
+
 def namespace_sizes(dictionary: DataFrame) -> DataFrame:
     return dictionary.groupBy("namespace").agg(F.count(F.lit(1)).alias("entries"))
 

@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilframe.operators.dictionary import FILES, spread_key
 from veilframe.operators.ordering import ROWS_PER_BUCKET, numbered
 from veilframe.operators.profile import one_row_per_column, unpivoted
-from veilframe.session import sent_if_small, written, written_and_counted
+from veilframe.session import BROADCAST_BYTES, all_small, row_bytes, written, written_and_counted
 
 
 def label_state(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -19,31 +20,52 @@ def label_state(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = RO
     labels, rows = written_and_counted(labels, "labels")
     coded = numbered(labels, ["label"], "code", ["feature"], rows_per_bucket, rows)
     coded = coded.select("feature", "label", (F.col("code") - 1).alias("code"))
+    coded = coded.repartition("feature", F.col("code") % FILES)
     return written(coded, "label_codes", by="feature").select("feature", "label", "code")
 
 
-def _label_counts(state: DataFrame) -> dict[str, int]:
-    """Labels per column; the codes run from 0."""
-    return dict(state.groupBy("feature").agg(F.max("code") + 1).collect())  # one per column
+def _label_sizes(state: DataFrame) -> dict[str, tuple[int, int]]:
+    """Labels per column, as the codes run from 0, and their bytes."""
+    found = state.groupBy("feature").agg((F.max("code") + 1).alias("labels"), F.sum(row_bytes(state)).alias("bytes"))
+    return {r.feature: (r.labels, r.bytes) for r in found.collect()}  # one per column
 
 
-def _swapped(df: DataFrame, state: DataFrame, column: str, probe: Column, key: str, value: str,
-             labels: int) -> DataFrame:
+def _swapped(df: DataFrame, state: DataFrame, column: str, probe: Column, key: str, value: str, sent: bool) -> DataFrame:
     """Replace a column by the `value` of the state row whose `key` is the probe."""
     entries = state.where(F.col("feature") == column).select(
-        F.col(key).alias("_key"), F.col(value).alias("_value")
+        F.col(key).cast("string").alias("_key"), F.col(value).alias("_value")
     )
     kept = [F.col("_value").alias(c) if c == column else F.col(f"`{c}`") for c in df.columns]
-    return df.join(sent_if_small(entries, labels), probe == F.col("_key"), "left").select(*kept)
+    probe = probe.cast("string")
+    if sent:
+        return df.join(F.broadcast(entries), probe == F.col("_key"), "left").select(*kept)
+    probed = df.withColumn("_probe", spread_key(probe, probe.isNull()))
+    return probed.join(entries, F.col("_probe") == F.col("_key"), "left").select(*kept)
 
 
-def encode_labels(df: DataFrame, state: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace texts by their codes; a text the state lacks becomes null."""
-    labels = _label_counts(state)
-    for column in sorted(columns, key=lambda c: labels.get(c, 0)):  # the small ones first
-        text = F.col(f"`{column}`").cast("string")
-        df = _swapped(df, state, column, text, "label", "code", labels.get(column, 0))
-    return df
+def encode_labels(df: DataFrame, state: DataFrame, columns: Sequence[str], row_key: str | None = None,
+                  sent_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Replace texts by their codes; a text the state lacks becomes null.
+
+    The smallest label sets, up to `sent_bytes` in sum, go to every executor; any other costs a
+    shuffle of the table. With a `row_key` (a column unique per row) two or more of them are
+    looked up on their columns alone, and the wide rows are shuffled once.
+    """
+    sizes = {c: size for c, (_, size) in _label_sizes(state).items()}
+    sent = all_small({c: sizes.get(c, 0) for c in columns}, sent_bytes)
+    large = [c for c in columns if c not in sent]
+
+    def encoded(part, names):
+        for column in names:
+            text = F.col(f"`{column}`").cast("string")
+            part = _swapped(part, state, column, text, "label", "code", column in sent)
+        return part
+
+    small = [c for c in columns if c in sent]
+    if row_key is None or len(large) < 2:
+        return encoded(df, [*small, *large])  # the small ones first: shorter rows are shuffled
+    narrow = encoded(df.select(row_key, *large), large)
+    return encoded(df.drop(*large), small).join(narrow, row_key).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def decode_labels(df: DataFrame, state: DataFrame, columns: Sequence[str], clip: bool = True) -> DataFrame:
@@ -52,15 +74,16 @@ def decode_labels(df: DataFrame, state: DataFrame, columns: Sequence[str], clip:
     With `clip`, codes are rounded half to even and moved into the known range;
     otherwise they are cut to whole numbers and unknown ones become null.
     """
-    labels = _label_counts(state)
+    sizes = _label_sizes(state)
+    sent = all_small({c: sizes.get(c, (0, 0))[1] for c in columns})
     for column in columns:
-        number, known = F.col(f"`{column}`").cast("double"), labels.get(column, 0)
+        number, known = F.col(f"`{column}`").cast("double"), sizes.get(column, (0, 0))[0]
         if clip:
             code = F.least(F.greatest(F.rint(number).cast("bigint"), F.lit(0)), F.lit(known - 1))
             code = F.when(number.isNotNull(), code)
         else:
             code = number.cast("bigint")
-        df = _swapped(df, state, column, code, "code", "label", known)
+        df = _swapped(df, state, column, code, "code", "label", column in sent)
     return df
 
 

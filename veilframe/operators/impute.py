@@ -13,43 +13,33 @@ from veilframe.operators.ordering import ROWS_PER_BUCKET, running_before
 from veilframe.operators.profile import one_row_per_column, total_missing
 from veilframe.session import local_table, written
 
-SAMPLE_ROWS = 200_000
+# Ranks within which the median lies for certain, and the rank error of the summaries (1 / accuracy).
+BRACKET = (0.495, 0.505)
+ACCURACY = 1000
 
 
-def _bracket(numbers: DataFrame, columns: Sequence[str], sample: int, rows: int) -> dict[str, tuple]:
-    """Two values around each median, from a row sample of bounded size."""
-    share, reach = sample / rows, 3 / sample**0.5  # six standard errors of the median's rank
-    sides = [0.5 - reach, 0.5 + reach]
-    row = numbers.sample(share, 7).agg(*[F.percentile(f"`{c}`", sides).alias(c) for c in columns]).first()
-    return {c: tuple(row[c]) for c in columns if row[c]}
-
-
-def exact_medians(
-    df: DataFrame,
-    columns: Sequence[str],
-    sample_rows: int | None = SAMPLE_ROWS,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame:
+def exact_medians(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET,
+                  bracket: tuple[float, float] | None = BRACKET) -> DataFrame:
     """feature, median: the exact median of each column; a column without values has none.
 
-    Only cells near the median are shuffled: a sample brackets it, the cells below the
-    bracket are only counted, and those inside are ranked. The counts prove that the
-    median lies inside; a column where it does not is ranked over all its cells.
+    Only cells near the median are shuffled. One scan brackets the median of every column by a
+    quantile summary of the values it has, however few; tasks send their summaries, whose size is
+    fixed. A second scan counts the cells below the bracket, and those inside are ranked. The
+    counts prove that the median lies inside; a column where it does not, or every column
+    without a `bracket`, is ranked over all its cells.
     """
     spark, columns = df.sparkSession, list(columns)
     schema = "feature string, median double"
     if not columns:
         return local_table(spark, [], schema)
     numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    totals = numbers.agg(*[F.count(f"`{c}`").alias(c) for c in columns]).first().asDict()
-    columns = [c for c in columns if totals[c]]
+    sides = [F.percentile_approx(f"`{c}`", list(bracket), ACCURACY).alias(f"{i}_ends") for i, c in enumerate(columns)] if bracket else []
+    seen = numbers.agg(*[F.count(f"`{c}`").alias(f"{i}_cells") for i, c in enumerate(columns)], *sides).first()
+    totals = {c: seen[f"{i}_cells"] for i, c in enumerate(columns)}
+    ends = {c: tuple(seen[f"{i}_ends"]) if bracket else (float("-inf"), float("inf")) for i, c in enumerate(columns) if totals[c]}
+    columns = list(ends)
     if not columns:
         return local_table(spark, [], schema)
-    most = max(totals.values())
-    ends = {c: (float("-inf"), float("inf")) for c in columns}
-    sample = min(sample_rows or 0, most // 5)
-    if sample >= 100:
-        ends.update(_bracket(numbers, columns, sample, most))
 
     # A null value stands for a cell below the bracket; cells above it are left out.
     cells = [
@@ -89,7 +79,7 @@ def exact_medians(
     )
     medians = middle.groupBy("feature").agg(((F.min("value") + F.max("value")) / 2).alias("median"))
     if missed:
-        medians = medians.unionByName(exact_medians(df, missed, None, rows_per_bucket))
+        medians = medians.unionByName(exact_medians(df, missed, rows_per_bucket, None))
     return medians
 
 

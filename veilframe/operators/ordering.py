@@ -1,9 +1,10 @@
 """Running totals and numbers over a global order, without one task holding a group.
 
 A window without partitioning, or partitioned by a column in which one value holds
-most rows, sorts those rows in a single task. Here the ordered rows are cut into
-buckets at sampled split points; each bucket is summed on its own and then shifted by
-the total of the buckets before it.
+most rows, sorts those rows in a single task. Here the rows are dealt out by ranges of
+the whole order (group, order columns) and written with the number of their range; each
+range is summed on its own and then shifted by the total of the ranges before it. There
+is one plan for tables of any size.
 """
 
 from __future__ import annotations
@@ -13,39 +14,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A window over this many rows is a small sort for one task.
+from veilframe.session import written
+
+# A range of this many rows is a small sort for one task.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
-SAMPLES_PER_BUCKET = 8
 
 
-def _split_points(table: DataFrame, key: Column, rows: int, buckets: int) -> Column:
-    """About `buckets` ascending keys, from the rows whose hash falls on a grid.
+def dealt_by_range(table: DataFrame, key: Sequence[str], rows: int, rows_per_bucket: int) -> DataFrame:
+    """The rows in ranges of the key, written, with the number of the range as `_bucket`.
 
-    The hash makes the sample a function of the data alone, so a retry cuts at the
-    same keys. Its size is set by `buckets`, not by the table. The keys come back as
-    one literal, so both readers of the buckets use the very same ones.
+    Written at once: the ranges follow from a sample, and every reader has to see the same.
     """
-    every = max(1, rows // (buckets * SAMPLES_PER_BUCKET))
-    picks = (
-        table.select(key.alias("k"))
-        .where(F.pmod(F.xxhash64("k"), F.lit(every)) == 0)
-        .agg(F.sort_array(F.collect_list("k")).alias("ks"))
-        .select(F.filter("ks", lambda _, i: i % SAMPLES_PER_BUCKET == 0).alias("ks"))
-    )
-    text = picks.select(F.to_json("ks")).first()[0]
-    return F.from_json(F.lit(text), picks.schema["ks"].dataType)
-
-
-def _bucket(splits: Column, key: Column, buckets: int) -> Column:
-    """How many split points are at or before the key, by halving steps."""
-    steps = [2**i for i in reversed(range((2 * buckets).bit_length()))]
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(F.get(splits, at + step - 1) <= key, at + step).otherwise(at),
-    )
-    return F.coalesce(found, F.lit(0))
+    least = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = table.repartitionByRange(max(least, -(-rows // rows_per_bucket)), *key)
+    return written(dealt.withColumn("_bucket", F.spark_partition_id()), "ranges")
 
 
 def running_before(
@@ -59,26 +41,14 @@ def running_before(
     """Add, for each weight, its sum over the earlier rows of the same group.
 
     `table` must be a written table, (`group`, `order`) unique in it and `group` not null.
-    Its `rows` are counted when not given; they only choose the number of buckets.
+    Its `rows` are counted when not given; they only choose the number of ranges.
     """
     rows = table.count() if rows is None else rows
-    buckets = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
-
-    def before(window_columns):
-        window = Window.partitionBy(*window_columns).orderBy(*order)
-        window = window.rowsBetween(Window.unboundedPreceding, -1)
-        return {n: F.coalesce(F.sum(w).over(window), F.lit(0)) for n, w in weights.items()}
-
-    if buckets <= 1:
-        return table.select("*", *[c.alias(n) for n, c in before(group).items()])
-
-    key = F.struct(*group, *order)
-    splits = _split_points(table, key, rows, buckets)
-    bucketed = table.withColumn("_bucket", _bucket(splits, key, buckets))
+    bucketed = dealt_by_range(table, [*group, *order], rows, rows_per_bucket)
     totals = bucketed.groupBy(*group, "_bucket").agg(
         *[F.sum(w).alias(f"_total_{n}") for n, w in weights.items()]
     )
-    # One row per bucket, and one more for each border between groups inside a bucket.
+    # One row per range, and one more for each border between groups inside a range.
     earlier = (
         Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -90,8 +60,9 @@ def running_before(
             for n in weights
         ],
     )
+    within = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     inside = bucketed.select(
-        "*", *[c.alias(f"_inside_{n}") for n, c in before([*group, "_bucket"]).items()]
+        "*", *[F.coalesce(F.sum(w).over(within), F.lit(0)).alias(f"_inside_{n}") for n, w in weights.items()]
     )
     same = F.col("_bucket") == F.col("_b")
     for g in group:
@@ -113,3 +84,32 @@ def numbered(
     """Number the rows of each group 1, 2, 3 … in the given order."""
     counted = running_before(table, order, {name: F.lit(1)}, group, rows_per_bucket, rows)
     return counted.withColumn(name, F.col(name) + 1)
+
+
+def following(
+    table: DataFrame,
+    order: Sequence[str],
+    names: Mapping[str, str],
+    group: Sequence[str] = (),
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows: int | None = None,
+) -> DataFrame:
+    """Add the columns `names` (new name: column) of the next row of the same group, null at its end.
+
+    Demands on `table` are those of `running_before`.
+    """
+    rows = table.count() if rows is None else rows
+    bucketed = dealt_by_range(table, [*group, *order], rows, rows_per_bucket)
+    taken = F.struct(*[F.col(c).alias(n) for n, c in names.items()])
+    firsts = bucketed.groupBy(*group, "_bucket").agg(F.min(F.struct(*order, taken.alias("_taken"))).alias("_first"))
+    later = Window.partitionBy(*group).orderBy("_bucket")
+    firsts = firsts.select(
+        *[F.col(g).alias(f"_g_{g}") for g in group], F.col("_bucket").alias("_b"), F.lead("_first._taken").over(later).alias("_beyond"))
+    within = Window.partitionBy(*group, "_bucket").orderBy(*order)
+    inside = bucketed.select("*", F.lead(taken).over(within).alias("_next"))
+    same = F.col("_bucket") == F.col("_b")
+    for g in group:
+        same = same & (F.col(g) == F.col(f"_g_{g}"))
+    found = F.coalesce("_next", "_beyond")
+    return inside.join(firsts, same).select(
+        *[F.col(f"`{c}`") for c in table.columns], *[found[n].alias(n) for n in names])

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from veilframe import fixed_values as fixed
 from veilframe.functions.guards import is_missing, key_text
+from veilframe.operators.ordering import following, running_before
 from veilframe.operators.profile import one_row_per_column
 from veilframe.plans.policy import present_columns
-from veilframe.session import written
+from veilframe.session import written, written_and_counted
 
 
 def k_anonymity(df: DataFrame, quasi: Sequence[str], k: int) -> DataFrame:
@@ -98,6 +99,62 @@ def t_closeness_ordered(
     )
 
 
+def t_closeness_every_value(df: DataFrame, quasi: Sequence[str], sensitive: str) -> DataFrame:
+    """worst_distance, mean_distance, classes for a number, over all the values it takes.
+
+    The distance is the mean difference of the cumulative shares at each distinct value but the
+    last. The share of a class stands still between two of its own values, while that of the table
+    rises, so a stretch is summed from the rank and the running sum of the table's shares at both
+    its ends and where they pass the share of the class. No grid of classes by values is made, and
+    the table's values are ranked by ranges. Rows without a number are left out.
+    """
+    value = F.col(f"`{sensitive}`").cast("double")
+    named = [F.col(f"`{q}`").alias(f"_q{i}") for i, q in enumerate(quasi)]
+    classes = [f"_q{i}" for i in range(len(named))]
+    cells = df.where(value.isNotNull()).groupBy(*named, value.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    cells = cells.withColumn("class", F.xxhash64(*classes) if classes else F.lit(0).cast("bigint"))
+    cells = written(cells.withColumn("class", F.struct("class", *classes)), "class_values")
+    values, count = written_and_counted(cells.groupBy("v").agg(F.sum("n").alias("n")), "values")
+    if count < 2:
+        one = cells.select("class").distinct().agg(F.count(F.lit(1)).alias("classes"))
+        zero = F.when(F.col("classes") > 0, F.lit(0.0))
+        return one.select(zero.alias("worst_distance"), zero.alias("mean_distance"), "classes")
+    total = values.agg(F.sum("n")).first()[0]
+    ranked = running_before(values, ["v"], {"rank": F.lit(1), "before": F.col("n")}, (), rows=count)
+    # At the value of a rank (from 0): rows up to it, and the sum of such counts over the ranks before it.
+    steps = written(ranked.select("v", "rank", (F.col("before") + F.col("n")).cast("decimal(38,0)").alias("upto")), "steps")
+    table_steps = written(running_before(steps, ["v"], {"sum_before": F.col("upto")}, (), rows=count), "steps")
+
+    # Each value of a class: the rows of the class up to it, and the next value's rank or the last rank.
+    sized = cells.groupBy("class").agg(F.sum("n").alias("size"))
+    placed = cells.select("class", "v", "n").join(table_steps.select("v", "rank", "sum_before"), "v")
+    placed, rows = written_and_counted(placed, "class_steps")
+    run = running_before(placed, ["v"], {"below": F.col("n")}, ["class"], rows=rows)
+    run = following(written(run, "class_steps"), ["v"], {"next_rank": "rank", "next_sum": "sum_before"}, ["class"], rows=rows)
+    stretch = run.join(sized, "class").select(
+        "class", "size", "rank", "sum_before", (F.col("below") + F.col("n")).alias("reached"), "next_rank", "next_sum")
+    end = table_steps.where(F.col("rank") == count - 1).select(F.col("sum_before").alias("s")).first()[0]
+    stretch = stretch.withColumns({"next_rank": F.coalesce("next_rank", F.lit(count - 1)), "next_sum": F.coalesce("next_sum", F.lit(end))})
+    stretch = written(stretch.withColumn("level", (F.col("reached").cast("decimal(38,10)") * total / F.col("size")).cast("double")), "stretches")
+
+    # Where the table passes each level: how many of its steps are below, and their sum.
+    levels = stretch.select("level").distinct().select(F.col("level").alias("at"), F.lit(0).alias("one"), F.lit(0).cast("decimal(38,0)").alias("upto"), F.lit(0).alias("side"))
+    both = levels.unionByName(steps.select(F.col("upto").cast("double").alias("at"), F.lit(1).alias("one"), "upto", F.lit(1).alias("side")))
+    both, lines = written_and_counted(both, "levels")
+    passed = running_before(both, ["at", "side"], {"cross": F.col("one"), "cross_sum": F.col("upto")}, (), rows=lines).where("side = 0")
+    joined = stretch.join(passed.select(F.col("at").alias("level"), "cross", "cross_sum"), "level")
+    at = F.greatest(F.col("rank"), F.least(F.col("cross"), F.col("next_rank")))
+    at_sum = F.when(F.col("cross") <= F.col("rank"), F.col("sum_before")).when(
+        F.col("cross") >= F.col("next_rank"), F.col("next_sum")).otherwise(F.col("cross_sum")).cast("double")
+    apart = F.col("level") * (2 * at - F.col("rank") - F.col("next_rank")) - 2 * at_sum + F.col("sum_before").cast("double") + F.col("next_sum").cast("double")
+    distance = joined.groupBy("class").agg(
+        ((F.sum(apart) + F.min("sum_before").cast("double")) / total / (count - 1)).alias("d"))  # before its first value a class has nothing
+    return distance.agg(
+        F.max("d").alias("worst_distance"), F.avg("d").alias("mean_distance"),
+        F.count(F.lit(1)).alias("classes"),
+    )
+
+
 def referential_integrity(pairs: DataFrame) -> DataFrame:
     """Per namespace of (namespace, original, pseudonym): distinct pairs, originals with
     several pseudonyms, pseudonyms with several originals."""

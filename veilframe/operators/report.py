@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.fixed_values import METHODS_APPLIED
@@ -41,8 +41,22 @@ def mapping_summary(dictionary: DataFrame) -> DataFrame:
     return counts.select(F.coalesce("namespace", F.lit("total_mappings")).alias("namespace"), "entries")
 
 
-def run_audit(rows_in: Column, output: DataFrame, parameters: Mapping[str, str]) -> DataFrame:
-    """One row per run: its parameters, rows read and rows written."""
+def run_audit(rows_in: Column, output: DataFrame, parameters: Mapping[str, str], seed: str | None = None,
+              finished: Column | None = None) -> DataFrame:
+    """One row per run: its parameters, rows read and rows written, and where given the seed and the time."""
+    more = {} if seed is None else {"seed": F.lit(seed)}
+    if finished is not None:
+        more["finished"] = finished
     return output.agg(F.count(F.lit(1)).alias("rows_out")).select(
-        *[F.lit(v).alias(k) for k, v in parameters.items()], rows_in.alias("rows_in"), "rows_out"
+        *[F.lit(v).alias(k) for k, v in parameters.items()], *[c.alias(n) for n, c in more.items()], rows_in.alias("rows_in"), "rows_out"
     )
+
+
+def append_audit(audit: DataFrame, folder: str) -> None:
+    """Add the row of a run to the log; the rows of earlier runs stay as they are."""
+    audit.coalesce(1).write.mode("append").parquet(folder)
+
+
+def load_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """All runs of a log, also where later ones have more columns."""
+    return spark.read.option("mergeSchema", True).parquet(folder)

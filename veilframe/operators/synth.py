@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from veilframe.functions.hashing import drawn_number
 from veilframe.operators.ordering import ROWS_PER_BUCKET, numbered, running_before
-from veilframe.session import sent_if_small, written, written_and_counted
+from veilframe.session import sent_if_small, written, written_and_counted, written_and_sized
 
 # Positions per chunk: a cell of any size is looked up in pieces of about this many rows.
 CHUNK = 100_000
@@ -35,21 +35,29 @@ def band(value: Column, width: float) -> Column:
 def interval_lookup(draws: DataFrame, intervals: DataFrame, row_key: Sequence[str]) -> DataFrame:
     """For each draw (cell, at), the `hit` of the interval [before, before + width) it falls in.
 
-    No pairs are formed: both sides are sorted together within (cell, chunk), and each
+    No pairs are formed: both sides are sorted together within (cell, chunk, part), and each
     draw takes the last interval that starts at or before it. An interval is listed once
-    in every chunk it touches, so a chunk needs nothing from its neighbours.
+    in every chunk it touches, so a chunk needs nothing from its neighbours. A chunk with many
+    draws is cut into parts by a hash of the row key, and its intervals are listed in each;
+    chunks that no draw falls in are left out.
     """
+    asked = draws.select("cell", F.expr(f"at div {CHUNK}").alias("chunk"), "at", *row_key)
+    asked = written(asked, "draws")
+    parts = asked.groupBy("cell", "chunk").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"))
+    parts, size = written_and_sized(parts, "draw_parts")
+    parts = sent_if_small(parts, size)
     touched = F.expr(f"sequence(before div {CHUNK}, (before + width - 1) div {CHUNK})")
-    starts = intervals.select("cell", "hit", "before", F.explode(touched).alias("chunk")).select(
-        "cell", "chunk", F.greatest("before", F.col("chunk") * CHUNK).alias("at"), "hit",
-        F.lit(0).alias("side"),
+    starts = intervals.select("cell", "hit", "before", F.explode(touched).alias("chunk")).join(parts, ["cell", "chunk"]).select(
+        "cell", "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"),
+        F.greatest("before", F.col("chunk") * CHUNK).alias("at"), "hit", F.lit(0).alias("side"),
     )
-    asked = draws.select(
-        "cell", F.expr(f"at div {CHUNK}").alias("chunk"), "at", F.lit(1).alias("side"), *row_key
+    placed = asked.join(parts, ["cell", "chunk"]).select(
+        "cell", "chunk", F.pmod(F.xxhash64(*row_key), F.col("parts")).cast("bigint").alias("part"), "at",
+        F.lit(1).alias("side"), *row_key
     )
-    line = Window.partitionBy("cell", "chunk").orderBy("at", "side")
+    line = Window.partitionBy("cell", "chunk", "part").orderBy("at", "side")
     line = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = starts.unionByName(asked, allowMissingColumns=True)
+    both = starts.unionByName(placed, allowMissingColumns=True)
     found = both.select(*row_key, "side", F.last("hit", ignorenulls=True).over(line).alias("hit"))
     return found.where(F.col("side") == 1).select(*row_key, "hit")
 
@@ -65,19 +73,24 @@ def draw_from_cells(
     """For each draw (cell, wide_cell, number) one observed combination of `values`.
 
     A cell with fewer than `floor_rows` donors is not used: its rows draw from the wide
-    cell instead.
+    cell instead. Only cells that some draw needs are laid out.
     """
     counts = donors.groupBy("cell", "wide_cell", *values).agg(F.count(F.lit(1)).alias("width"))
     counts = written(counts, "cell_counts")
+    wanted = draws.groupBy("cell", "wide_cell").agg(F.lit(1))
     sizes = counts.groupBy("cell").agg(F.sum("width").alias("size")).where(F.col("size") >= floor_rows)
-    sizes = sent_if_small(*written_and_counted(sizes, "cell_sizes"))
-    wide = counts.groupBy(F.col("wide_cell").alias("cell"), *values).agg(F.sum("width").alias("width"))
+    wanted = wanted.select("cell", "wide_cell").join(sizes, "cell", "left")
+    wanted = written(wanted, "cell_sizes")
+    sizes, size = written_and_sized(wanted.where(F.col("size").isNotNull()).select("cell", "size").distinct(), "cell_sizes")
+    sizes = sent_if_small(sizes, size)
+    # The wide cells are one, or one per target column: a small map.
+    wides = [r[0] for r in wanted.where(F.col("size").isNull()).select("wide_cell").distinct().collect()]
     usable = counts.join(sizes, "cell", "left_semi").select("cell", *values, "width")
-    cells, rows = written_and_counted(usable.unionByName(wide), "cells")
+    wide = counts.where(F.col("wide_cell").isin(wides)).groupBy(F.col("wide_cell").alias("cell"), *values).agg(F.sum("width").alias("width"))
+    cells, rows = written_and_counted(usable.unionByName(wide) if wides else usable, "cells")
     laid = running_before(cells, list(values), {"before": F.col("width")}, ["cell"], rows_per_bucket, rows)
     intervals = laid.select("cell", F.struct(*values).alias("hit"), "before", "width")
 
-    # The wide cells are one, or one per target column: a small map.
     wide_sizes = counts.groupBy("wide_cell").agg(F.sum("width").alias("size"))
     wide_sizes = wide_sizes.agg(
         F.map_from_entries(F.collect_list(F.struct("wide_cell", "size"))).alias("m")
@@ -140,9 +153,10 @@ def cycled_conditions(
     conditions: DataFrame, order_key: str, samples: int, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """`samples` rows that go round the conditions in order: sample i takes row i mod n."""
-    rows = written(conditions, "conditions")
+    rows, size = written_and_sized(conditions, "conditions")
     count = rows.count()
-    placed = numbered(rows, [order_key], "_place", (), rows_per_bucket, count)
+    # Few conditions are few join keys, however many samples: they go to every executor.
+    placed = sent_if_small(numbered(rows, [order_key], "_place", (), rows_per_bucket, count), size)
     wanted = conditions.sparkSession.range(samples).select(F.col("id").alias("sample"))
     wanted = wanted.withColumn("_at", F.col("sample") % F.lit(max(count, 1)) + 1)
     return wanted.join(placed, F.col("_at") == F.col("_place")).drop("_at", "_place")

@@ -63,7 +63,7 @@ def prepare_for_quasi(df: DataFrame, row_key: str, roles: Roles, dates: Sequence
     frame = impute.fill_numbers(impute.fill_text(frame, value=""), numbers)
     texts = [c for c in text_columns(frame) if c != row_key]
     labels = encode.label_state(frame, texts)
-    frame = written(encode.encode_labels(frame, labels, texts), "encoded")
+    frame = written(encode.encode_labels(frame, labels, texts, row_key), "encoded")
     scales = encode.scale_state(frame, quasi)
     rows = encode.scale_minmax(frame, scales, quasi)
     conditions, targets = condition_target_split(rows, row_key, roles.clinical, quasi)
@@ -88,7 +88,7 @@ def prepare_for_sample(
     frame = impute.fill_numbers(impute.fill_text(frame), numbers, impute.exact_medians(frame, numbers))
     texts = [c for c in text_columns(frame) if c != row_key]
     labels = encode.label_state(frame, texts)
-    frame = written(encode.encode_labels(frame, labels, texts), "encoded")
+    frame = written(encode.encode_labels(frame, labels, texts, row_key), "encoded")
     scales = encode.scale_state(frame, [*conditions, *targets])
     rows = encode.scale_standard(frame, scales, [*conditions, *targets])
     x, y = condition_target_split(rows, row_key, conditions, targets)

@@ -53,12 +53,12 @@ class Roles:
     clinical: list[str]
 
 
-def load_roles(path: str | None) -> dict[str, list[str]]:
-    """The role lists of a JSON file; no file, no lists."""
+def load_roles(spark: SparkSession, path: str | None) -> dict[str, list[str]]:
+    """The role lists of a JSON file in any store that Spark reads; no file, no lists."""
     if path is None:
         return {}
-    with open(path, encoding="utf-8") as file:
-        return {k: v for k, v in json.load(file).items() if k in ROLE_LISTS}
+    text = spark.read.text(path, wholetext=True).first()[0]
+    return {k: v for k, v in json.loads(text).items() if k in ROLE_LISTS}
 
 
 def resolve_roles(df: DataFrame, *layers: Mapping[str, Sequence[str]], mode: str = "token") -> Roles:

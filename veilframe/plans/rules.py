@@ -76,10 +76,11 @@ def deidentify_rules(
 
 
 def deidentify_incremental(
-    batch: DataFrame, order_key: str, known: DataFrame | None, as_published: bool = False
+    batch: DataFrame, order_key: str, known: DataFrame | None, as_published: bool = False,
+    row_key: str | None = None,
 ) -> Deidentified:
     """One batch under a dictionary that grows: nothing is filled, old keys keep their numbers."""
     return deidentify_rules(
         batch, order_key, as_published=as_published, known=known,
-        namespaces=alternate_namespaces(), fill=False,
+        namespaces=alternate_namespaces(), fill=False, row_key=row_key,
     )

@@ -23,7 +23,8 @@ def row_treatments(stream: DataFrame, routed: Mapping[str, Sequence[str]], salt:
     return generalize_years(add_age_range(drop_identifiers(hashed)))
 
 
-def numbered_batches(stream: DataFrame, order_key: str, dictionaries: str, output: str) -> DataStreamWriter:
+def numbered_batches(stream: DataFrame, order_key: str, dictionaries: str, output: str,
+                     row_key: str | None = None) -> DataStreamWriter:
     """A writer that numbers each micro-batch after all earlier ones.
 
     The dictionary is saved before the rows, and each batch has its own output folder: a
@@ -31,7 +32,7 @@ def numbered_batches(stream: DataFrame, order_key: str, dictionaries: str, outpu
     """
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         known = load_dictionary(batch.sparkSession, dictionaries)
-        done = deidentify_incremental(batch, order_key, known)
+        done = deidentify_incremental(batch, order_key, known, row_key=row_key)
         append_entries(done.new_entries, dictionaries)
         done.output.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
 
