@@ -4,8 +4,9 @@ All of it is built-in expressions. Matches of a pattern come from the row alone:
 by the pattern, and the lengths of gaps and matches give every place. Base matches that pass their
 checks always stay. Generators of high recall propose further spans, which may overlap them and each
 other. Every proposal gets features of its form and its surroundings. Gradient-boosted trees are fitted on
-a bounded sample of proposals, labelled by whether the base patterns and checks agree; the score
-from which a kind is redacted is calibrated on proposals held out of the fit, by precision.
+a bounded sample of proposals, labelled by whether the base patterns and checks agree; those that
+are of the right form and announced as such, but not in the base patterns, are left to the trees.
+The score from which a kind is redacted is calibrated on proposals held out of the fit, by precision.
 """
 
 from __future__ import annotations
@@ -46,12 +47,14 @@ FEATURES = ("is_email", "is_ip", "is_card", "is_phone", "length", "digits", "let
 
 @dataclass(frozen=True)
 class Choice:
-    """`sample`: the most proposals that are fitted on and held out. `precision`: what a score has to
+    """`sample`: the most proposals that are fitted on and held out. `leaf`: the fewest in a leaf of
+    a tree, so that a rare form is judged by those like it and not by its own label. `precision`: what a score has to
     reach among held-out proposals of its kind, of which `support` at least score as high."""
 
     sample: int = 20_000
     trees: int = 10
     depth: int = 4
+    leaf: int = 20
     precision: float = 0.99
     support: int = 20
     seed: int = 11
@@ -148,6 +151,20 @@ def features(kind: Column, s: Column) -> dict[str, Column]:
     return {n: out[n].cast("double") for n in FEATURES}
 
 
+def unclear() -> Column:
+    """Proposals (with their features) of the form of their kind behind a word that announces it. Where
+    the base patterns do not agree these are neither found nor ruled out, and so tell the fit nothing."""
+    right = {
+        "email": F.lit(True), "ip": F.lit(False), "card": F.col("digits").between(13, 19) & (F.col("luhn") == 1),
+        "phone": F.col("digits").between(9, 15) & (F.col("groups") >= 2),
+    }
+    cue = {"email": "cue_mail", "ip": "cue_net", "card": "cue_card", "phone": "cue_phone"}
+    found_ = F.lit(False)
+    for kind in KINDS:
+        found_ |= (F.col("kind") == kind) & right[kind] & (F.col(cue[kind]) == 1)
+    return found_ & ~F.col("agrees")
+
+
 def overlaps(s: Column, spans: list[Column]) -> Column:
     hit = F.lit(False)
     for one in spans:
@@ -170,28 +187,30 @@ def scored(rows: DataFrame, choice: Choice) -> DataFrame:
     nothing = rows.select("row", "kind", "start", "end", F.lit(0.0).alias("score")).limit(0)
     draw = F.xxhash64("kind", "start", "end", "length", "row", F.lit(choice.seed))
     sample, _ = written_and_counted(
-        rows.withColumn("draw", draw).orderBy("draw", "row", "start").limit(choice.sample).coalesce(1), "personal_sample")
+        rows.where(~unclear()).withColumn("draw", draw).orderBy("draw", "row", "start").limit(choice.sample).coalesce(1), "personal_sample")
     fit_on, held_out = sample.where("draw % 4 <> 0"), sample.where("draw % 4 = 0")
     seen = {r[0] for r in fit_on.select("agrees").distinct().collect()}
     if seen != {True, False}:
         return nothing
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=choice.trees, maxDepth=choice.depth, seed=choice.seed).fit(
+    model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=choice.trees, maxDepth=choice.depth,
+                          minInstancesPerNode=choice.leaf, seed=choice.seed).fit(
         assembler.transform(fit_on.withColumn("label", F.col("agrees").cast("double"))))
 
     def with_score(part: DataFrame) -> DataFrame:
         return model.transform(assembler.transform(part)).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
 
-    # The lowest score, in hundredths, from which on enough of the held-out proposals agree.
+    # The lowest score, in hundredths and from one half, from which on enough of the held-out proposals agree.
     bins = with_score(held_out).groupBy("kind", F.floor(100 * F.col("score")).alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("agrees").cast("int")).alias("right")).collect()
     limit = {}
     for kind in KINDS:
-        n = right = 0
-        for r in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
-            n, right = n + r["n"], right + r["right"]
+        mine = [r for r in bins if r["kind"] == kind]
+        for least in range(99, 49, -1):
+            n = sum(r["n"] for r in mine if r["bin"] >= least)
+            right = sum(r["right"] for r in mine if r["bin"] >= least)
             if n >= choice.support and right >= choice.precision * n:
-                limit[kind] = r["bin"] / 100
+                limit[kind] = least / 100
     if not limit:
         return nothing
     enough = F.lit(False)
