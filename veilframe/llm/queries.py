@@ -69,11 +69,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
     long AS (
         SELECT doc_id, lang, source, base_failed, unnest([
-            {'measure': 'symbols', 'least': 10, 'value': 1000 * n_symbols // greatest(n_words, 1)},
-            {'measure': 'capitals', 'least': 10, 'value': 1000 * n_capitals // greatest(word_chars, 1)},
-            {'measure': 'repeats', 'least': 20, 'value': 1000 * n_repeat_words // greatest(n_words, 1)},
-            {'measure': 'dup_lines', 'least': 50, 'value': 1000 * n_dup_lines // greatest(n_lines, 1)},
-            {'measure': 'length', 'least': 10, 'value': 100 * word_chars // greatest(n_words, 1)}], recursive := true)
+            {'measure': 'symbols', 'least': 15, 'value': 1000 * n_symbols // greatest(n_words, 1)},
+            {'measure': 'capitals', 'least': 15, 'value': 1000 * n_capitals // greatest(word_chars, 1)},
+            {'measure': 'repeats', 'least': 60, 'value': 1000 * n_repeat_words // greatest(n_words, 1)},
+            {'measure': 'dup_lines', 'least': 60, 'value': 1000 * n_dup_lines // greatest(n_lines, 1)},
+            {'measure': 'length', 'least': 25, 'value': 100 * word_chars // greatest(n_words, 1)}], recursive := true)
         FROM based),
     binned AS (
         SELECT lang, source, measure, least, (value >> greatest(length(bin(value)) - 6, 0)) << greatest(length(bin(value)) - 6, 0) AS bin
