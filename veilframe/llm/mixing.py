@@ -134,7 +134,7 @@ def form_of(tokens: Column) -> Column:
 
 
 def drawn(df: DataFrame, targets: Targets, id_col: str, text_col: str, lang_col: str, source_col: str,
-          topic_col: str | None) -> tuple[DataFrame, dict[str, str]]:
+          topic_col: str | None, keep_text: bool = True) -> tuple[DataFrame, dict[str, str]]:
     """The rows with their tokens, topic, probability and whether they are drawn; names by meaning."""
     keys = ("tokens", "topic", "probability", "selected", "lang_place", "topic_place", "factor_source", "factor")
     name = dict(zip(keys, free_names(df, *keys)))
@@ -143,7 +143,7 @@ def drawn(df: DataFrame, targets: Targets, id_col: str, text_col: str, lang_col:
     rows = rows.withColumn(name["topic"], F.col(topic_col) if topic_col else form_of(tokens))
     rows = rows.withColumns({name["lang_place"]: place(F.col(lang_col), targets.languages),
                              name["topic_place"]: place(F.col(name["topic"]), targets.topics)})
-    rows = written(rows, "mixing_rows")
+    rows = written(rows if keep_text else rows.drop(text_col), "mixing_rows")
     cells = written(rows.groupBy(
         F.col(source_col).alias("source"), F.col(name["lang_place"]).alias("lang"), F.col(name["topic_place"]).alias("topic"),
     ).agg(F.sum(tokens).alias("tokens")), "mixing_cells")
@@ -167,7 +167,7 @@ def mixing_report(df: DataFrame, targets: Targets, id_col: str = "doc_id", text_
     An empty table gives an empty report.
     """
     wanted = list(dict.fromkeys([id_col, text_col, lang_col, source_col, *([topic_col] if topic_col else [])]))
-    rows, name = drawn(df.select(wanted), targets, id_col, text_col, lang_col, source_col, topic_col)
+    rows, name = drawn(df.select(wanted), targets, id_col, text_col, lang_col, source_col, topic_col, keep_text=False)
     return rows.select(id_col, source_col, lang_col, F.col(name["topic"]).alias("topic"), F.col(name["tokens"]).alias("tokens"),
                        F.col(name["probability"]).alias("probability"), F.col(name["selected"]).alias("selected"))
 
