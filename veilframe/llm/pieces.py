@@ -30,9 +30,10 @@ from pyspark.sql import types as T
 from veilframe.llm.common import free_names
 
 MARK = "▁"  # stands for a space
-BATCH_CHARS = 1 << 21
-MOST_REMEMBERED = 1 << 19
-MOST_PAIRS = 1 << 19
+BATCH_CHARS = 1 << 20
+LEARN_CHARS = 1 << 17  # of parts that are put into one suffix array
+MOST_REMEMBERED = 1 << 18
+MOST_PAIRS = 1 << 18
 KEY_CHARS = 4
 UNKNOWN_CODE = 0xFFFE
 NONE = -1
@@ -130,7 +131,7 @@ class Encoder:
         blocks = codes.reshape(len(usable), self.depth, KEY_CHARS)
         self.low = (blocks << shifts).sum(2, dtype=np.uint64)
         self.high = (np.where(blocks == 0, np.uint64(0xFFFF), blocks) << shifts).sum(2, dtype=np.uint64)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.remembered: dict[str, int] = {}
         self.forget()
 
@@ -174,7 +175,8 @@ class Encoder:
             rank = np.empty(n, np.int64)
             rank[suffixes] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
             key = rank * (n + 1)
-            key[:n - reach] += rank[reach:] + 1
+            if reach < n:
+                key[:n - reach] += rank[reach:] + 1
             suffixes, reach = np.argsort(key), reach * 2
         first = keys[0][suffixes]
         low = np.searchsorted(first, self.low[:, 0], "left")
@@ -254,11 +256,12 @@ class Encoder:
                     if not dead[ends[k]]:
                         if before == none or p == none:
                             break
-                        fits = known((before, p))
+                        pair = before * none + p
+                        fits = known(pair)
                         if fits is None:
                             if len(pairs) >= MOST_PAIRS:
                                 pairs.clear()
-                            fits = pairs[before, p] = self.may_follow(names[before], names[p])
+                            fits = pairs[pair] = self.may_follow(names[before], names[p])
                         if fits:
                             break
                     k += 1
@@ -307,8 +310,14 @@ class Encoder:
                 spots.append(np.fromiter(map(known.__getitem__, parts), np.int64, len(parts)))
                 n += len(parts)
             sizes.append(n)
+        start = size = 0
+        for k, part in enumerate(fresh):
+            if size and size + len(part) > LEARN_CHARS:
+                self.learn(fresh[start:k])
+                start, size = k, 0
+            size += len(part)
         if fresh:
-            self.learn(fresh)
+            self.learn(fresh[start:])
         ends, flat = np.array(self.ends, np.int64), np.array(self.flat, np.int32)
         spot = np.concatenate(spots) if spots else np.zeros(0, np.int64)
         begin, count = ends[spot], ends[spot + 1] - ends[spot]
