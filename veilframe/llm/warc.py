@@ -36,6 +36,7 @@ PACKAGE_BYTES = 64 << 20
 PACKAGE_RECORDS = 50_000
 READ_BYTES = 4 << 20
 RECORDS_DEALT = 512
+TASKS_A_PACKAGE = 4
 DATE = "1970-01-01T00:00:00Z"  # pages have no time of their own
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID = "urn:page:"
@@ -207,8 +208,11 @@ def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
             if held:
                 yield pd.DataFrame(held, columns=["path", "start", "length", "number"])
 
-    found = packages.select("path").repartition("path").mapInPandas(places, "path string, start long, length long, number long")
-    dealt = found.repartition("path", F.floor(F.col("number") / RECORDS_DEALT)).sortWithinPartitions("path", "start")
+    # Places are small and what lies there is not, so the numbers of tasks follow the packages.
+    count = packages.count()
+    tasks = max(TASKS_A_PACKAGE * count, int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = packages.select("path").repartition(max(1, count), "path").mapInPandas(places, "path string, start long, length long, number long")
+    dealt = found.repartition(tasks, "path", F.floor(F.col("number") / RECORDS_DEALT)).sortWithinPartitions("path", "start")
     fields = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
               ("record_type", pa.string()), ("refers_to", pa.int64())] + [("payload", pa.binary())] * payloads
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
