@@ -26,9 +26,9 @@ from veilframe.llm.common import without_ids
 from veilframe.llm.connected import components
 from veilframe.session import written
 
-TILES = 64
+TILES = 16
 LEAST_TILE = 2048
-MOST_TILE = 1 << 22
+MOST_TILE = 1 << 18
 BLOCK = 1 << 15
 HASHES_AT_ONCE = 1 << 15
 
