@@ -81,6 +81,22 @@ def test_added_spans_do_not_overlap(spark):
     assert all(a[1] <= b[0] for a, b in zip(taken, taken[1:])) and len(spans.base) == 3
 
 
+def test_a_rare_kind_gets_a_limit_from_all_its_proposals(spark):
+    """A flood of figures, and an address in fifty proposals: the sample alone holds too few to calibrate on."""
+    rows = [(i, f"order id {10000000 + 37 * i} shipped") for i in range(6000)]
+    rows += [(10_000 + i, f"text {i} mail user{i}@example{i % 9}.com today") for i in range(120)] + [(20_000, "text mail someone @ example3.com today")]
+    choice = personal.Choice(sample=400)
+    out = personal.personal_report(spark.createDataFrame(rows, "doc_id bigint, text string"), choice=choice).collect()
+    assert [r.spans for r in out if r.doc_id == 20_000] == ["email:10:32"]
+    assert all(r.spans == "" for r in out if r.doc_id < 10_000)
+
+
+def test_shares_of_the_fit():
+    shares = personal.shares_fitted({"email": 100, "phone": 10 ** 9, "card": 10 ** 7}, 20_000)
+    assert shares["email"] == 0.75 and round(shares["phone"] * 10 ** 9) == round(shares["card"] * 10 ** 7) == 7462
+    assert set(personal.shares_fitted({"email": 8, "phone": 9000}, 20_000).values()) == {0.75}
+
+
 def test_redaction_and_edges(spark):
     df = spark.createDataFrame([(1, "é me@x.com, 8.8.8.8", "", 0), (2, "nothing", "", 0), (3, None, "", 0)], SCHEMA)
     got = {r.doc_id: r.text for r in personal.redacted(df).collect()}

@@ -6,7 +6,7 @@ checks always stay. Generators of high recall propose further spans, which may o
 other. Every proposal gets features of its form and its surroundings. Gradient-boosted trees are fitted on
 a bounded sample of proposals, labelled by whether the base patterns and checks agree; those that
 are of the right form and announced as such, but not in the base patterns, are left to the trees.
-The score from which a kind is redacted is calibrated on proposals held out of the fit, by precision.
+The score from which a kind is redacted is calibrated by precision on all proposals outside the fit.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ FEATURES = ("is_email", "is_ip", "is_card", "is_phone", "length", "digits", "let
 
 @dataclass(frozen=True)
 class Choice:
-    """`sample`: the most proposals that are fitted on and held out. `leaf`: the fewest in a leaf of
+    """`sample`: the most proposals that are fitted on, of all kinds together; the others are held out. `leaf`: the fewest in a leaf of
     a tree, so that a rare form is judged by those like it and not by its own label. `precision`: what a score has to
     reach among held-out proposals of its kind, of which `support` at least score as high."""
 
@@ -182,13 +182,28 @@ def proposals(text: Column) -> Column:
     return F.concat(F.coalesce(emails, none), F.coalesce(numbers, none))
 
 
+def shares_fitted(counts: dict[str, int], sample: int) -> dict[str, float]:
+    """By kind, the part of its proposals that is fitted on: at most three quarters, and of all kinds about three
+    quarters of `sample`. A kind with few gets its three quarters, and those with many divide what is left."""
+    left, out = 0.75 * sample, {}
+    for i, (kind, n) in enumerate(sorted(counts.items(), key=lambda item: item[1])):
+        most = min(0.75 * n, left / (len(counts) - i))
+        out[kind], left = most / n, left - most
+    return out
+
+
 def scored(rows: DataFrame, choice: Choice) -> DataFrame:
     """The proposals (row, kind, start, end, agrees, features) that are chosen, with their scores."""
     nothing = rows.select("row", "kind", "start", "end", F.lit(0.0).alias("score")).limit(0)
+    clear = rows.where(~unclear())
+    counts = {r["kind"]: r["n"] for r in clear.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Which proposals are fitted on follows from each row alone, so all others can be told from them without a join.
     draw = F.xxhash64("kind", "start", "end", "length", "row", F.lit(choice.seed))
-    sample, _ = written_and_counted(
-        rows.where(~unclear()).withColumn("draw", draw).orderBy("draw", "row", "start").limit(choice.sample).coalesce(1), "personal_sample")
-    fit_on, held_out = sample.where("draw % 4 <> 0"), sample.where("draw % 4 = 0")
+    fitted = F.lit(False)
+    for kind, share in shares_fitted(counts, choice.sample).items():
+        fitted |= (F.col("kind") == kind) & (F.shiftrightunsigned(draw, 11) / F.lit(float(1 << 53)) < share)
+    fit_on, _ = written_and_counted(
+        clear.where(fitted).withColumn("draw", draw).orderBy("draw", "row", "start").limit(choice.sample).coalesce(1), "personal_sample")
     seen = {r[0] for r in fit_on.select("agrees").distinct().collect()}
     if seen != {True, False}:
         return nothing
@@ -196,12 +211,12 @@ def scored(rows: DataFrame, choice: Choice) -> DataFrame:
     model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=choice.trees, maxDepth=choice.depth,
                           minInstancesPerNode=choice.leaf, seed=choice.seed).fit(
         assembler.transform(fit_on.withColumn("label", F.col("agrees").cast("double"))))
-
-    def with_score(part: DataFrame) -> DataFrame:
-        return model.transform(assembler.transform(part)).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
+    judged = rows.withColumn("held_out", ~unclear() & ~fitted).where("held_out OR NOT agrees")
+    judged = written(model.transform(assembler.transform(judged)).select(
+        "row", "kind", "start", "end", "agrees", "held_out", F.get(vector_to_array("probability"), F.lit(1)).alias("score")), "personal_scores")
 
     # The lowest score, in hundredths and from one half, from which on enough of the held-out proposals agree.
-    bins = with_score(held_out).groupBy("kind", F.floor(100 * F.col("score")).alias("bin")).agg(
+    bins = judged.where("held_out").groupBy("kind", F.floor(100 * F.col("score")).alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("agrees").cast("int")).alias("right")).collect()
     limit = {}
     for kind in KINDS:
@@ -216,7 +231,7 @@ def scored(rows: DataFrame, choice: Choice) -> DataFrame:
     enough = F.lit(False)
     for kind, score in limit.items():
         enough |= (F.col("kind") == kind) & (F.col("score") >= score)
-    return with_score(rows.where("NOT agrees")).where(enough).select("row", "kind", "start", "end", "score")
+    return judged.where("NOT agrees").where(enough).select("row", "kind", "start", "end", "score")
 
 
 def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", choice: Choice = Choice()) -> DataFrame:
