@@ -106,6 +106,16 @@ def test_redaction_and_edges(spark):
     assert [r.n_email for r in personal.personal_report(twice).collect()] == [1, 1, 1]
 
 
+def test_redaction_goes_by_row(spark):
+    """Rows without an id, rows that share an id, and spans that overlap in part or lie in one another."""
+    rows = [(None, "é me@x.com"), (None, "8.8.8.8 up"), (None, None), (7, "to a@b.c"), (7, "a@b.c and 1.1.1.1"), (7, "nothing"),
+            (8, "+1 2345678901.foo@x.com, so"), (9, "x 4111 1111 1111 1111@x.com 4111111111111111@x.com 8.8.8.8")]
+    got = personal.redacted(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == sorted([
+        (None, "é [EMAIL]"), (None, "[IP] up"), (None, None), (7, "to [EMAIL]"), (7, "[EMAIL] and [IP]"), (7, "nothing"),
+        (8, "[PHONE], so"), (9, "x [CARD] [EMAIL] [IP]")], key=repr)
+
+
 def test_luhn(spark):
     df = spark.createDataFrame([("4111 1111 1111 1111",), ("4111111111111112",), ("x",), ("0",)], "m string")
     assert [r[0] for r in df.select(personal.luhn(F.col("m"))).collect()] == [True, False, False, True]

@@ -241,10 +241,16 @@ def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows without an id get their own. Added spans do not overlap base spans nor each other: of two,
     the one that starts first stays, then the higher score. An empty table gives an empty result.
     """
-    rows = df.select(F.col(id_col).alias("id"), whole(text_col).alias("text")).withColumn("row", F.monotonically_increasing_id())
-    text = F.col("text")
+    return row_spans(df, id_col, text_col, choice, keep_text=False).select(F.col("id").alias(id_col), "base", "added")
+
+
+def row_spans(df: DataFrame, id_col: str, text_col: str, choice: Choice, keep_text: bool) -> DataFrame:
+    """`personal_spans` as id, base and added, and on demand each row's own text as it was."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("row", F.monotonically_increasing_id())
+    text = whole("text")
     kinds = base_spans(text)
-    rows = written(rows.select("row", "id", *[c.alias(k) for k, c in kinds.items()], proposals(text).alias("proposed")), "personal_spans")
+    kept = ["row", "id", *(["text"] if keep_text else [])]
+    rows = written(rows.select(*kept, *[c.alias(k) for k, c in kinds.items()], proposals(text).alias("proposed")), "personal_spans")
     spans = [F.col(k) for k in KINDS]
     each = rows.where(F.size("proposed") > 0).select("row", F.explode(F.transform(
         "proposed", lambda p: p.withField("agrees", overlaps(p["span"], spans)))).alias("p"))
@@ -272,7 +278,7 @@ def personal_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     more = F.aggregate("found", F.struct(none().alias("spans"), F.lit(0).alias("upto")), taken, lambda state: state["spans"])
     return rows.join(added, "row", "left").select(
-        F.col("id").alias(id_col), F.array_sort(F.concat(*map(of, KINDS))).alias("base"), F.coalesce(more, none()).alias("added"))
+        *kept[1:], F.array_sort(F.concat(*map(of, KINDS))).alias("base"), F.coalesce(more, none()).alias("added"))
 
 
 def joined(spans: Column) -> Column:
@@ -292,17 +298,16 @@ def personal_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def redacted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", choice: Choice = Choice()) -> DataFrame:
-    """id and text, every span replaced by its kind in brackets; of spans that overlap, the first."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    spans = personal_spans(rows, "id", "text", choice)
-    joined_rows = rows.join(spans.dropDuplicates(["id"]), "id")
+    """id and text, one row for each, every span replaced by its kind in brackets. Spans that overlap
+    are replaced as one, up to the last end, by the kind of the first. A null text stays null."""
+    rows = row_spans(df, id_col, text_col, choice, keep_text=True)
 
     def cut(state: Column, s: Column) -> Column:
         skip = s["start"] < state["upto"]
         piece = F.concat(state["out"], F.substring("text", state["upto"] + 1, s["start"] - state["upto"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.when(skip, state["out"]).otherwise(piece).alias("out"), F.when(skip, state["upto"]).otherwise(s["end"]).alias("upto"))
+        return F.struct(F.when(skip, state["out"]).otherwise(piece).alias("out"), F.greatest(state["upto"], s["end"]).alias("upto"))
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("upto"))
     done = F.aggregate(F.array_sort(F.concat("base", "added")), start, cut)
     text = let(done, lambda d: F.concat(d["out"], F.substring("text", d["upto"] + 1, F.lit(2_147_483_647))))
-    return joined_rows.select(F.col("id").alias(id_col), text.alias(text_col))
+    return rows.select(F.col("id").alias(id_col), text.alias(text_col))
