@@ -139,3 +139,24 @@ def test_mixing_edges(spark):
     assert len(got) == 5 and all(0 <= r.probability <= 1 for r in got)
     assert [r.probability for r in got if r.doc_id == 3] == [0.0]
     assert mixing.mixing_report(df.where("false"), mixing.Targets()).count() == 0
+
+
+def test_targets_beyond_the_tokens_are_told_and_the_rest_is_met(spark):
+    """Of topic y and source b there is less than asked for; all of it is taken, and the other shares keep their proportions."""
+    rng = random.Random(3)
+    rows = [(i, "w " * rng.randint(1, 9), rng.choice(["en", "en", "de"]), rng.choice(["big"] * 8 + ["a"] * 5 + ["b"]),
+             rng.choice(["x"] * 6 + ["z"] * 6 + ["y"])) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, topic string")
+    targets = mixing.Targets({"big": 0.4, "a": 0.4, "b": 0.2}, {"en": 0.6, "de": 0.4}, {"x": 0.4, "y": 0.3, "z": 0.3}, budget=0.6)
+    total = sum(len(r[1].split()) for r in rows)
+    most = {m: sum(len(r[1].split()) for r in rows if r[i] == m) / (0.6 * total) for m, i in (("y", 4), ("b", 3))}
+    got = {r.name: r for r in mixing.mixing_shares(df, targets, topic_col="topic").collect() if r.name}
+    expected = {"en": 0.6, "de": 0.4, "y": most["y"], "x": (1 - most["y"]) * 4 / 7, "z": (1 - most["y"]) * 3 / 7,
+                "b": most["b"], "big": (1 - most["b"]) / 2, "a": (1 - most["b"]) / 2}
+    assert most["y"] < 0.2 and most["b"] < 0.2 and got["y"].asked == 0.3 and got["b"].asked == 0.2
+    assert all(abs(got[n].target - share) < 1e-6 and abs(got[n].expected - share) < 2e-4 for n, share in expected.items())
+    report = mixing.mixing_report(df, targets, topic_col="topic").collect()
+    assert all(r.probability == 1 for r in report if r.topic == "y" or r.source == "b")
+    for name, share in expected.items():
+        mass = sum(r.tokens * r.probability for r in report if name in (r.topic, r.lang, r.source))
+        assert abs(mass / (0.6 * total) - share) < 2e-4
