@@ -1,6 +1,8 @@
 """URL filter and WARC packages."""
 
+import gzip
 import io
+import json
 import struct
 import zipfile
 
@@ -138,3 +140,30 @@ def test_a_damaged_payload_is_not_passed_on():
     raw = warc.record(1, "u", b"payload", None, False)
     with pytest.raises(ValueError):
         warc.parsed(raw.replace(b"payload", b"pay1oad"))
+
+
+def test_indexes_of_other_forms_are_read_and_unlisted_archives_refused(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "one"), (2, "v", "two")], "page_id bigint, url string, html string").coalesce(1)
+    made = zipfile.ZipFile(warc.write_packages(pages, str(tmp_path / "archives")).first().path.removeprefix("file:"))
+    records, index = made.read(warc.RECORDS), made.read(warc.INDEX)
+    lines = [json.loads(line.split(" ", 2)[2]) for line in index.decode().splitlines()]
+    columns = " CDX N b S V g\n" + "".join(f"k 20200101000000 {e['length']} {e['offset']} {e['filename'].removeprefix('archive/')}\n" for e in lines)
+    forms = {"a.cdxj.gz": gzip.compress(index), "a.cdx": columns.encode(), "a.cdx.gz": gzip.compress(columns.encode()), "a.cdxj": index}
+    expected = sorted(warc.locate(iter([made.filename])))
+    assert len(expected) == 2
+
+    def package(name, members):
+        with zipfile.ZipFile(tmp_path / name, "w", zipfile.ZIP_STORED) as out:
+            for member, data in {warc.RECORDS: records, **members}.items():
+                out.writestr(member, data)
+        return str(tmp_path / name)
+
+    for n, (form, data) in enumerate(forms.items()):
+        path = package(f"{n}.wacz", {f"indexes/{form}": data})
+        back = warc.read_packages(spark.createDataFrame([(path,)], "path string")).collect()
+        assert sorted((r.page_id, bytes(r.payload)) for r in back) == [(1, b"one"), (2, b"two")]
+    both = package("both.wacz", {f"indexes/{form}": data for form, data in forms.items()})
+    assert len(list(warc.locate(iter([both])))) == 2
+    for members in ({}, {"indexes/a.cdxj": index, "archive/other.warc.gz": records}):
+        with pytest.raises(ValueError, match="lists archive/"):
+            list(warc.locate(iter([package("lost.wacz", members)])))

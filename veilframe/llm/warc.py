@@ -12,6 +12,7 @@ each record by its range.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import json
@@ -180,18 +181,44 @@ def locate(paths: Iterator[str]) -> Iterator[tuple[str, int, int, int]]:
             listed = {m.name: m for m in zip_reader.members(read, file.size())}
             starts = {}
             number = 0
+            seen = set()
             for name, member in listed.items():
-                if not re.fullmatch(r"indexes/.*\.cdxj", name):
+                if not re.fullmatch(r"indexes/.*\.cdxj?(\.gz)?", name):
                     continue
-                for line in member.content(read).decode().splitlines():
-                    entry = json.loads(line.split(" ", 2)[2])
-                    at = entry["filename"]
+                index = member.content(read)
+                for at, offset, length in entries((gzip.decompress(index) if name.endswith(".gz") else index).decode(), name):
+                    at = at if at in listed else f"archive/{at}"
+                    if at not in listed:
+                        raise ValueError(f"{name} lists {at}, which is not in {path}")
+                    if (at, offset) in seen:  # indexes may list a record twice
+                        continue
+                    seen.add((at, offset))
                     if at not in starts:
                         if listed[at].method != zip_reader.STORED:
                             raise ValueError(f"{at} is not stored, so it has no ranges")
                         starts[at] = listed[at].begin(read)
-                    yield path, starts[at] + int(entry["offset"]), int(entry["length"]), number
+                    yield path, starts[at] + offset, length, number
                     number += 1
+            lost = [n for n in listed if re.fullmatch(r"archive/.*\.warc(\.gz)?", n) and n not in starts]
+            if lost:
+                raise ValueError(f"no index of {path} lists {', '.join(lost)}")
+
+
+def entries(index: str, name: str) -> Iterator[tuple[str, int, int]]:
+    """(member, offset, length) of every line of an index: JSON behind key and time, or columns named by a CDX header."""
+    columns = None
+    for line in index.splitlines():
+        if line.lstrip().startswith("CDX "):
+            columns = line.split()[1:]
+            if not {"g", "V", "S"} <= set(columns):
+                raise ValueError(f"{name} names no member, offset and length of its records")
+        elif line.strip() and not line.startswith("!"):
+            if columns:
+                found = dict(zip(columns, line.split()))
+                yield found["g"], int(found["V"]), int(found["S"])
+            else:
+                entry = json.loads(line.split(" ", 2)[2])
+                yield entry["filename"], int(entry["offset"]), int(entry["length"])
 
 
 def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
