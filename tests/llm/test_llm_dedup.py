@@ -94,6 +94,13 @@ def test_near_copies_of_edges(spark):
     assert kept.columns == df.columns and sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([2, 7, None, 1], key=repr)
 
 
+def test_rows_that_share_an_id_go_one_by_one(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(300)) for x in "abc")
+    rows = [(1, a, "", 0), (5, a, "", 1), (5, b, "", 2), (6, b + " more", "", 3), (7, c, "", 4), (7, c, "", 5), (8, c, "", 6), (None, a, "", 7)]
+    kept = simhash.near_dedup(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(r.kept for r in kept.collect()) == [0, 2, 4, 5, 7] and kept.columns == ["doc_id", "text", "text_hash", "kept"]
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(0, 60)]
     star = [(1000, 1000 + i) for i in range(1, 200)]

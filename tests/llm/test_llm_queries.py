@@ -90,3 +90,12 @@ def test_stages_take_nulls_repeats_and_clashing_columns(spark, sf_dir):
         if name == "exact dedup":
             assert sorted(r.doc_id for r in docs.collect()) == [2, 4]
     assert docs.count() <= 2
+
+
+def test_no_text_of_its_own_is_lost_with_a_repeated_id(spark, sf_dir):
+    a, b = (" ".join(f"{x}{i}" for i in range(80)) for x in ("one", "two"))
+    rows = [(1, a, "en", "a", 1), (5, a + " more", "en", "a", 1), (5, b, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, sf_dir)
+    assert sorted((r.doc_id, r.text[:3]) for r in docs.collect()) == [(1, "one"), (5, "two")]

@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from veilframe.llm.common import without_ids
+from veilframe.llm.common import free_names, sent_if_few, without_ids
 from veilframe.llm.connected import components
-from veilframe.session import written
+from veilframe.session import written, written_and_counted
 
 TILES = 16
 LEAST_TILE = 2048
@@ -227,8 +227,23 @@ def near_duplicate_report(df: DataFrame, id_col: str = "doc_id", text_col: str =
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
     """The rows of the document with the smallest id of each group, with their columns as they were.
 
-    Rows without an id stay. Rows that share the id that stays are one document, and stay.
+    A row goes by its own fingerprint: rows that share an id but not a group are judged each in its
+    group. Rows without an id stay. Rows that share the id that stays, in its group, are one document,
+    and stay.
     """
-    report = near_duplicate_report(df, id_col, text_col, shingle, radius)
-    gone = report.where(F.col(id_col) != F.col("component_id")).select(id_col)
-    return without_ids(df, id_col, gone, "simhash_gone")
+    rows, groups = near_groups(df, id_col, text_col, shingle, radius)
+    judged = rows.where("id IS NOT NULL").join(groups, "code", "left")
+    stays = F.col("component_id").isNull() | (F.col("id") == F.col("component_id"))
+    gone, count = written_and_counted(judged.where(~stays).select("id", "code").distinct(), "simhash_gone")
+    # Ids of rows that go which other rows, that stay, have as well: only there the fingerprint decides.
+    ids = sent_if_few(gone.select("id").distinct(), count, 64)
+    split, shared = written_and_counted(judged.where(stays).join(ids, "id", "left_semi").select("id").distinct(), "simhash_shared")
+    if not shared:
+        return without_ids(df, id_col, gone.select("id"), "simhash_gone_ids")
+    key, code, gone_id, gone_code = free_names(df, "shared_id", "code", "gone_id", "gone_code")
+    split = sent_if_few(split.toDF(key), shared, 64)
+    whole = without_ids(df, id_col, gone.join(split, F.col("id") == F.col(key), "left_anti").select("id"), "simhash_gone_ids")
+    doubtful = whole.join(split, F.col(key) == F.col(id_col), "left_semi").withColumn(code, fingerprints(text_col, shingle))
+    pairs = sent_if_few(gone.toDF(gone_id, gone_code), count, 64)
+    left = doubtful.join(pairs, (F.col(gone_id) == F.col(id_col)) & (F.col(gone_code) == F.col(code)), "left_anti").drop(code)
+    return whole.join(split, F.col(key) == F.col(id_col), "left_anti").unionByName(left)
