@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.llm import (
-    chat, exact_dedup, mixing, personal, pieces, quality_classifier, quality_rules, simhash, url_filter, warc,
+    chat, divergence, exact_dedup, mixing, personal, pieces, quality_classifier, quality_rules, simhash, url_filter, warc,
 )
 from veilframe.llm.common import table
 
@@ -191,3 +191,39 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_chat_format")
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_source_divergence", r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t
+        FROM documents),
+    tokens AS (
+        SELECT id, lang, source, unnest(regexp_extract_all(
+            translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+    kept AS (SELECT lang, term FROM tokens GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+    held AS (SELECT lang, source, term, count(*) AS n FROM tokens GROUP BY ALL),
+    groups AS (SELECT DISTINCT lang, source FROM d),
+    counts AS (
+        SELECT g.lang, g.source, term, coalesce(n, 0) AS n
+        FROM groups g JOIN kept USING (lang) LEFT JOIN held USING (lang, source, term)),
+    shares AS (
+        SELECT lang, source, term, n, 1 + (1000000000 * (n + 1)) // CAST(sum(n) OVER w + count(*) OVER w AS bigint) AS p
+        FROM counts WINDOW w AS (PARTITION BY lang, source)),
+    whole AS (SELECT lang, term, sum(n)::bigint AS n FROM counts GROUP BY ALL),
+    of_lang AS (
+        SELECT lang, term, 1 + (1000000000 * (n + 1)) // CAST(sum(n) OVER w + count(*) OVER w AS bigint) AS q
+        FROM whole WINDOW w AS (PARTITION BY lang)),
+    apart AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::bigint AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    found AS (
+        SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+        FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+            LEFT JOIN apart ON apart.lang = g.lang AND apart.source = g.source AND apart.item = h.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares JOIN of_lang USING (lang, term) WHERE n > 0 AND p > q),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::integer AS rank FROM found)
+    SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200""")
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
