@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.llm import (
-    chat, divergence, exact_dedup, mixing, personal, pieces, quality_classifier, quality_rules, simhash, url_filter, warc,
+    chat, divergence, exact_dedup, main_text, mixing, personal, pieces, quality_classifier, quality_rules, simhash, url_filter, warc,
 )
 from veilframe.llm.common import table
 
@@ -227,3 +227,17 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200""")
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_html_extraction", r"""
+    WITH inner_html AS (
+        SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS h FROM pages),
+    bare AS (
+        SELECT page_id, url, regexp_replace(regexp_replace(h, '</?(p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS t FROM inner_html),
+    decoded AS (
+        SELECT page_id, url, regexp_replace(replace(replace(replace(replace(regexp_replace(t, '&quot;?', '"', 'g'),
+            '&lt;', '<'), '&gt;', '>'), '&#x27;', ''''), '&#39;', ''''), '&amp;?', '&', 'g') AS t FROM bare),
+    trimmed AS (SELECT page_id, url, trim(regexp_replace(t, '[\x20\x09-\x0D]+', ' ', 'g')) AS text FROM decoded)
+    SELECT page_id, url, text, length(text) AS n_chars FROM trimmed""")
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extraction_report(table(spark, sf_dir, "pages"))
