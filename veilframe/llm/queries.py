@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.llm import (
-    chat, divergence, exact_dedup, main_text, mixing, personal, pieces, quality_classifier, quality_rules, simhash, url_filter, warc,
+    chat, divergence, exact_dedup, main_text, mixing, personal, pieces, quality_classifier, quality_rules, simhash, turns, url_filter, warc,
 )
 from veilframe.llm.common import table
 
@@ -241,3 +241,8 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT page_id, url, text, length(text) AS n_chars FROM trimmed""")
 def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extraction_report(table(spark, sf_dir, "pages"))
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.damage_and_repair(table(spark, sf_dir, "conversations"))
