@@ -172,25 +172,27 @@ def edits(codes: Sequence[int], audit: str, entry: int) -> list[tuple[int, str,
 BLOCK = ["key", "none", "part", "block"]
 
 
-def given(df: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
-    """Equal rows folded, with their number `n`, their first fault and their place; written.
+def given(df: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Equal rows folded, with their number `n` and their place; and, without texts, the places with the turns'
+    roles and first faults. Both written.
 
     A place is the partition (upper bits) and the row in it, so it grows with the order."""
     blank = F.lit(" ")
     rows = df.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), blank).alias("role"),
                      F.coalesce(F.col(text_col), blank).alias("text")).groupBy("conv", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
-    rows = rows.select(F.coalesce(F.col("conv").cast("string"), F.lit("")).alias("key"), F.col("conv").isNull().alias("none"), "conv",
-                       F.col("turn").isNotNull().alias("late"), "turn", "role", "text", F.unhex(F.sha2("text", 256)).alias("digest"), "n")
-    rows = written(rows, "turns")
-    said = ["key", "none", "role", "digest"]
-    firsts = rows.groupBy(*said).agg(F.min("turn").alias("first"), F.min("late").alias("numbered"))
-    again = (F.col("late") & ~F.col("numbered")) | (F.col("turn") > F.col("first"))
-    fault = F.when(~F.col("text").rlike(NO_SPACE), 1).when(again, 2).when(~F.col("text").rlike(rf"[.!?]{SPACE}*\z"), 3).otherwise(0)
-    rows = rows.join(firsts, said).withColumn("fault", fault).drop("first", "numbered")
+    rows = rows.withColumns({"key": F.coalesce(F.col("conv").cast("string"), F.lit("")), "none": F.col("conv").isNull(),
+                             "late": F.col("turn").isNotNull(), "digest": F.unhex(F.sha2("text", 256))})
     order = ["key", "none", "late", "turn", "role", F.substring("text", 1, 64), "digest"]
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return written(rows.drop("late", "digest").withColumn("place", F.monotonically_increasing_id()), "turns_ordered")
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("late")
+    rows = written(rows.withColumn("place", F.monotonically_increasing_id()), "turns")
+    said = ["key", "none", "role", "digest"]
+    plain = F.when(~F.col("text").rlike(NO_SPACE), 1).when(~F.col("text").rlike(rf"[.!?]{SPACE}*\z"), 3).otherwise(0)
+    narrow = rows.select(*said, "place", role_number(F.col("role")).alias("code"), plain.alias("fault"))
+    firsts = narrow.groupBy(*said).agg(F.min("place").alias("first"))
+    again = (F.col("place") > F.col("first")) & (F.col("fault") != 1)
+    turns = narrow.join(firsts, said).select("key", "none", "place", "code", F.when(again, 2).otherwise(F.col("fault")).alias("fault"))
+    return rows, written(turns, "turns_faults")
 
 
 def role_number(role: Column) -> Column:
@@ -259,55 +261,69 @@ def repaired(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
     are one space; rows without a conversation are one conversation. Texts of any length are whole. Other columns
     are not read. An empty table gives an empty result.
     """
-    spark = df.sparkSession
-    rows = given(df, conv_col, turn_col, role_col, text_col).withColumns({
-        "code": role_number(F.col("role")), "part": F.shiftright("place", 33),
-        "block": F.floor(F.col("place").bitwiseAND(F.lit((1 << 33) - 1)) / block_turns)})
+    rows, turns = given(df, conv_col, turn_col, role_col, text_col)
+    turns = turns.withColumns({
+        "part": F.shiftright("place", 33), "block": F.floor(F.col("place").bitwiseAND(F.lit((1 << 33) - 1)) / block_turns)})
     of_conv = Window.partitionBy("key", "none")
-    seams = rows.select(BLOCK).distinct().withColumn("blocks", F.count(F.lit(1)).over(of_conv))
+    seams = turns.select(BLOCK).distinct().withColumn("blocks", F.count(F.lit(1)).over(of_conv))
     cut, several = written_and_counted(seams.where("blocks > 1").select(BLOCK), "turns_cut")
     kinds = {f.name: f.dataType.simpleString() for f in cut.schema}
     block = ", ".join(f"{c} {kinds[c]}" for c in BLOCK)
     nothing = F.lit(None).cast("array<long>").alias("after")
     single = seams.where("blocks = 1").select(*BLOCK, nothing, F.lit(START).cast("long").alias("entry"))
     if several:
-        long = rows.select(*BLOCK, "place", "code", "fault").join(cut, BLOCK)
+        long = turns.join(cut, BLOCK)
         costs = long.groupBy(BLOCK).applyInPandas(block_costs, f"{block}, costs array<long>")
         after = written(costs.groupBy("key", "none").applyInPandas(seam_costs, f"{block}, after array<long>"), "turns_seams")
         exits = long.join(after, BLOCK).groupBy(BLOCK).applyInPandas(block_exits, f"{block}, exits array<long>")
         entries = exits.groupBy("key", "none").applyInPandas(block_entries, f"{block}, entry long")
         single = single.unionByName(after.join(entries, BLOCK))
-    ready = rows.join(written(single, "turns_entries"), BLOCK)
-
-    # Conversations and turns travel as text: their own types would lose whole numbers beside nulls.
-    names = ["place", "step", "turn", "role", "text", "fault", "edit", "times", "new_role", "new_text"]
-
-    def traced_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("place")
-        entry = int(pdf["entry"].iloc[0])
-        codes, forced, extra = block_of(pdf)
-        _, audit, _ = aligned(codes, forced, extra, (entry,), *exits_of(pdf["after"].iloc[0]))[entry]
-        turns = list(pdf[["place", "turn", "role", "text", "fault", "n"]].itertuples(index=False))
-        out, step, behind = [], -len(audit), -1
-        for i, letter, role in edits(codes, audit, entry):
-            # Empty turns before all others have negative steps at the first turn's place.
-            step, behind = (step + 1, i) if i == behind else (0, i)
-            turn = turns[max(i, 0)]
-            if letter == "I":
-                out.append((turn.place, step, None, None, None, "", letter, 1, role, ""))
-            else:
-                kept = (role or turn.role, turn.text) if letter != "D" else (None, None)
-                out.append((turn.place, step, turn.turn, turn.role, turn.text, DONE[turn.fault], letter, turn.n, *kept))
-        made = pd.DataFrame(out, columns=names)
-        return made.assign(key=pdf["key"].iloc[0], none=pdf["none"].iloc[0])
-
-    sent = ready.select(*BLOCK, "place", F.col("turn").cast("string").alias("turn"), "role", "text", "fault", "n", "code", "after", "entry")
-    done = sent.groupBy(BLOCK).applyInPandas(traced_block, (
-        "place long, step int, turn string, role string, text string, fault string, edit string, times long, new_role string, "
-        "new_text string, key string, none boolean"))
-    types = {f.name: f.dataType for f in rows.schema}
-    return done.select(F.when(~F.col("none"), F.col("key").cast(types["conv"])).alias("conv"), "place", "step",
-                       F.col("turn").cast(types["turn"]).alias("turn"), *names[3:])
+    ready = turns.join(written(single, "turns_entries"), BLOCK).sortWithinPartitions(*BLOCK, "place")
+    schema = T.StructType().add("place", T.LongType()).add("edits", T.ArrayType(
+        T.StructType().add("step", T.IntegerType()).add("edit", T.StringType()).add("given", T.StringType())))
+    arrow = to_arrow_schema(schema)
+
+    def traced_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The edits of each turn; rows of a block follow each other."""
+        now, held = None, []
+
+        def done() -> list[tuple]:
+            entry, after = held[0][3:5]
+            lines = [h[1] for h in held], [h[2] in (1, 2) for h in held], [CUT if h[2] == 3 else 0 for h in held]
+            _, audit, _ = aligned(*lines, (entry,), *exits_of(after))[entry]
+            out = [(h[0], []) for h in held]
+            step, behind = -len(audit), -1
+            for i, letter, role in edits(lines[0], audit, entry):
+                # Empty turns before all others have negative steps at the first turn's place.
+                step, behind = (step + 1, i) if i == behind else (0, i)
+                out[max(i, 0)][1].append({"step": step, "edit": letter, "given": role})
+            return out
+
+        for batch in batches:
+            ready = []
+            columns = [batch.column(c).to_pylist() for c in (*BLOCK, "place", "code", "fault", "entry", "after")]
+            for *block, place, code, fault, entry, after in zip(*columns):
+                if block != now and held:
+                    ready += done()
+                    held.clear()
+                now = block
+                held.append((place, code, fault, entry, after))
+            if ready:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*ready), arrow)], schema=arrow)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done()), arrow)], schema=arrow)
+
+    found = ready.mapInArrow(traced_blocks, schema)
+    faults = turns.select("place", "fault").join(found, "place")
+    each = rows.join(faults, "place").select("*", F.explode("edits").alias("e"))
+    empty = F.col("e.edit") == "I"
+    fault = F.element_at(F.array(*[F.lit(d) for d in DONE]), F.col("fault") + 1)
+    kept = F.col("e.edit").isin("K", "R")
+    return each.select(
+        "conv", "place", "e.step", *[F.when(~empty, F.col(c)).alias(c) for c in ("turn", "role", "text")],
+        F.when(empty, "").otherwise(fault).alias("fault"), "e.edit", F.when(empty, 1).otherwise(F.col("n")).cast("long").alias("times"),
+        F.when(F.col("e.edit") == "K", F.col("role")).when(F.col("e.edit") != "D", F.col("e.given")).alias("new_role"),
+        F.when(empty, "").when(kept, F.col("text")).alias("new_text"))
 
 
 LEGAL_PAIRS = frozenset(("su", "ua", "au"))
