@@ -46,9 +46,10 @@ def corpus():
     return rows + [("long-" * 3000 + "long", "en", "huge")]
 
 
-@pytest.mark.parametrize("block_rows, at_once, cells", [(1 << 18, 256, 1 << 20), (7, 2, 3)])
-def test_equals_the_plain_version(spark, monkeypatch, block_rows, at_once, cells):
-    monkeypatch.setattr(divergence, "BLOCK_ROWS", block_rows)
+@pytest.mark.parametrize("least, most, at_once, cells", [(1 << 16, 1 << 20, 256, 1 << 20), (3, 7, 2, 3)])
+def test_equals_the_plain_version(spark, monkeypatch, least, most, at_once, cells):
+    monkeypatch.setattr(divergence, "LEAST_ROWS", least)
+    monkeypatch.setattr(divergence, "MOST_ROWS", most)
     monkeypatch.setattr(divergence, "SOURCES_AT_ONCE", at_once)
     monkeypatch.setattr(divergence, "CELLS_AT_ONCE", cells)
     rows = corpus()
@@ -60,8 +61,9 @@ def test_equals_the_plain_version(spark, monkeypatch, block_rows, at_once, cells
 def test_a_text_is_tokenized_once_a_language(spark):
     rows = [("same words", "en", s) for s in "abab"] + [("same words", "de", "a"), ("same  words", "en", "a")]
     df = given(spark, rows)
-    groups, counted = divergence.term_counts(df, "lang", "source", "text")
+    groups, _, counted = divergence.term_counts(df, "lang", "source", "text")
     assert groups.count() == 3
+    counted = counted.join(groups, "id")
     assert {(r.lang, r.source, r.term): (r["count"], r.docs) for r in counted.collect()} == {
         (lang, s, t): (n, n) for lang, s, n in (("en", "a", 3), ("en", "b", 2), ("de", "a", 1)) for t in ("same", "words")}
 

@@ -21,7 +21,8 @@ from veilframe.session import sent_if_small, written, written_and_sized
 NO_LETTERS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCUMENTS = 3
 TERMS_REPORTED = 200
-BLOCK_ROWS = 1 << 18  # counts of terms by source that one task compares, about
+# Counts of terms by source that one task compares: about as many as it returns pairs, within these bounds.
+LEAST_ROWS, MOST_ROWS = 1 << 16, 1 << 20
 SOURCES_AT_ONCE = 256  # sources that one task compares with all others of their language
 CELLS_AT_ONCE = 1 << 20
 
@@ -44,40 +45,41 @@ def distance(p: Column, q: Column) -> Column:
     return quotient((p - q) * (p - q), q)
 
 
-def copies(df: DataFrame, lang: Column, source: Column, digest: Column) -> DataFrame:
-    """lang, digest, source, n: how many rows of a source have a text. Written."""
-    return written(df.groupBy(lang.alias("lang"), digest.alias("digest"), source.alias("source")).agg(
-        F.count(F.lit(1)).alias("n")), "divergence_copies")
+def numbered_sources(rows: DataFrame) -> tuple[DataFrame, int]:
+    """lang, source and a number `id` that stands for both in wide work; written, and their bytes."""
+    return written_and_sized(rows.select("lang", "source").distinct().withColumn("id", F.monotonically_increasing_id()), "divergence_groups")
 
 
-def term_counts(df: DataFrame, lang_col: str, source_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(lang, source) of all groups, and (lang, source, term, count, docs): how often the term occurs in
+def term_counts(df: DataFrame, lang_col: str, source_col: str, text_col: str) -> tuple[DataFrame, int, DataFrame]:
+    """(lang, source, id) of all groups and their bytes, and (id, term, count, docs): how often the term occurs in
     the group and in how many of its rows. Each distinct text of a language is tokenized once."""
     lang, source, text = whole(lang_col), whole(source_col), whole(text_col)
     digest = F.unhex(F.sha2(text, 256))
-    multiplicities = copies(df, lang, source, digest)
-    groups = multiplicities.select("lang", "source").distinct()
-    holders = multiplicities.groupBy("lang", "digest").agg(F.collect_list(F.struct("source", "n")).alias("holders"))
+    copies = written(df.groupBy(lang.alias("lang"), digest.alias("digest"), source.alias("source")).agg(
+        F.count(F.lit(1)).alias("n")), "divergence_copies")
+    groups, size = numbered_sources(copies)
+    holders = copies.join(sent_if_small(groups, size), ["lang", "source"]).groupBy("lang", "digest").agg(
+        F.collect_list(F.struct("id", "n")).alias("holders"))
     texts = df.groupBy(lang.alias("lang"), digest.alias("digest")).agg(F.any_value(text).alias("text"))
     tokens = texts.join(holders, ["lang", "digest"]).select(
-        "lang", "holders", F.array_remove(F.split(ascii_lower(F.col("text")), NO_LETTERS), "").alias("tokens"))
+        "holders", F.array_remove(F.split(ascii_lower(F.col("text")), NO_LETTERS), "").alias("tokens"))
     # Each text twice: all its words count occurrences, its distinct words count rows.
-    twice = tokens.select("lang", F.explode("holders").alias("h"), "tokens").select("lang", "h.source", "h.n", F.explode(F.array(
+    twice = tokens.select(F.explode("holders").alias("h"), "tokens").select("h.id", "h.n", F.explode(F.array(
         F.struct(F.col("tokens"), F.lit(False).alias("once")), F.struct(F.array_distinct("tokens").alias("tokens"), F.lit(True).alias("once")))).alias("t"))
-    terms = twice.select("lang", "source", "n", "t.once", F.explode("t.tokens").alias("term"))
-    counted = terms.groupBy("lang", "source", "term").agg(
+    terms = twice.select("id", "n", "t.once", F.explode("t.tokens").alias("term"))
+    counted = terms.groupBy("id", "term").agg(
         F.sum(F.when(F.col("once"), 0).otherwise(F.col("n"))).alias("count"), F.sum(F.when(F.col("once"), F.col("n")).otherwise(0)).alias("docs"))
-    return groups, counted
+    return groups, size, counted
 
 
-def kept_terms(counted: DataFrame, least_documents: int) -> DataFrame:
+def kept_terms(counted: DataFrame, langs: DataFrame, least_documents: int) -> DataFrame:
     """The counts of terms that are in enough rows of their language, with the language's count and
     whether the row is the term's first. A window holds as many rows as a language has sources."""
     of_term = Window.partitionBy("lang", "term")
-    kept = counted.withColumns({
+    kept = counted.join(langs, "id").withColumns({
         "in_lang": F.sum("docs").over(of_term), "lang_count": F.sum("count").over(of_term),
-        "first": F.row_number().over(of_term.orderBy("source")) == 1})
-    return kept.where(F.col("in_lang") >= least_documents).select("lang", "source", "term", "count", "lang_count", "first")
+        "first": F.row_number().over(of_term.orderBy("id")) == 1})
+    return kept.where(F.col("in_lang") >= least_documents).select("id", "term", "count", "lang_count", "first")
 
 
 def compared(key, held: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
@@ -128,16 +130,18 @@ def source_divergence(df: DataFrame, lang_col: str = "lang", source_col: str = "
     besides the three are not read. An empty table gives an empty result.
     """
     df = df.select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
-    groups, counted = term_counts(df, "lang", "source", "text")
-    kept = written(kept_terms(counted, least_documents), "divergence_terms")
-    by_source = kept.groupBy("lang", "source").agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("rows"), F.sum(F.col("first").cast("long")).alias("v"))
+    groups, size, counted = term_counts(df, "lang", "source", "text")
+    kept = written(kept_terms(counted, sent_if_small(groups.select("id", "lang"), size), least_documents), "divergence_terms")
+    by_source = kept.groupBy("id").agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("rows"), F.sum(F.col("first").cast("long")).alias("v"))
     in_lang = Window.partitionBy("lang")
-    sources = groups.join(by_source, ["lang", "source"], "left").na.fill(0, ["n", "rows", "v"]).select(
-        "lang", "source", "n", F.sum("n").over(in_lang).alias("lang_n"), F.sum("v").over(in_lang).alias("v"),
-        F.ceil(F.sum("rows").over(in_lang) / BLOCK_ROWS).alias("blocks"), F.ceil(F.count(F.lit(1)).over(in_lang) / SOURCES_AT_ONCE).alias("chunks"))
+    held_by = F.count(F.lit(1)).over(in_lang)
+    block_rows = F.least(F.lit(MOST_ROWS), F.greatest(F.lit(LEAST_ROWS), F.least(held_by, F.lit(SOURCES_AT_ONCE)) * held_by))
+    sources = groups.join(by_source, "id", "left").na.fill(0, ["n", "rows", "v"]).select(
+        "id", "lang", "source", "n", F.sum("n").over(in_lang).alias("lang_n"), F.sum("v").over(in_lang).alias("v"),
+        F.ceil(F.sum("rows").over(in_lang) / block_rows).alias("blocks"), F.ceil(held_by / SOURCES_AT_ONCE).alias("chunks"))
     sources, size = written_and_sized(sources.withColumn("blocks", F.greatest("blocks", F.lit(1))), "divergence_sources")
 
-    shares = kept.join(sent_if_small(sources, size), ["lang", "source"]).withColumn("p", share(F.col("count") + 1, F.col("n") + F.col("v")))
+    shares = kept.join(sent_if_small(sources, size), "id").withColumn("p", share(F.col("count") + 1, F.col("n") + F.col("v")))
     q = share(F.col("lang_count") + 1, F.col("lang_n") + F.col("v"))
     above = shares.withColumn("q", q).where("p > q").select(
         "lang", "source", F.col("term").alias("item"), distance(F.col("p"), F.col("q")).alias("value"))
@@ -150,7 +154,7 @@ def source_divergence(df: DataFrame, lang_col: str = "lang", source_col: str = "
     held = shares.select("lang", "source", "term", "p", "chunks", F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block")).select(
         "lang", "source", "term", "p", "block", all_of("chunks").alias("chunk"))
     absent = F.when(F.col("v") > 0, share(F.lit(1), F.greatest(F.col("n") + F.col("v"), F.lit(1)))).otherwise(F.lit(1))
-    against = sources.select("lang", "source", "chunks", absent.alias("absent"), all_of("blocks").alias("block")).select(
+    against = sources.select(F.col("lang").alias("lang"), F.col("source").alias("source"), "chunks", absent.alias("absent"), all_of("blocks").alias("block")).select(
         "lang", "source", "absent", "block", "chunks", all_of("chunks").alias("chunk")).withColumn(
         "mine", F.pmod(F.xxhash64("source"), F.col("chunks")) == F.col("chunk")).drop("chunks")
     by = ["lang", "block", "chunk"]
