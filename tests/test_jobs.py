@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from veilframe.catalog.visits import visits
 from veilframe.operators import privacy, utility
-from veilframe.operators.dictionary import load_dictionary
+from veilframe.operators.ledger import Ledger
 from veilframe.plans.hybrid import clinical_sample, deidentify_hybrid, run_all
 from veilframe.plans.policy import route_direct
 from veilframe.plans.rules import deidentify_rules
@@ -64,7 +64,7 @@ def test_stream_numbers_batch_after_batch(spark, sf_dir, tmp_path):
     assert rows.count() == df.count() and "SSN" not in rows.columns
     whole = deidentify_rules(df, "order_key", fill=False)
     assert rows.select("order_key", "PATIENT").exceptAll(whole.output.select("order_key", "PATIENT")).count() == 0
-    assert load_dictionary(spark, dictionaries).count() == whole.dictionary.count()
+    assert Ledger(spark, dictionaries).entries().count() == whole.dictionary.count()
 
 
 def test_stream_of_row_treatments(spark, sf_dir, tmp_path):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.catalog.registry import query
@@ -11,6 +14,7 @@ from veilframe.operators.dictionary import (
     NAMESPACES, SCHEMA, alternate_namespaces, append_entries, apply_dictionary, build_dictionary,
     export_dictionary, load_dictionary, new_entries,
 )
+from veilframe.operators.ledger import Ledger
 from veilframe.operators.report import append_audit, load_audit, mapping_summary, run_audit, summary_report
 from veilframe.plans.rules import deidentify_incremental, deidentify_rules
 from veilframe.session import new_path, written
@@ -176,6 +180,21 @@ def dict_incremental(spark, sf_dir):
     return load_dictionary(spark, folder)
 
 
+def _ten_batches(df):
+    last = df.agg(F.max("order_key")).first()[0]
+    batch = F.expr(f"order_key * 10 div {last + 1}")
+    return [df.where(batch == i) for i in range(10)]
+
+
+@query("dict_ledger", DICT_SQL)
+def dict_ledger(spark, sf_dir):
+    """Ten batches, each reading the buckets of its keys, against one numbering of the whole."""
+    ledger = Ledger(spark, new_path(spark, "ledger"), bucket_rows=2_000)
+    for batch in _ten_batches(loaded_visits(spark, sf_dir, KEYS)):
+        ledger.extend(batch, "order_key")
+    return ledger.entries()
+
+
 @query("dict_export", DICT_SQL)
 def dict_export(spark, sf_dir):
     path = new_path(spark, "export")
@@ -298,6 +317,20 @@ def incremental(spark, sf_dir):
     return first.output.unionByName(second.output)
 
 
+@query("deidentify_ledger", f"""{VISITS_SQL}{dictionary_sql('visits', list(alternate_namespaces()))}
+SELECT v.order_key, {", ".join(f'd{i}.pseudonym AS "{c}"' for i, (n, c) in enumerate(LOOKUPS[:5]))},
+       r.pseudonym AS "REASONCODE", {YEARS_SQL}
+FROM visits AS v {LOOKUP_JOINS}
+LEFT JOIN dict AS r ON r.namespace = 'reason_codes' AND r.original = CAST(CAST(v."REASONCODE" AS BIGINT) AS VARCHAR)""")
+def ledger_job(spark, sf_dir):
+    """The job over ten batches, each under the ledger that the ones before it left."""
+    columns = ["order_key", "Id_encounter", "PATIENT", "Id_patient", "ORGANIZATION", "PAYER", "REASONCODE",
+               "START", "STOP", "BIRTHDATE", "condition_dates"]
+    ledger = Ledger(spark, new_path(spark, "ledger"))
+    done = [deidentify_incremental(batch, "order_key", ledger).output for batch in _ten_batches(loaded_visits(spark, sf_dir, columns))]
+    return reduce(DataFrame.unionByName, done)
+
+
 @query("summary_report", f"""{VISITS_SQL}{dictionary_sql('visits')}
 SELECT (SELECT count(*) FROM visits) AS total_records, CAST(20 AS BIGINT) AS total_columns,
        (SELECT count(*) FROM dict WHERE namespace = 'encounters') AS encounters,

@@ -114,6 +114,19 @@ def _label(namespaces: Mapping[str, Namespace]) -> Column:
     return label
 
 
+def numbered_entries(
+    keys: DataFrame, rows: int, namespaces: Mapping[str, Namespace], last: Mapping[str, int],
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """Entries of so many written keys (rows of `first_seen`), numbered on from the `last` number of each namespace."""
+    fresh = numbered(keys, ["place", "first_row", "original"], "seq", ["namespace"], rows_per_bucket, rows)
+    shift = F.lit(0)
+    for name, used in last.items():
+        shift = F.when(F.col("namespace") == name, F.lit(used)).otherwise(shift)
+    fresh = fresh.withColumn("seq", (F.col("seq") + shift).cast("bigint"))
+    return fresh.select("namespace", "original", "seq", _label(namespaces).alias("pseudonym"))
+
+
 def new_entries(
     df: DataFrame,
     order_key: str,
@@ -132,17 +145,8 @@ def new_entries(
     if known is not None:
         keys = keys.join(known.select("namespace", "original"), ["namespace", "original"], "left_anti")
     keys, rows = written_and_counted(keys, "first_seen")
-    fresh = numbered(keys, ["place", "first_row", "original"], "seq", ["namespace"], rows_per_bucket, rows)
-    if known is not None:
-        used = dict(known.groupBy("namespace").agg(F.max("seq")).collect())  # one per namespace
-        shift = F.lit(0)
-        for name, last in used.items():
-            shift = F.when(F.col("namespace") == name, F.lit(last)).otherwise(shift)
-        fresh = fresh.withColumn("seq", F.col("seq") + shift)
-    entries = fresh.select(
-        "namespace", "original", F.col("seq").cast("bigint").alias("seq"),
-        _label(namespaces).alias("pseudonym"),
-    )
+    used = {} if known is None else dict(known.groupBy("namespace").agg(F.max("seq")).collect())  # one per namespace
+    entries = numbered_entries(keys, rows, namespaces, used, rows_per_bucket)
     return written(entries.repartition("namespace", F.col("seq") % FILES), "dictionary", by="namespace").select(*COLUMNS)
 
 

@@ -15,6 +15,7 @@ from veilframe.operators.columns import drop_identifiers, generalize_years
 from veilframe.operators.dictionary import (
     NAMESPACES, Namespace, alternate_namespaces, apply_dictionary, new_entries,
 )
+from veilframe.operators.ledger import Ledger
 from veilframe.plans.policy import present_columns
 
 CODE_COLUMNS = ("REASONCODE", "ZIP", "ZIP_payer")
@@ -52,13 +53,16 @@ def deidentify_rules(
     fill: bool = True,
     approximate_medians: bool = False,
     row_key: str | None = None,
+    ledger: Ledger | None = None,
 ) -> Deidentified:
     """Drop identifiers, fill, replace keys by numbers in order of first sight, keep years.
 
     The identifiers go first, so a column that is not wanted is never read. With
     `as_published`, reason codes are amounts with a median, 'Unknown' gets a number like
     any key, and a date without a year stays as it is. `row_key` names a column unique
-    per row (mostly the order key itself); it saves shuffles of the whole rows.
+    per row (mostly the order key itself); it saves shuffles of the whole rows. With a
+    `ledger` the keys are looked up and saved there; the dictionary is then that of the
+    table's keys alone, which is also what `new_entries` holds.
     """
     removed = present_columns(fixed.DIRECT_IDENTIFIERS, df)
     generalized = present_columns(fixed.YEAR_COLUMNS, df)
@@ -68,19 +72,25 @@ def deidentify_rules(
     if fill:
         df = fill_missing(df, order_key, approximate_medians)
     placeholder = None if as_published else fixed.UNKNOWN
-    fresh = new_entries(df, order_key, namespaces, known, placeholder)
-    dictionary = fresh if known is None else known.unionByName(fresh)
+    if ledger is not None:
+        dictionary = fresh = ledger.extend(df, order_key, namespaces, placeholder)
+    else:
+        fresh = new_entries(df, order_key, namespaces, known, placeholder)
+        dictionary = fresh if known is None else known.unionByName(fresh)
     df = generalize_years(df, as_text=as_published)
     output = apply_dictionary(df, dictionary, namespaces, placeholder, row_key)
     return Deidentified(output, dictionary, fresh, removed, generalized)
 
 
 def deidentify_incremental(
-    batch: DataFrame, order_key: str, known: DataFrame | None, as_published: bool = False,
+    batch: DataFrame, order_key: str, known: DataFrame | Ledger | None, as_published: bool = False,
     row_key: str | None = None,
 ) -> Deidentified:
-    """One batch under a dictionary that grows: nothing is filled, old keys keep their numbers."""
+    """One batch under a dictionary that grows: nothing is filled, old keys keep their numbers.
+
+    What is known is a table of entries, or a ledger: with it the cost follows the batch.
+    """
+    kept = {"ledger": known} if isinstance(known, Ledger) else {"known": known}
     return deidentify_rules(
-        batch, order_key, as_published=as_published, known=known,
-        namespaces=alternate_namespaces(), fill=False, row_key=row_key,
+        batch, order_key, as_published=as_published, namespaces=alternate_namespaces(), fill=False, row_key=row_key, **kept,
     )

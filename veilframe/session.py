@@ -46,11 +46,12 @@ def drafts(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _open_drafts.pop():
-            files, place = _place(spark, path)
+            files, place = files_at(spark, path)
             files.delete(place, True)
 
 
-def _place(spark: SparkSession, path: str):
+def files_at(spark: SparkSession, path: str):
+    """The file system of a path, and the path in it."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
@@ -59,7 +60,7 @@ def _noted(spark: SparkSession, path: str) -> None:
     """Marks a written table for deletion, at the end of `drafts` or of the process."""
     if _open_drafts:
         _open_drafts[-1].append(path)
-    files, place = _place(spark, path)
+    files, place = files_at(spark, path)
     files.deleteOnExit(place)
 
 

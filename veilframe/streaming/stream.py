@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from veilframe.operators.columns import add_age_range, drop_identifiers, generalize_years, hash_identifiers
-from veilframe.operators.dictionary import append_entries, load_dictionary
+from veilframe.operators.ledger import Ledger
 from veilframe.plans.rules import deidentify_incremental
 
 
@@ -27,13 +27,12 @@ def numbered_batches(stream: DataFrame, order_key: str, dictionaries: str, outpu
                      row_key: str | None = None) -> DataStreamWriter:
     """A writer that numbers each micro-batch after all earlier ones.
 
-    The dictionary is saved before the rows, and each batch has its own output folder: a
-    batch that runs again finds its keys numbered already and writes the same rows.
+    The dictionary is a ledger in the folder `dictionaries`, so a batch reads the buckets of its
+    keys and not the history. It is saved before the rows, and each batch has its own output
+    folder: a batch that runs again finds its keys numbered already and writes the same rows.
     """
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        known = load_dictionary(batch.sparkSession, dictionaries)
-        done = deidentify_incremental(batch, order_key, known, row_key=row_key)
-        append_entries(done.new_entries, dictionaries)
+        done = deidentify_incremental(batch, order_key, Ledger(batch.sparkSession, dictionaries), row_key=row_key)
         done.output.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(one_batch)
