@@ -201,11 +201,41 @@ def test_sample_goes_round_the_conditions(spark):
     assert [r.n for r in got] == [0, 1, 2, 0, 1, 2, 0]
 
 
+@pytest.mark.parametrize("sent_bytes", [16 << 20, 0])
+def test_originals_inside_texts(spark, sent_bytes):
+    texts = [("Call 123-45-6789 now", "ann lee"), ("1234567890", None), ("", "ANN  LEE, Ann-Lee; annlee"), (None, "Lee Ann"),
+             ("x" * 100_000 + " Straße 5b", "ann Lee ann"), ("123 45 6789 and 123-45-6789", "zoë")]
+    df = spark.createDataFrame(texts, "a string, b string").withColumn("n", F.lit(7))
+    keys = [("ssn", "123-45-6789"), ("ssn", "999-99-9999"), ("name", "Ann Lee"), ("name", "Ann Lee"), ("name", "ZOË"), ("name", None), ("name", " - "),
+            ("street", "straße 5B")]
+    found = privacy.originals_in_texts(df, spark.createDataFrame(keys, "namespace string, original string"), sent_bytes=sent_bytes)
+    assert {tuple(r) for r in found.collect()} == {("a", "ssn", 2, 1), ("b", "name", 4, 2), ("a", "street", 1, 1)}
+    assert found.columns == ["column", "namespace", "cells", "originals"]
+    none = spark.createDataFrame([], "namespace string, original string")
+    assert privacy.originals_in_texts(df, none).count() == 0 and privacy.originals_in_texts(df.select("n"), none).count() == 0
+
+
 def test_first_rows(spark):
     df = spark.range(10)
-    assert [first_rows(df, "id", n).count() for n in (None, 0, 3)] == [10, 0, 3]
+    assert [first_rows(df, "id", n).count() for n in (None, 0, 3, 10, 11)] == [10, 0, 3, 10, 10]
     many = first_rows(spark.range(30_000), "id", 12_000)
     assert many.count() == 12_000 and many.agg(F.max("id")).first()[0] == 11_999
+    assert first_rows(df.where("false"), "id", 3).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 5, 11, 14, 25, 9_999, 10_001, 11_999])
+def test_first_rows_over_nulls_and_ties(spark, n):
+    """Ten null keys, then keys by twos, the second of each twice over in all columns."""
+    rows = spark.range(12_000).select(
+        F.when(F.col("id") >= 10, F.expr("id div 4")).alias("k"), F.when(F.col("id") % 4 == 0, F.lit("a")).otherwise(F.lit("b")).alias("x y"), F.lit(None).alias("z"))
+    got = [tuple(r) for r in first_rows(rows.repartition(7), "k", n).collect()]
+    assert got and len(got) == n
+    assert sum(r[0] is None for r in got) == min(n, 10)
+    whole = sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0] is not None, r[0] or 0))
+    keys = lambda found: sorted((r[0] for r in found), key=lambda k: (k is not None, k or 0))
+    assert keys(got) == keys(whole[:n])
+    again = [tuple(r) for r in first_rows(rows.repartition(3), "k", n).collect()]
+    assert sorted(map(repr, again)) == sorted(map(repr, got))
 
 
 def test_roles(spark, tmp_path):

@@ -238,6 +238,18 @@ def first_n(spark, sf_dir):
     return first_rows(visits(spark, sf_dir, ["order_key", "Id_encounter", "CITY"]), "order_key", 1000)
 
 
+@query("first_n_ties", f"""{VISITS_SQL}, tied AS (
+  SELECT CASE WHEN order_key % 9 <> 0 THEN CAST(order_key // 4 AS VARCHAR) END AS k, "CITY" FROM visits)
+SELECT k, count(*) AS n FROM (SELECT k FROM tied ORDER BY k NULLS FIRST LIMIT 12000) GROUP BY k
+UNION ALL SELECT 'of five: ' || coalesce(k, 'none'), count(*) FROM (SELECT k FROM tied ORDER BY k NULLS FIRST LIMIT 5) GROUP BY k""")
+def first_n_ties(spark, sf_dir):
+    """Five and twelve thousand rows by a key with nulls and ties."""
+    df = visits(spark, sf_dir, ["order_key", "CITY"]).select(
+        F.when(F.col("order_key") % 9 != 0, F.expr("order_key div 4").cast("string")).alias("k"), "CITY")
+    five, many = (first_rows(df, "k", n).groupBy("k").agg(F.count(F.lit(1)).alias("n")) for n in (5, 12_000))
+    return many.unionByName(five.withColumn("k", F.concat(F.lit("of five: "), F.coalesce("k", F.lit("none")))))
+
+
 # ---- jobs ----------------------------------------------------------------------------
 
 NUMBERS = ["CODE", "BASE_ENCOUNTER_COST", "TOTAL_CLAIM_COST", "total_medication_cost"]

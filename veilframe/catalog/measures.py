@@ -265,6 +265,38 @@ def residual_identifiers(spark, sf_dir):
     return privacy.residual_identifiers(df, output, columns)
 
 
+NOTE_SQL = """CASE WHEN order_key % 7 = 0 THEN 'Referred: (' || upper("PATIENT") || '), see file ' || "Id_encounter" || '.'
+  WHEN order_key % 11 = 0 THEN 'SSN: ' || "SSN" || '; call ' || "FIRST" ELSE 'Nothing new, ' || "CITY" || ' office.' END"""
+PLAN_SQL = """CASE WHEN order_key % 13 = 0 THEN 'Lives at' || chr(10) || lower("ADDRESS") || ', ' || "ADDRESS" || '.' END"""
+FOUND_KEYS = {"encounters": "Id_encounter", "patients": "PATIENT", "numbers": "SSN", "addresses": "ADDRESS"}
+
+
+@query("residual_in_texts", rf"""{VISITS_SQL}, notes AS (
+  SELECT order_key, {NOTE_SQL} AS "NOTE", {PLAN_SQL} AS "PLAN" FROM visits
+), cells AS (
+  SELECT 'NOTE' AS "column", order_key, "NOTE" AS t FROM notes UNION ALL SELECT 'PLAN', order_key, "PLAN" FROM notes
+), worded AS (
+  SELECT "column", order_key, list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w
+  FROM cells WHERE t IS NOT NULL
+), known AS (
+  SELECT DISTINCT namespace, array_to_string(w, ' ') AS phrase, len(w) AS n FROM (
+    SELECT namespace, list_filter(regexp_split_to_array(lower(original), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w FROM (
+      {" UNION ALL ".join(f"SELECT '{n}' AS namespace, {chr(34)}{c}{chr(34)} AS original FROM visits" for n, c in FOUND_KEYS.items())}))
+), runs AS (
+  SELECT "column", order_key, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM (
+    SELECT "column", order_key, w, n, unnest(range(1, len(w) - n + 2)) AS i
+    FROM worded, (SELECT DISTINCT n FROM known) WHERE len(w) >= n)
+)
+SELECT "column", namespace, count(DISTINCT order_key) AS cells, count(DISTINCT phrase) AS originals
+FROM runs JOIN known USING (n, phrase) GROUP BY ALL""")
+def residual_in_texts(spark, sf_dir):
+    """Notes with patients, numbers and addresses planted in some of them."""
+    df = loaded_visits(spark, sf_dir, ["order_key", "FIRST", "CITY", *FOUND_KEYS.values()])
+    notes = df.select("order_key", F.expr(NOTE_SQL.replace('"', "`")).alias("NOTE"), F.expr(PLAN_SQL.replace('"', "`")).alias("PLAN"))
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("namespace"), F.col(c).alias("original")) for n, c in FOUND_KEYS.items()]))
+    return privacy.originals_in_texts(notes, df.select(each.alias("o")).select("o.*"))
+
+
 @query("date_precision", f"""{VISITS_SQL}
 SELECT 'start_year' AS "column", count("START") AS cells, CAST(0 AS BIGINT) AS finer_than_year FROM visits
 UNION ALL SELECT 'stop_year', count("STOP"), 0 FROM visits

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from veilframe import fixed_values as fixed
 from veilframe.functions import dates, hashing
 from veilframe.functions.guards import key_text
-from veilframe.operators.ordering import numbered
+from veilframe.operators.ordering import running_before
 from veilframe.plans.policy import present_columns
 from veilframe.session import written_and_counted
 
@@ -97,21 +97,48 @@ def assemble_output(
     return kept.join(made, row_key).select(row_key, *direct, *made.columns[1:], *carried, *clinical)
 
 
-# So many rows are taken by one task at most.
-ROWS_IN_ONE_TASK = 10_000
+COPIES_AT_ONCE = 1 << 16
+
+
+def _last_of(keys: DataFrame, rows: int) -> Row | None:
+    """Where the first `rows` rows by `key` (nulls first) end: the key, how many rows are before it, how
+    many have it. None where there are no more rows than that. Equal keys are counted before they travel."""
+    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).withColumn("late", F.col("key").isNotNull())
+    counts, distinct = written_and_counted(counts, "first_rows")
+    placed = running_before(counts, ["late", "key"], {"before": F.col("n")}, rows=distinct)
+    return placed.where((F.col("before") < rows) & (F.col("before") + F.col("n") > rows)
+                        | (F.col("before") + F.col("n") == rows)).first()
 
 
 def first_rows(df: DataFrame, order_key: str, rows: int | None) -> DataFrame:
-    """The first rows by the order key; None is all, 0 is none.
+    """The first rows by the order key, nulls first; None is all, 0 is none.
 
-    Many rows are numbered by ranges of the key first, so that no task holds them all; the key
-    has to be unique then, as rows are taken up to the last key.
+    Exactly so many rows, also where keys repeat: of the rows with the last key, those whose content
+    comes first by its hash. The last key is found from counts over ranges of the key, then the rows are
+    chosen by one filter, so no task holds them all; of rows that are the same in all columns as many as are
+    due are made from one of them. The result has no order.
     """
     if rows is None:
         return df
-    if rows <= ROWS_IN_ONE_TASK:
-        return df.orderBy(order_key).limit(rows)
-    keys, count = written_and_counted(df.select(F.col(order_key).alias("_key"), F.monotonically_increasing_id().alias("_row")), "first_rows")
-    last = numbered(keys, ["_key", "_row"], "_number", rows=count).where(F.col("_number") <= rows)
-    edge = last.agg(F.max("_key").alias("key")).scalar()
-    return df.where(F.col(order_key) <= edge)
+    if rows <= 0:
+        return df.limit(0)
+    key = F.col(f"`{order_key}`")
+    edge = _last_of(df.select(key.alias("key")), rows)
+    if edge is None:
+        return df
+    at = F.lit(edge.key).cast(df.schema[order_key].dataType)
+    before, same = (F.lit(False), key.isNull()) if edge.key is None else (key.isNull() | (key < at), key == at)
+    if edge.before + edge.n == rows:
+        return df.where(before | same)
+    content = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}), 256)
+    tied = df.where(same)
+    wanted = rows - edge.before
+    last = _last_of(tied.select(content.alias("key")), wanted)
+    chosen = df.where(before | (same & (content < last.key)))
+    if last.before + last.n == wanted:
+        return df.where(before | (same & (content <= last.key)))
+    due = F.lit(wanted - last.before)
+    blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((due - 1) / COPIES_AT_ONCE))).alias("_block")
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(F.lit(COPIES_AT_ONCE), due - F.col("_block") * COPIES_AT_ONCE)))
+    one = tied.where(content == last.key).limit(1).select("*", blocks).repartition("_block")
+    return chosen.unionByName(one.select("*", copies.alias("_copy")).drop("_block", "_copy"))

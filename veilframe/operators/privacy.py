@@ -6,15 +6,16 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilframe import fixed_values as fixed
 from veilframe.functions.guards import is_missing, key_text
 from veilframe.operators.ordering import following, running_before
 from veilframe.operators.profile import one_row_per_column
 from veilframe.plans.policy import present_columns
-from veilframe.session import written, written_and_counted
+from veilframe.session import BROADCAST_BYTES, sent_if_small, written, written_and_counted, written_and_sized
 
 
 def k_anonymity(df: DataFrame, quasi: Sequence[str], k: int) -> DataFrame:
@@ -209,6 +210,55 @@ def residual_identifiers(
     )
 
 
+WORD_GAP = r"[^\p{L}\p{N}]+"
+
+
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(text), WORD_GAP), "")
+
+
+def key_phrases(originals: DataFrame) -> DataFrame:
+    """namespace, phrase, size: the originals as runs of words, whatever stands between the words."""
+    words = originals.where(~is_missing(F.col("original"))).select("namespace", _words(F.col("original")).alias("words"))
+    return words.where(F.size("words") > 0).select("namespace", F.array_join("words", " ").alias("phrase"), F.size("words").alias("size")).distinct()
+
+
+def originals_in_texts(
+    df: DataFrame, originals: DataFrame, columns: Sequence[str] | None = None, sent_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """column, namespace, cells, originals: in how many cells of each text column stand originals of a
+    namespace (namespace, original), and how many different ones.
+
+    Cells and originals are compared word by word, without regard to case and to what stands between words, so
+    an original of any number of words is found inside any text. Every run of words as long as some original
+    is looked up; equal ones of a cell once. Without `columns` all text columns are searched. Null and empty cells
+    and originals match nothing; a column without any original has no row. Originals up to `sent_bytes` go to
+    every executor, more are joined by a shuffle of the runs.
+    """
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    columns = [c for c in (texts if columns is None else columns) if c in texts]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, namespace string, cells bigint, originals bigint")
+    known, size = written_and_sized(key_phrases(originals), "key_phrases")
+    # How many words originals have: a few numbers.
+    sizes = [r[0] for r in known.select("size").distinct().orderBy("size").collect()]
+    cells = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("text")) for c in columns])).alias("c")).select("c.*")
+    cells = cells.where(F.col("text").isNotNull()).withColumn("cell", F.monotonically_increasing_id())
+    words = cells.select("column", "cell", _words(F.col("text")).alias("words"))
+
+    def runs(n: int) -> Column:
+        if n == 1:
+            return F.array_distinct("words")
+        made = F.transform(F.sequence(F.lit(1), F.size("words") - n + 1), lambda i: F.array_join(F.slice("words", i, n), " "))
+        return F.when(F.size("words") >= n, F.array_distinct(made)).otherwise(F.array().cast("array<string>"))
+
+    each = F.flatten(F.array(*[runs(n) for n in sizes])) if sizes else F.array().cast("array<string>")
+    found = words.select("column", "cell", F.explode(each).alias("phrase")).join(sent_if_small(known, size, sent_bytes), "phrase")
+    return found.groupBy("column", "namespace").agg(
+        F.count_distinct("cell").alias("cells"), F.count_distinct("phrase").alias("originals"))
+
+
 def date_precision(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per date column: cells, and cells that say more than a year."""
     return one_row_per_column(
