@@ -162,3 +162,34 @@ def test_a_cluster_must_name_its_shared_folder(spark):
 def test_number_helper(spark):
     table = written(spark.range(100), "t")
     assert {r.id: r.k for r in numbered(table, ["id"], "k", (), 9).collect()} == {i: i + 1 for i in range(100)}
+
+
+def test_trees_keep_pairs_and_replay_no_row(spark):
+    """Pair shares stay near the source; a source row of its own kind comes back only by chance."""
+    from collections import Counter
+
+    from veilframe.operators import tree_synth
+
+    rows = []
+    for i in range(4_000):
+        a = i % 8
+        b = f"b{(a * 3 + (i // 8 % 10 == 0)) % 8}"  # follows a nine times in ten
+        c = None if i // 80 % 7 == 0 else f"c{(int(b[1]) + (i // 560 % 5 == 0)) % 4}"
+        rows.append((i, f"k{i % 3}", f"a{a}", b, c, 1_000.0 * a + i % 997))
+    df = spark.createDataFrame(rows, "n bigint, k string, a string, b string, c string, cost double")
+    bands = {"cost": 1_000.0}
+    targets = ["a", "b", "c", "cost"]
+    information = tree_synth.pair_information(df, {**tree_synth.codes(df, targets, bands), "*": df.k})
+    tree = tree_synth.dependency_tree(information, targets)
+    assert {frozenset(e) for e in tree} >= {frozenset(("a", "b")), frozenset(("b", "c"))}
+    made = [tuple(r) for r in tree_synth.synthesise_tree(df, df, "n", df.k, targets, "1", bands).collect()]
+    assert len(made) == len(rows) and all(isinstance(r[4], float) for r in made)
+    for x, y in ((1, 2), (2, 3)):
+        real, synthetic = (Counter((r[x], r[y]) for r in t) for t in ([r[:1] + r[2:] for r in rows], made))
+        assert sum(abs(real[k] - synthetic[k]) for k in real | synthetic) / 2 < 0.06 * len(rows)
+    own = {r[2:] for r in rows}
+    # Each row is one of a kind; a draw of whole rows would give back 4,000 of them.
+    assert len(own) == len(rows) and sum(r[1:] in own for r in made) < 0.5 * len(made)
+    again = tree_synth.synthesise_tree(df.repartition(5), df, "n", df.k, targets, "1", bands)
+    assert sorted(map(repr, (tuple(r) for r in again.collect()))) == sorted(map(repr, made))
+    assert tree_synth.synthesise_tree(df, df.where("false"), "n", df.k, targets, "1", bands).count() == 0

@@ -13,6 +13,8 @@ from veilframe.catalog.visits import VISITS_SQL, loaded_visits, table, visits
 from veilframe.operators.columns import add_age_range, assemble_output
 from veilframe.operators.synth import band, condition_cell, cycled_conditions, synthesise, synthesise_samples
 from veilframe.operators.privacy import column_pairs
+from veilframe.operators.tree_synth import codes, pair_information, synthesise_tree
+from veilframe.session import local_table
 from veilframe.plans.hybrid import COST_BAND, clinical_cell, clinical_sample, deidentify_hybrid, run_all
 
 CELL_SQL = "\"ENCOUNTERCLASS\" || '|' || CAST(CAST(floor(\"BASE_ENCOUNTER_COST\" / 100000) AS BIGINT) AS VARCHAR)"
@@ -83,6 +85,97 @@ def synth_marginal(spark, sf_dir):
     return synthesise(df, df, "order_key", clinical_cell(df), TARGETS, "42", mode="marginal")
 
 
+# ---- trees of pairs ------------------------------------------------------------------
+
+TREE_TARGETS = ["CITY", "CODE", "ENCOUNTERCLASS", "MARITAL", "STATE"]
+TREE_BANDS = {"CODE": 400.0, "BASE_ENCOUNTER_COST": 100_000.0}
+TREE_CELL_SQL = 'CAST(CAST(floor("BASE_ENCOUNTER_COST" / 100000) AS BIGINT) AS VARCHAR)'
+
+
+def _code_sql(column: str) -> str:
+    if column == "*":
+        return TREE_CELL_SQL
+    value = f'CAST(floor("{column}" / {TREE_BANDS[column]}) AS BIGINT)' if column in TREE_BANDS else f'"{column}"'
+    return f"coalesce(CAST({value} AS VARCHAR), '')"
+
+
+def _information_sql(names: list[str]) -> str:
+    """CTEs that end in `information`: a, b and the mutual information of the two columns."""
+    coded = " UNION ALL ".join(
+        f"SELECT order_key, '{c}' AS name, {_code_sql(c)} AS code FROM visits" for c in sorted(names))
+    return f""", coded AS ({coded}
+), singles AS (
+  SELECT name, sum(n * ln(n)) AS e, sum(n) AS rows FROM (SELECT name, code, count(*) AS n FROM coded GROUP BY ALL) GROUP BY name
+), couples AS (
+  SELECT a, b, sum(n * ln(n)) AS e FROM (
+    SELECT x.name AS a, y.name AS b, x.code AS c, y.code AS d, count(*) AS n
+    FROM coded x JOIN coded y ON x.order_key = y.order_key AND x.name < y.name GROUP BY ALL) GROUP BY ALL
+), information AS (
+  SELECT a, b, round(ln(x.rows) + (couples.e - x.e - y.e) / x.rows, 6) AS information
+  FROM couples JOIN singles x ON x.name = a JOIN singles y ON y.name = b
+)"""
+
+
+@query("dependency_information", f"""{VISITS_SQL}{_information_sql(["*", *TREE_TARGETS])}
+SELECT a, b, round(information, 5) + 0.0 AS information FROM information""")
+def dependency_information(spark, sf_dir):
+    df = loaded_visits(spark, sf_dir, ["BASE_ENCOUNTER_COST", *TREE_TARGETS])
+    cell = codes(df, ["BASE_ENCOUNTER_COST"], TREE_BANDS)["BASE_ENCOUNTER_COST"]
+    found = pair_information(df, {**codes(df, TREE_TARGETS, TREE_BANDS), "*": cell})
+    rows = [(a, b, value) for (a, b), value in found.items()]
+    return local_table(spark, rows, "a string, b string, information double").withColumn(
+        "information", F.round("information", 5) + 0.0)
+
+
+def _tree_sql(seed: str, floor_rows: int) -> str:
+    """CTEs that end in `drawn` (order_key, column, value, code): Prim's tree, then one column after another,
+    each given the code drawn for the column it hangs on."""
+    n = len(TREE_TARGETS)
+    sql = _information_sql(["*", *TREE_TARGETS]) + """, edges AS (
+  SELECT a AS child, b AS parent, information FROM information UNION ALL SELECT b, a, information FROM information
+), tree_0 AS (SELECT 0 AS step, '*' AS child, '' AS parent)"""
+    for k in range(1, n + 1):
+        sql += f""", tree_{k} AS (
+  SELECT * FROM tree_{k - 1} UNION ALL (SELECT {k}, child, parent FROM edges
+    WHERE parent IN (SELECT child FROM tree_{k - 1}) AND child NOT IN (SELECT child FROM tree_{k - 1})
+    ORDER BY information DESC, child, parent LIMIT 1))"""
+    plain = " UNION ALL ".join(
+        f"""SELECT order_key, '{c}' AS name, CAST("{c}" AS VARCHAR) AS value, {_code_sql(c)} AS code FROM visits""" for c in TREE_TARGETS)
+    sql += f""", plain AS ({plain}
+), counts AS (
+  SELECT t.child, above.code AS cell, p.value, any_value(p.code) AS code, count(*) AS width FROM tree_{n} t
+  JOIN plain p ON p.name = t.child JOIN coded above ON above.name = t.parent AND above.order_key = p.order_key
+  GROUP BY t.child, above.code, p.value
+), sizes AS (SELECT child, cell, sum(width) AS size FROM counts GROUP BY ALL HAVING sum(width) >= {floor_rows}
+), both_cells AS (
+  SELECT child, cell, false AS wide, value, code, width FROM counts JOIN sizes USING (child, cell)
+  UNION ALL SELECT child, '', true, value, any_value(code), sum(width) FROM counts GROUP BY child, value
+), laid AS (
+  SELECT *, sum(width) OVER (PARTITION BY child, wide, cell ORDER BY value NULLS FIRST) - width AS start FROM both_cells
+), drawn_0 AS (SELECT order_key, '*' AS child, NULL::varchar AS value, {TREE_CELL_SQL} AS code FROM visits)"""
+    for k in range(1, n + 1):
+        number = f"CAST('0x' || substr(md5('{seed}|' || q.child || '|' || CAST(order_key AS VARCHAR)), 1, 15) AS BIGINT)"
+        sql += f""", placed_{k} AS (
+  SELECT order_key, q.child, size IS NULL AS wide, CASE WHEN size IS NULL THEN '' ELSE above END AS cell,
+         {number} % coalesce(size, (SELECT count(*) FROM visits)) AS position
+  FROM (SELECT d.order_key, t.child, d.code AS above FROM tree_{n} t JOIN drawn_{k - 1} d ON d.child = t.parent WHERE t.step = {k}) q
+  LEFT JOIN sizes ON sizes.child = q.child AND sizes.cell = q.above
+), drawn_{k} AS (
+  SELECT * FROM drawn_{k - 1} UNION ALL
+  SELECT order_key, p.child, value, code FROM placed_{k} p JOIN laid l
+    ON l.child = p.child AND l.wide = p.wide AND l.cell = p.cell AND start <= position AND position < start + width)"""
+    return sql
+
+
+@query("synth_tree", f"""{VISITS_SQL}{_tree_sql("42", 5)}
+SELECT order_key, {", ".join(f'max(value) FILTER (child = {chr(39)}{c}{chr(39)})' + ('::BIGINT' if c == 'CODE' else '') + f' AS "{c}"' for c in TREE_TARGETS)}
+FROM drawn_{len(TREE_TARGETS)} GROUP BY order_key""")
+def synth_tree(spark, sf_dir):
+    df = loaded_visits(spark, sf_dir, ["order_key", "BASE_ENCOUNTER_COST", *TREE_TARGETS])
+    cell = codes(df, ["BASE_ENCOUNTER_COST"], TREE_BANDS)["BASE_ENCOUNTER_COST"]
+    return synthesise_tree(df, df, "order_key", cell, TREE_TARGETS, "42", TREE_BANDS)
+
+
 SAMPLE_SQL = f"""{VISITS_SQL}, filled AS (
   SELECT order_key, "STATE", "ENCOUNTERCLASS", "PAYER", {", ".join(
     f'coalesce(CAST("{c}" AS DOUBLE), (SELECT median("{c}") FROM visits)) AS "{c}"' for c in Y_NUMBERS)}
