@@ -13,11 +13,13 @@ from veilframe.catalog.visits import COLUMNS, VISITS_SQL, loaded_visits, table,
 from veilframe.functions import dates, hashing
 from veilframe.operators import impute, profile
 from veilframe.operators.columns import add_age_range, condition_target_split, hash_identifiers
+from veilframe.operators.column_state import append_state, column_state, load_state, state_report
+from veilframe.operators.date_formats import format_votes, merged_votes, read_dates, settled_formats
 from veilframe.operators.dictionary import Namespace, apply_dictionary, random_entries
 from veilframe.plans.policy import (
     column_types, load_roles, policy_rows, policy_table, resolve_roles, role_by_name, route_direct,
 )
-from veilframe.session import local_table, new_path
+from veilframe.session import local_table, new_path, written
 from veilframe.sources.tables import row_count, scan_csv, write_csv, write_json
 
 TYPES = {
@@ -68,6 +70,14 @@ def scan_long_ids_and_breaks(spark, sf_dir):
     return _as_read(scan_csv(spark, path, infer=True, line_breaks="quoted"))
 
 
+@query("scan_breaks_in_parallel", UNSAFE_SQL)
+def scan_breaks_in_parallel(spark, sf_dir):
+    """One file, read line by line by as many tasks as it has blocks."""
+    path = new_path(spark, "scan")
+    write_csv(_unsafe(spark, sf_dir).coalesce(1), path, line_breaks="quoted")
+    return _as_read(scan_csv(spark, path, infer=True, line_breaks="parallel"))
+
+
 @query("scan_escaped_breaks", UNSAFE_SQL)
 def scan_escaped_breaks(spark, sf_dir):
     path = new_path(spark, "scan")
@@ -388,9 +398,57 @@ def parse_dates(spark, sf_dir):
     )
 
 
+@query("parse_dates_by_vote", f"""{VISITS_SQL}
+SELECT order_key, CAST(try_strptime("BIRTHDATE", '%d-%m-%Y') AS DATE) AS birth,
+  CAST(o_orderdate AS DATE) AS ordered, CAST(NULL AS DATE) AS nothing
+FROM visits JOIN orders ON order_key = o_orderkey""")
+def parse_dates_by_vote(spark, sf_dir):
+    """Day first in one column, month first in the other; votes of two batches, the first with few sure cells."""
+    df = table(spark, sf_dir, "orders").join(visits(spark, sf_dir, ["order_key", "BIRTHDATE", "CITY"]), F.col("order_key") == F.col("o_orderkey"))
+    df = df.select("order_key", F.col("BIRTHDATE").alias("birth"), F.date_format("o_orderdate", "MM-dd-yyyy").alias("ordered"), F.col("CITY").alias("nothing"))
+    df = written(df, "dated")
+    columns = ["birth", "ordered", "nothing"]
+    unsure = F.substring("ordered", 4, 2).cast("int") <= 12
+    votes = merged_votes(*[format_votes(df.where(part), columns) for part in (unsure, ~unsure)])
+    return read_dates(df, settled_formats(votes)).withColumn("nothing", F.lit(None).cast("date"))
+
+
 @query("age_range", f"""{VISITS_SQL}
 SELECT order_key, {AGE_SQL} AS age, {AGE_RANGE_SQL} AS "AGE_RANGE" FROM visits""")
 def age_range(spark, sf_dir):
     df = add_age_range(visits(spark, sf_dir, ["order_key", "BIRTHDATE"]))
     age = dates.age_at_reference(dates.lenient_date(F.col("BIRTHDATE")))
     return df.select("order_key", age.alias("age"), "AGE_RANGE")
+
+
+# ---- column state --------------------------------------------------------------------
+
+STATE_COLUMNS = ["order_key", "PATIENT", "MARITAL", "CITY", "CODE", "BASE_ENCOUNTER_COST", "REASONCODE"]
+STATE_NUMBERS = ["order_key", "CODE", "BASE_ENCOUNTER_COST", "REASONCODE"]
+
+
+def _state_sql(column: str) -> str:
+    number = column in STATE_NUMBERS
+    text = f'CAST("{column}" AS VARCHAR)' if column not in STATE_NUMBERS[2:] else "NULL"
+    return f"""SELECT '{column}' AS "column", count(*) AS rows, count(*) - count("{column}") AS nulls,
+  true AS distinct_close, {f'round(avg("{column}"), 6)' if number else 'NULL'} AS mean,
+  {f'round(stddev_samp("{column}"), 4)' if number else 'NULL'} AS deviation,
+  {f'CAST(min("{column}") AS DOUBLE)' if number else 'NULL'} AS least, {f'CAST(max("{column}") AS DOUBLE)' if number else 'NULL'} AS most,
+  min({text}) AS first, max({text}) AS last FROM visits"""
+
+
+@query("column_state_batches", f"{VISITS_SQL} {' UNION ALL '.join(map(_state_sql, STATE_COLUMNS))}")
+def column_state_batches(spark, sf_dir):
+    """The states of ten batches, saved one by one and added up; the estimate of distinct values is held
+    against the exact count, within 4 %, five standard errors."""
+    df = loaded_visits(spark, sf_dir, STATE_COLUMNS)
+    folder = new_path(spark, "state")
+    for i in range(10):
+        append_state(column_state(df.where(F.col("order_key") % 10 == i)), folder, i)
+    report = state_report(load_state(spark, folder))
+    exact = profile.one_row_per_column(df, STATE_COLUMNS, {"exact": F.count_distinct})
+    decimals = F.col("column").isin(STATE_NUMBERS[2:])  # written as text differently by each engine
+    return report.join(exact, "column").select(
+        "column", "rows", "nulls", (F.abs(F.col("distinct") - F.col("exact")) <= 0.04 * F.col("exact")).alias("distinct_close"),
+        F.round("mean", 6).alias("mean"), F.round("deviation", 4).alias("deviation"), "least", "most",
+        F.when(~decimals, F.col("first")).alias("first"), F.when(~decimals, F.col("last")).alias("last"))

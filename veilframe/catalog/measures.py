@@ -11,6 +11,7 @@ from veilframe.catalog.registry import query
 from veilframe.catalog.visits import VISITS_SQL, loaded_visits, table, visits
 from veilframe.operators import encode, privacy, series, utility
 from veilframe.operators.columns import add_age_range, generalize_years
+from veilframe.operators.comoments import correlations
 from veilframe.operators.dictionary import NAMESPACES, apply_dictionary, build_dictionary
 from veilframe.operators.synth import band
 from veilframe.plans.features import prepare_for_quasi, prepare_for_sample
@@ -265,6 +266,23 @@ def residual_identifiers(spark, sf_dir):
     return privacy.residual_identifiers(df, output, columns)
 
 
+HUNDRED = 100
+
+
+def _hundred(k: int) -> str:
+    return f"CASE WHEN (o_orderkey + {k}) % 17 <> 0 THEN CAST((o_orderkey * {2 * k + 1} + o_custkey * {k % 7}) % {1009 + k} AS DOUBLE) END"
+
+
+@query("correlation_all_pairs", f"""WITH long AS (
+  SELECT o_orderkey, unnest([{", ".join(f"{{'k': {k}, 'v': {_hundred(k)}}}" for k in range(HUNDRED))}], recursive := true) FROM orders)
+SELECT 'c' || a.k AS a, 'c' || b.k AS b, count(*) AS n, round(corr(a.v, b.v), {ROUNDED}) + 0.0 AS correlation
+FROM long a JOIN long b ON a.o_orderkey = b.o_orderkey AND a.k < b.k WHERE a.v IS NOT NULL AND b.v IS NOT NULL GROUP BY a.k, b.k""")
+def correlation_all_pairs(spark, sf_dir):
+    """All 4,950 pairs of a hundred columns, in stripes of forty."""
+    df = table(spark, sf_dir, "orders").select(*[F.expr(_hundred(k)).alias(f"c{k}") for k in range(HUNDRED)])
+    return rounded(correlations(df, stripe=40), "correlation")
+
+
 NOTE_SQL = """CASE WHEN order_key % 7 = 0 THEN 'Referred: (' || upper("PATIENT") || '), see file ' || "Id_encounter" || '.'
   WHEN order_key % 11 = 0 THEN 'SSN: ' || "SSN" || '; call ' || "FIRST" ELSE 'Nothing new, ' || "CITY" || ' office.' END"""
 PLAN_SQL = """CASE WHEN order_key % 13 = 0 THEN 'Lives at' || chr(10) || lower("ADDRESS") || ', ' || "ADDRESS" || '.' END"""

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from veilframe.fixed_values import MISSING_TOKENS
 from veilframe.operators.columns import first_rows
 from veilframe.operators.profile import one_row_per_column
+from veilframe.sources.quoted_lines import PLACE, read_quoted
 
 POSITION = "source_position"
 
@@ -32,13 +33,16 @@ def scan_csv(
     is set. `position` adds the place in the source, to use as an order key.
 
     `line_breaks`: 'none' takes every line for a row, and a file is read in pieces by many
-    tasks; 'quoted' lets quoted cells hold breaks, and each file is read by one task;
+    tasks; 'quoted' lets quoted cells hold breaks, and each file is read by one task; 'parallel'
+    gives the same rows from many tasks a file, where quotes are paired by the rules of the format;
     'escaped' undoes what `write_csv` did to them.
     """
     df = _read_csv(spark, path, line_breaks)
     if position:
         df = with_position(df)
         order_key = order_key or POSITION
+    elif PLACE in df.columns:
+        df = df.drop(PLACE)
     if rows is not None:
         if order_key is None:
             raise ValueError("the first rows need an order key or a position")
@@ -50,8 +54,10 @@ def scan_csv(
 
 
 def _read_csv(spark: SparkSession, path: str, line_breaks: str) -> DataFrame:
-    if line_breaks not in ("none", "quoted", "escaped"):
+    if line_breaks not in ("none", "quoted", "parallel", "escaped"):
         raise ValueError(f"line_breaks cannot be {line_breaks!r}")
+    if line_breaks == "parallel":
+        return read_quoted(spark, path)
     df = spark.read.options(header=True, escape='"', nullValue="", multiLine=line_breaks == "quoted").csv(path)
     if line_breaks != "escaped":
         return df
@@ -70,6 +76,9 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def with_position(df: DataFrame) -> DataFrame:
     """Add where each row stands: file, block, row. Must be applied to the scan itself."""
+    if PLACE in df.columns:
+        lined = F.struct(F.col(f"{PLACE}.file").alias("file"), F.lit(0).cast("bigint").alias("block"), F.col(f"{PLACE}.line").alias("row"))
+        return df.select(*[F.col(f"`{c}`") for c in df.columns if c != PLACE], lined.alias(POSITION))
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
