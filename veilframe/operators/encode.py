@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +43,24 @@ def _swapped(df: DataFrame, state: DataFrame, column: str, probe: Column, key: s
     return probed.join(entries, F.col("_probe") == F.col("_key"), "left").select(*kept)
 
 
+def _looked_up(df: DataFrame, state: DataFrame, columns: Sequence[str], sizes: Mapping[str, int], probe: Callable[[str], Column],
+               key: str, value: str, row_key: str | None, sent_bytes: int) -> DataFrame:
+    """The columns replaced one by one: small ones by what is sent, large ones by shuffles, of the wide rows or,
+    where a row key is given and two or more are large, of their columns alone."""
+    sent = all_small({c: sizes.get(c, 0) for c in columns}, sent_bytes)
+    small, large = [c for c in columns if c in sent], [c for c in columns if c not in sent]
+
+    def swapped(part: DataFrame, names: Sequence[str]) -> DataFrame:
+        for column in names:
+            part = _swapped(part, state, column, probe(column), key, value, column in sent)
+        return part
+
+    if row_key is None or len(large) < 2:
+        return swapped(df, [*small, *large])  # the small ones first: shorter rows are shuffled
+    narrow = swapped(df.select(row_key, *large), large)
+    return swapped(df.drop(*large), small).join(narrow, row_key).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def encode_labels(df: DataFrame, state: DataFrame, columns: Sequence[str], row_key: str | None = None,
                   sent_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Replace texts by their codes; a text the state lacks becomes null.
@@ -52,39 +70,27 @@ def encode_labels(df: DataFrame, state: DataFrame, columns: Sequence[str], row_k
     looked up on their columns alone, and the wide rows are shuffled once.
     """
     sizes = {c: size for c, (_, size) in _label_sizes(state).items()}
-    sent = all_small({c: sizes.get(c, 0) for c in columns}, sent_bytes)
-    large = [c for c in columns if c not in sent]
+    return _looked_up(df, state, columns, sizes, lambda c: F.col(f"`{c}`").cast("string"), "label", "code", row_key, sent_bytes)
 
-    def encoded(part, names):
-        for column in names:
-            text = F.col(f"`{column}`").cast("string")
-            part = _swapped(part, state, column, text, "label", "code", column in sent)
-        return part
-
-    small = [c for c in columns if c in sent]
-    if row_key is None or len(large) < 2:
-        return encoded(df, [*small, *large])  # the small ones first: shorter rows are shuffled
-    narrow = encoded(df.select(row_key, *large), large)
-    return encoded(df.drop(*large), small).join(narrow, row_key).select(*[F.col(f"`{c}`") for c in df.columns])
 
-
-def decode_labels(df: DataFrame, state: DataFrame, columns: Sequence[str], clip: bool = True) -> DataFrame:
+def decode_labels(df: DataFrame, state: DataFrame, columns: Sequence[str], clip: bool = True, row_key: str | None = None,
+                  sent_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Replace codes by their texts.
 
     With `clip`, codes are rounded half to even and moved into the known range;
-    otherwise they are cut to whole numbers and unknown ones become null.
+    otherwise they are cut to whole numbers and unknown ones become null. `row_key` and
+    `sent_bytes` are those of `encode_labels`.
     """
     sizes = _label_sizes(state)
-    sent = all_small({c: sizes.get(c, (0, 0))[1] for c in columns})
-    for column in columns:
+
+    def code_of(column: str) -> Column:
         number, known = F.col(f"`{column}`").cast("double"), sizes.get(column, (0, 0))[0]
-        if clip:
-            code = F.least(F.greatest(F.rint(number).cast("bigint"), F.lit(0)), F.lit(known - 1))
-            code = F.when(number.isNotNull(), code)
-        else:
-            code = number.cast("bigint")
-        df = _swapped(df, state, column, code, "code", "label", column in sent)
-    return df
+        if not clip:
+            return number.cast("bigint")
+        code = F.least(F.greatest(F.rint(number).cast("bigint"), F.lit(0)), F.lit(known - 1))
+        return F.when(number.isNotNull(), code)
+
+    return _looked_up(df, state, columns, {c: size for c, (_, size) in sizes.items()}, code_of, "code", "label", row_key, sent_bytes)
 
 
 def scale_state(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -99,7 +99,7 @@ def restore_quasi(generated: DataFrame, prepared: Prepared, dates: Sequence[str]
     """Scaled targets back to their units, codes back to texts, days back to dates."""
     quasi = generated.columns[1:]
     frame = encode.unscale_minmax(generated, prepared.scales, quasi)
-    frame = encode.decode_labels(frame, prepared.labels, [c for c in quasi if c in prepared.labelled])
+    frame = encode.decode_labels(frame, prepared.labels, [c for c in quasi if c in prepared.labelled], row_key=generated.columns[0])
     for column in present_columns(dates, frame):
         frame = frame.withColumn(column, date_from_days(F.rint(column)))
     return frame
@@ -110,4 +110,4 @@ def restore_sample(generated: DataFrame, prepared: Prepared, clip: bool = True)
     targets = generated.columns[1:]
     frame = encode.unscale_standard(generated, prepared.scales, targets)
     labelled = [c for c in targets if c in prepared.labelled]
-    return encode.decode_labels(frame, prepared.labels, labelled, clip)
+    return encode.decode_labels(frame, prepared.labels, labelled, clip, generated.columns[0])
