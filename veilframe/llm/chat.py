@@ -31,6 +31,8 @@ NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (
 ENDS = (START, ASSISTANT)
 KEEP, MERGE, RELABEL, INSERT, GUESS = 0, 2, 3, 4, 1  # costs; GUESS: a role for a turn that has none
 CODES = "xsua"  # a turn's role: none that is known, system, user, assistant
+# A text's "<|" becomes "<||", which no mark begins with, so a text cannot open or close a turn.
+MARK, ESCAPED = "<|", "<||"
 BLOCK_TURNS = 2048
 OPEN, CLOSE, JOIN = "<|{}|>\n", "<|end|>\n", "\n\n"
 FAR = 10 ** 12
@@ -167,7 +169,7 @@ def rendering(codes: str, texts: list[str], entry: int, leave: int, ends: bool)
             piece += (CLOSE if opened else "") + OPEN.format(ROLES[empty - 1])
             opened = True
         piece += JOIN if how == "merge" else (CLOSE if opened else "") + OPEN.format(ROLES[role - 1])
-        out.append([ROLES[role - 1], how, ",".join(ROLES[r - 1] for r in put), piece + text])
+        out.append([ROLES[role - 1], how, ",".join(ROLES[r - 1] for r in put), piece + text.replace(MARK, ESCAPED)])
         state = role
     if ends and out:
         last = min((e for e in ENDS if e in insertions(state)), key=lambda e: insertions(state)[e][0])
@@ -182,7 +184,7 @@ def formatted(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     """One row a turn: conversation, turn, place (order within the conversation), role after repair, action
     (keep, relabel, merge), `put_in` (roles of empty turns before it) and `rendered`, the turn's piece.
 
-    Pieces joined by place are the rendered conversation. Turns are ordered by number, those without one
+    Pieces joined by place are the rendered conversation; "<|" within a text is written "<||". Turns are ordered by number, those without one
     last, then by role and text; repeated rows follow each other. Roles are matched without regard to case;
     unknown and null ones are any role, at the cost of a guess. Null texts are empty. Rows without a
     conversation are one conversation. An empty table gives an empty result.
