@@ -167,3 +167,37 @@ def test_indexes_of_other_forms_are_read_and_unlisted_archives_refused(spark, tm
     for members in ({}, {"indexes/a.cdxj": index, "archive/other.warc.gz": records}):
         with pytest.raises(ValueError, match="lists archive/"):
             list(warc.locate(iter([package("lost.wacz", members)])))
+
+
+def foreign(kind, block, **headers):
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nContent-Length: {len(block)}\r\n"
+    head += "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in headers.items())
+    return head.encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_archives_of_other_writers(spark, tmp_path, packed):
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+    records = [
+        foreign("warcinfo", b"software: other\r\n", WARC_Record_ID="<urn:uuid:0>"),
+        foreign("request", b"GET / HTTP/1.1\r\n\r\n", WARC_Record_ID="<urn:uuid:1>"),
+        foreign("response", http + b"one", WARC_Record_ID="<urn:uuid:2>", WARC_Target_URI="<http://a/>"),
+        foreign("response", http + b"two", WARC_Record_ID="<urn:uuid:3>", WARC_Payload_Digest="sha256:abc", X_Long="a\r\n b"),
+        foreign("resource", b"three", WARC_Record_ID="<urn:uuid:4>", WARC_Payload_Digest=f"sha1:{warc.digest_of(b'three')}"),
+        foreign("revisit", http, WARC_Record_ID="<urn:uuid:5>", WARC_Refers_To="<urn:uuid:2>"),
+    ]
+    member, at, index, data = "archive/x.warc" + ".gz" * packed, 0, "", b""
+    for raw in records:
+        raw = gzip.compress(raw) if packed else raw
+        index += "k 2020 " + json.dumps({"filename": member, "offset": str(at), "length": str(len(raw))}) + "\n"
+        at, data = at + len(raw), data + raw
+    with zipfile.ZipFile(tmp_path / "x.wacz", "w", zipfile.ZIP_STORED) as out:
+        out.writestr(member, data)
+        out.writestr("indexes/x.cdxj", index)
+    got = warc.read_packages(spark.createDataFrame([(str(tmp_path / "x.wacz"),)], "path string")).collect()
+    found = {(r.record_id, r.record_type, r.payload and bytes(r.payload), r.payload_bytes, r.payload_digest, r.refers_to_id, r.page_id) for r in got}
+    assert found == {("urn:uuid:2", "response", b"one", 3, warc.digest_of(b"one"), None, None),
+                     ("urn:uuid:3", "response", b"two", 3, "sha256:abc", None, None),
+                     ("urn:uuid:4", "resource", b"three", 5, warc.digest_of(b"three"), None, None),
+                     ("urn:uuid:5", "revisit", None, None, None, "urn:uuid:2", None)}
+    assert {r.url for r in got} == {None, "http://a/"}

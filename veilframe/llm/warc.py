@@ -76,30 +76,55 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     return head.encode("utf-8", "surrogatepass") + b"\r\n" + block + b"\r\n\r\n"
 
 
-def parsed(raw: bytes) -> dict:
-    """A record's page, payload size and digest, type and the page it refers to."""
+def unpacked(raw: bytes) -> bytes:
+    """A record as it lies in an archive, compressed or plain."""
+    return zlib.decompress(raw, 16 + zlib.MAX_WBITS) if raw[:2] == b"\x1f\x8b" else raw
+
+
+def parsed(raw: bytes) -> dict | None:
+    """What is read of a record; None of one that is neither a response, a resource nor a revisit.
+
+    Ids are text; `page_id` and `refers_to` are the numbers of ids that this writer gives, and null for
+    others. A missing digest is worked out, of a revisit it stays null; a SHA-1 that is there must be right.
+    """
     head, _, rest = raw.partition(b"\r\n\r\n")
-    lines = head.decode("utf-8", "surrogatepass").split("\r\n")
+    lines = head.decode("utf-8", "surrogateescape").split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError(f"not a WARC record: {lines[0][:40]!r}")
-    named = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+    named: dict[str, str] = {}
+    for line in lines[1:]:
+        key, colon, value = line.partition(":")
+        if colon:
+            last = key.strip().lower()
+            named[last] = value.strip()
+        elif named:  # a header that goes on in the next line
+            named[last] += " " + line.strip()
+    kind = named.get("warc-type", "").lower()
+    if kind not in ("response", "resource", "revisit"):
+        return None
     block = rest[:int(named["content-length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    revisit = named["warc-type"] == "revisit"
-    digest = named["warc-payload-digest"].removeprefix("sha1:")
+    http, _, payload = block.partition(b"\r\n\r\n") if block.startswith(b"HTTP/") else (b"", b"", block)
+    revisit = kind == "revisit"
+    given = named.get("warc-payload-digest")
+    digest = given and given.removeprefix("sha1:")
+    size: int | None = len(payload)
     if revisit:
-        size = int(re.search(rb"(?im)^content-length:\s*(\d+)", http)[1])
-    else:
-        size = len(payload)
-        if digest_of(payload) != digest:
-            raise ValueError(f"the payload of {named['warc-record-id']} does not have its digest")
+        length = re.search(rb"(?im)^content-length:\s*(\d+)", http)
+        size = int(length[1]) if length else None
+    elif given is None:
+        digest = digest_of(payload)
+    elif given.startswith("sha1:") and len(digest) == 32 and digest_of(payload) != digest.upper():
+        raise ValueError(f"the payload of {named.get('warc-record-id')} does not have its digest")
+
+    def name(header: str) -> str | None:
+        return named[header].strip("<>") if header in named else None
 
     def page(value: str | None) -> int | None:
-        number = (value or "").strip("<>").removeprefix(ID)
-        return int(number) if number else None
+        return int(value.removeprefix(ID)) if value and re.fullmatch(ID + "-?[0-9]{1,19}", value) else None
 
-    return {"page_id": page(named["warc-record-id"]), "url": named.get("warc-target-uri"), "payload_bytes": size,
-            "payload_digest": digest, "record_type": named["warc-type"], "refers_to": page(named.get("warc-refers-to")),
+    own, other = name("warc-record-id"), name("warc-refers-to")
+    return {"page_id": page(own), "url": name("warc-target-uri"), "payload_bytes": size, "payload_digest": digest,
+            "record_type": kind, "refers_to": page(other), "record_id": own, "refers_to_id": other,
             "payload": None if revisit else payload}
 
 
@@ -222,8 +247,9 @@ def entries(index: str, name: str) -> Iterator[tuple[str, int, int]]:
 
 
 def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of the packages (`path`): page_id, url, payload_bytes, payload_digest, record_type,
-    refers_to and, if asked for, the payload of responses. A payload that lacks its digest fails the read."""
+    """The responses, resources and revisits in the packages (`path`): page_id, url, payload_bytes, payload_digest,
+    record_type, refers_to, record_id, refers_to_id and, if asked for, the payload. Records of other types are
+    passed over, plain archives are read like compressed ones, and a payload with a wrong SHA-1 fails the read."""
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             held = []
@@ -241,8 +267,8 @@ def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
     found = packages.select("path").repartition(max(1, count), "path").mapInPandas(places, "path string, start long, length long, number long")
     dealt = found.repartition(tasks, "path", F.floor(F.col("number") / RECORDS_DEALT)).sortWithinPartitions("path", "start")
     fields = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-              ("record_type", pa.string()), ("refers_to", pa.int64())] + [("payload", pa.binary())] * payloads
-    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+              ("record_type", pa.string()), ("refers_to", pa.int64()), ("record_id", pa.string()), ("refers_to_id", pa.string())] + [("payload", pa.binary())] * payloads
+    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, refers_to_id string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file = name = None
@@ -259,7 +285,8 @@ def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
                     system, place = opened(path)
                     file, name = system.open_input_file(place), path
                 raw = memoryview(file.read_at(length, start))
-                records = [parsed(zlib.decompress(raw[s - start:s - start + n], 16 + zlib.MAX_WBITS)) for _, s, n in rows[at:stop]]
+                records = [parsed(unpacked(bytes(raw[s - start:s - start + n]))) for _, s, n in rows[at:stop]]
+                records = [r for r in records if r]
                 yield pa.RecordBatch.from_arrays([pa.array([r[f] for r in records], kind) for f, kind in fields], [f for f, _ in fields])
                 at = stop
 
