@@ -18,6 +18,12 @@ def test_report_of_edges(spark):
                    (9, 7, 3, False), (8, 7, 3, False), (7, 7, 3, True), (6, 6, 2, True), (2, 2, 1, True)}
 
 
+def test_of_a_repeated_id_the_longer_row_stays(spark):
+    rows = [(5, "a b", "x", 1), (5, "a  b", "x", 2), (7, "ab", "x", 3)]
+    report = exact_dedup.duplicate_report(spark.createDataFrame(rows, SCHEMA))
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in report.collect()) == [(5, 5, 3, False), (5, 5, 3, True), (7, 5, 3, False)]
+
+
 def test_one_row_of_a_group_stays_with_its_columns(spark):
     rows = [(6, "é b", "h", 1), (6, "é b", "h", 1), (1, "z", None, 5), (None, "q", None, None), (None, "q", None, None)]
     out = exact_dedup.exact_dedup(spark.createDataFrame(rows, SCHEMA))

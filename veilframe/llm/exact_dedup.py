@@ -104,16 +104,18 @@ def duplicate_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row for each row given: its id, the id that stays, the size of its group, whether it
     stays, and the SHA-256 of its normalised text.
 
-    Rows that repeat an id and a text are rows of the group like others and share one verdict.
-    An empty table gives an empty report.
+    Rows that repeat an id are rows of the group like others: of those with the id that stays only the ones with
+    the most code points do, and rows that repeat id and length share one verdict. An empty table gives an
+    empty report.
     """
     found = find_duplicates(df.select(id_col, text_col), id_col, text_col)
-    rows = labelled(found, found.staged.select(id_col, found.hash, found.digest))
+    rows = labelled(found, found.staged.select(id_col, found.hash, found.digest, found.points))
     alone = F.col("class_size").isNull()
     keep = F.when(alone, F.col(id_col)).otherwise(F.col("class_keep_id"))
+    stays = alone | (F.col(id_col).eqNullSafe(F.col("class_keep_id")) & (F.col(found.points) == F.col("class_keep_points")))
     return rows.select(
         F.col(id_col), keep.alias("keep_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("group_size"),
-        F.col(id_col).eqNullSafe(keep).alias("kept"), F.col(found.digest).alias("text_sha256"))
+        stays.alias("kept"), F.col(found.digest).alias("text_sha256"))
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
