@@ -224,15 +224,18 @@ def form_of(tokens: Column) -> Column:
 
 
 def placed(df: DataFrame, targets: Targets, text_col: str, lang_col: str, source_col: str,
-           topic_col: str | None, keep_text: bool) -> tuple[DataFrame, DataFrame, dict[str, str]]:
-    """The rows with their tokens, topic and places, written; the cells of these; names by meaning."""
-    keys = ("tokens", "topic", "probability", "selected", "lang_place", "topic_place", "factor_source", "factor")
+           topic_col: str | None, keep_text: bool, id_col: str | None = None) -> tuple[DataFrame, DataFrame, dict[str, str]]:
+    """The rows with their tokens, topic and places, and the hash of texts without an id, written; the cells of
+    these; names by meaning."""
+    keys = ("tokens", "topic", "probability", "selected", "lang_place", "topic_place", "factor_source", "factor", "of_text")
     name = dict(zip(keys, free_names(df, *keys)))
     tokens = F.col(name["tokens"])
     rows = df.withColumn(name["tokens"], F.size(words_of(whole(text_col))).cast("long"))
     rows = rows.withColumn(name["topic"], F.col(topic_col) if topic_col else form_of(tokens))
     rows = rows.withColumns({name["lang_place"]: place(F.col(lang_col), targets.languages),
                              name["topic_place"]: place(F.col(name["topic"]), targets.topics)})
+    if id_col is not None:
+        rows = rows.withColumn(name["of_text"], F.when(F.col(id_col).isNull(), F.xxhash64(F.col(text_col), F.lit(targets.seed))))
     rows = written(rows if keep_text else rows.drop(text_col), "mixing_rows")
     cells = written(rows.groupBy(
         F.col(source_col).alias("source"), F.col(name["lang_place"]).alias("lang"), F.col(name["topic_place"]).alias("topic"),
@@ -244,7 +247,7 @@ def drawn(df: DataFrame, targets: Targets, id_col: str, text_col: str, lang_col:
           topic_col: str | None, keep_text: bool = True) -> tuple[DataFrame, dict[str, str]]:
     """The rows with their tokens, topic, probability and whether they are drawn; names by meaning.
     Shares that will not be as asked for are logged as a warning."""
-    rows, cells, name = placed(df, targets, text_col, lang_col, source_col, topic_col, keep_text)
+    rows, cells, name = placed(df, targets, text_col, lang_col, source_col, topic_col, keep_text, id_col)
     fit = fitted(cells, targets)
     if fit.missed > targets.tolerance:
         log.warning("mixing: shares miss what was asked for by up to %.4f (sources included), what tokens allow by up to %.4f: %s", fit.missed, fit.error,
@@ -254,7 +257,8 @@ def drawn(df: DataFrame, targets: Targets, id_col: str, text_col: str, lang_col:
     joined = rows.join(sent_if_few(factors, count, FACTOR_ROW_BYTES),
                        F.col(source_col).eqNullSafe(F.col(name["factor_source"])), "left")
     chance = F.col(name["factor"]) * F.get(listed(fit.languages), F.col(name["lang_place"])) * F.get(listed(fit.topics), F.col(name["topic_place"]))
-    draw = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(targets.seed)), 11) / F.lit(float(1 << 53))
+    own = F.xxhash64(F.col(id_col), F.lit(targets.seed))
+    draw = F.shiftrightunsigned(F.when(F.col(id_col).isNotNull(), own).otherwise(F.col(name["of_text"])), 11) / F.lit(float(1 << 53))
     joined = joined.withColumn(name["probability"], F.least(F.lit(1.0), F.coalesce(chance, F.lit(0.0))))
     return joined.withColumn(name["selected"], draw < F.col(name["probability"])), name
 
@@ -265,7 +269,8 @@ def mixing_report(df: DataFrame, targets: Targets, id_col: str = "doc_id", text_
 
     Null sources are one source; null languages and topics count among those not named. A text
     without words adds no tokens and is drawn with its cell's probability, and never where its
-    source has no tokens. Rows that repeat an id share one draw, and so do rows without an id.
+    source has no tokens. Rows that repeat an id share one draw, as do rows without an id that
+    repeat a text.
     An empty table gives an empty report.
     """
     wanted = list(dict.fromkeys([id_col, text_col, lang_col, source_col, *([topic_col] if topic_col else [])]))
