@@ -50,6 +50,19 @@ def test_cutoffs_follow_the_source(spark):
     assert quality_rules.quality_filter(df).columns == df.columns
 
 
+def test_cutoffs_do_not_jump_with_the_size_of_a_group(spark):
+    """One more document in a group moves its cutoffs by no more than its share and the bins of the sketch."""
+    def most(n):
+        docs = [(i, "w " * (100 - i % 9) + "# " * (i % 9), "en", "own", None) for i in range(n)]
+        docs += [(1000 + i, "w " * 60 + "# " * (i % 40), "en", "other", None) for i in range(300)]
+        counted = quality_rules.measured(spark.createDataFrame(docs, SCHEMA), "text")
+        found = quality_rules.cutoffs(quality_rules.sketches(counted, "lang", "source"), quality_rules.Rules())
+        return found.where("source = 'own'").first().limits.symbols_1000_most
+
+    at = [most(n) for n in (72, 81, 90, 99, 108)]
+    assert all(abs(b - a) < 0.25 * a for a, b in zip(at, at[1:]))
+
+
 def test_empty_rules(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert quality_rules.quality_report(empty).count() == 0 and quality_rules.quality_filter(empty).count() == 0
@@ -132,6 +145,14 @@ def test_drawing_is_a_function_of_the_id(spark):
     assert mixing.mixed(df, targets).columns == df.columns
 
 
+def test_rows_without_an_id_are_drawn_one_by_one(spark):
+    rows = [(None, f"text {i}", "en", "s") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    targets = mixing.Targets(1.0, {"en": 1.0}, budget=0.5)
+    drawn = {r.text for r in mixing.mixed(df, targets).collect()}
+    assert 120 < len(drawn) < 280 and drawn == {r.text for r in mixing.mixed(df.repartition(5), targets).collect()}
+
+
 def test_mixing_edges(spark):
     rows = [(1, None, None, None, "t"), (2, "a b", "xx", None, None), (2, "a b", "xx", None, None), (None, "c", "en", "s", "t"), (3, "", "en", "void", "t")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, tokens string")

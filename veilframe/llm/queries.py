@@ -89,14 +89,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cutoffs AS (
         SELECT level, lang, source, measure, n, q2 + 8 * greatest(q3 - q1, least) AS most,
                CASE WHEN measure = 'length' THEN q2 - 8 * greatest(q3 - q1, least) END AS low FROM quartiles),
+    weighed AS (
+        SELECT a.lang, a.source, a.measure, (a.n * a.most + 10.0::double * (b.n * b.most + 10.0::double * c.most) / (b.n + 10.0::double)) / (a.n + 10.0::double) AS most,
+               (a.n * a.low + 10.0::double * (b.n * b.low + 10.0::double * c.low) / (b.n + 10.0::double)) / (a.n + 10.0::double) AS low
+        FROM cutoffs a JOIN cutoffs b ON a.level = 1 AND b.level = 2 AND a.measure = b.measure AND a.lang IS NOT DISTINCT FROM b.lang
+            JOIN cutoffs c ON c.level = 3 AND c.measure = a.measure),
     verdicts AS (
-        SELECT doc_id, bool_and(
-            value <= CASE WHEN a.n >= 100 THEN a.most WHEN b.n >= 100 THEN b.most ELSE c.most END
-            AND coalesce(value >= CASE WHEN a.n >= 100 THEN a.low WHEN b.n >= 100 THEN b.low ELSE c.low END, true)) AS inside
-        FROM long LEFT JOIN cutoffs a ON a.level = 1 AND a.measure = long.measure
-                AND a.lang IS NOT DISTINCT FROM long.lang AND a.source IS NOT DISTINCT FROM long.source
-            LEFT JOIN cutoffs b ON b.level = 2 AND b.measure = long.measure AND b.lang IS NOT DISTINCT FROM long.lang
-            LEFT JOIN cutoffs c ON c.level = 3 AND c.measure = long.measure
+        SELECT doc_id, bool_and(value <= most AND coalesce(value >= low, true)) AS inside
+        FROM long LEFT JOIN weighed w ON w.measure = long.measure
+            AND w.lang IS NOT DISTINCT FROM long.lang AND w.source IS NOT DISTINCT FROM long.source
         GROUP BY doc_id)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_capitals, n_lines, base_failed,
            NOT base_failed AND coalesce(inside, false) AS kept
