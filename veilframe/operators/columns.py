@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilframe import fixed_values as fixed
 from veilframe.functions import dates, hashing
@@ -100,6 +101,13 @@ def assemble_output(
 COPIES_AT_ONCE = 1 << 16
 
 
+def _constant(value, kind: T.DataType) -> Column:
+    """A value that was read from a table, as a column of its type; structs field by field."""
+    if isinstance(kind, T.StructType) and value is not None:
+        return F.struct(*[_constant(value[f.name], f.dataType).alias(f.name) for f in kind])
+    return F.lit(value).cast(kind)
+
+
 def _last_of(keys: DataFrame, rows: int) -> Row | None:
     """Where the first `rows` rows by `key` (nulls first) end: the key, how many rows are before it, how
     many have it. None where there are no more rows than that. Equal keys are counted before they travel."""
@@ -126,7 +134,7 @@ def first_rows(df: DataFrame, order_key: str, rows: int | None) -> DataFrame:
     edge = _last_of(df.select(key.alias("key")), rows)
     if edge is None:
         return df
-    at = F.lit(edge.key).cast(df.schema[order_key].dataType)
+    at = _constant(edge.key, df.schema[order_key].dataType)
     before, same = (F.lit(False), key.isNull()) if edge.key is None else (key.isNull() | (key < at), key == at)
     if edge.before + edge.n == rows:
         return df.where(before | same)
