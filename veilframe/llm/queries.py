@@ -69,26 +69,27 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
     long AS (
         SELECT doc_id, lang, source, base_failed, unnest([
-            {'measure': 'symbols', 'least': 15, 'value': 1000 * n_symbols // greatest(n_words, 1)},
-            {'measure': 'capitals', 'least': 15, 'value': 1000 * n_capitals // greatest(word_chars, 1)},
-            {'measure': 'repeats', 'least': 60, 'value': 1000 * n_repeat_words // greatest(n_words, 1)},
-            {'measure': 'dup_lines', 'least': 60, 'value': 1000 * n_dup_lines // greatest(n_lines, 1)},
-            {'measure': 'length', 'least': 25, 'value': 100 * word_chars // greatest(n_words, 1)}], recursive := true)
+            {'measure': 'symbols', 'event': 1000, 'size': n_words, 'value': 1000 * n_symbols // greatest(n_words, 1)},
+            {'measure': 'capitals', 'event': 1000, 'size': word_chars, 'value': 1000 * n_capitals // greatest(word_chars, 1)},
+            {'measure': 'repeats', 'event': 6000, 'size': n_words, 'value': 1000 * n_repeat_words // greatest(n_words, 1)},
+            {'measure': 'dup_lines', 'event': 1000, 'size': n_lines, 'value': 1000 * n_dup_lines // greatest(n_lines, 1)},
+            {'measure': 'length', 'event': 0, 'size': n_words, 'value': 100 * word_chars // greatest(n_words, 1)}], recursive := true)
         FROM based),
     binned AS (
-        SELECT lang, source, measure, least, (value >> greatest(length(bin(value)) - 6, 0)) << greatest(length(bin(value)) - 6, 0) AS bin
+        SELECT lang, source, measure, event, (value >> greatest(length(bin(value)) - 6, 0)) << greatest(length(bin(value)) - 6, 0) AS bin,
+               (size >> greatest(length(bin(size)) - 6, 0)) << greatest(length(bin(size)) - 6, 0) AS size_bin
         FROM long WHERE NOT base_failed),
     levels AS (
-        SELECT 1 AS level, lang, source, measure, least, bin FROM binned UNION ALL
-        SELECT 2, lang, NULL, measure, least, bin FROM binned UNION ALL
-        SELECT 3, NULL, NULL, measure, least, bin FROM binned),
+        SELECT 1 AS level, * FROM binned UNION ALL
+        SELECT 2, * REPLACE (NULL AS source) FROM binned UNION ALL
+        SELECT 3, * REPLACE (NULL AS lang, NULL AS source) FROM binned),
     quartiles AS (
-        SELECT level, lang, source, measure, least, count(*) AS n, quantile_disc(bin, 0.25) AS q1,
-               quantile_disc(bin, 0.5) AS q2, quantile_disc(bin, 0.75) AS q3
-        FROM levels GROUP BY ALL),
+        SELECT level, lang, source, measure, count(*) AS n, quantile_disc(bin, 0.25) AS q1,
+               quantile_disc(bin, 0.5) AS q2, quantile_disc(bin, 0.75) AS q3, event // greatest(quantile_disc(size_bin, 0.5), 1) AS one
+        FROM levels GROUP BY level, lang, source, measure, event),
     cutoffs AS (
-        SELECT level, lang, source, measure, n, q2 + 8 * greatest(q3 - q1, least) AS most,
-               CASE WHEN measure = 'length' THEN q2 - 8 * greatest(q3 - q1, least) END AS low FROM quartiles),
+        SELECT level, lang, source, measure, n, q2 + 8 * greatest(q3 - q1, one) AS most,
+               CASE WHEN measure = 'length' THEN q2 - 8 * greatest(q3 - q1, one) END AS low FROM quartiles),
     weighed AS (
         SELECT a.lang, a.source, a.measure, (a.n * a.most + 10.0::double * (b.n * b.most + 10.0::double * c.most) / (b.n + 10.0::double)) / (a.n + 10.0::double) AS most,
                (a.n * a.low + 10.0::double * (b.n * b.low + 10.0::double * c.low) / (b.n + 10.0::double)) / (a.n + 10.0::double) AS low
