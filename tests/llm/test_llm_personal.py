@@ -1,6 +1,7 @@
 """Personal data against plain regular expressions."""
 
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -74,6 +75,81 @@ def test_trees_add_what_looks_alike_and_leave_the_rest(spark):
     assert all(s == "" for i, s in out.items() if i < 9000)
 
 
+def luhn_number(rng, size=16):
+    body = [rng.randint(0, 9) for _ in range(size - 1)]
+    odd = sum(2 * d - 9 * (d > 4) if i % 2 == 0 else d for i, d in enumerate(reversed(body)))
+    return "".join(map(str, [*body, -odd % 10]))
+
+
+def corpus_with_planted_forms():
+    """Base spans in invented prose, and in documents from 100,000 on forms that the base patterns miss (with
+    the span that is to be found) or figures that are none (None)."""
+    rng = random.Random(23)
+    prose = [" ".join("".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(2, 8))) for _ in range(rng.randint(3, 9))) for _ in range(500)]
+
+    def within(span):
+        return f"{rng.choice(prose)} {span} {rng.choice(prose)}"
+
+    def mail():
+        return f"{rng.choice(prose).split()[0]}.{rng.randint(1, 99)}", f"mail{rng.randint(1, 9)}.example.{rng.choice(['com', 'org'])}"
+
+    def phone():
+        return f"({rng.randint(100, 999)}) 555-{rng.randint(1000, 9999)}"
+
+    rows, hidden = [], {}
+    for i in range(600):
+        rows += [(4 * i, within("@".join(mail()))), (4 * i + 1, within(".".join(str(rng.randint(1, 255)) for _ in range(4)))),
+                 (4 * i + 2, within(luhn_number(rng))), (4 * i + 3, within(f"+1 {phone()}"))]
+    for i in range(400):
+        name, host = mail()
+        card, other = luhn_number(rng), luhn_number(rng)
+        bad = card[:-1] + str((int(card[-1]) + rng.randint(1, 9)) % 10)
+        fours = [card[j:j + 4] for j in range(0, 16, 4)]
+        span, kind = [
+            (f"{name} (at) {host}", "email"), (f"{name}[at]{host.replace('.', '[dot]')}", "email"), (".".join(fours), "card"), ("  ".join(fours), "card"),
+            (f"001 {phone()}", "phone"), (bad, None), (f"{bad} {other[:5]}", None), (f"{rng.randint(1, 99)} @ 12.50", None),
+            (f"2019-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}", None), (" . ".join(str(rng.randint(300, 900)) for _ in range(4)), None)][i % 10]
+        text = within(span)
+        rows.append((100_000 + i, text))
+        at = text.index(span)
+        hidden[100_000 + i] = f"{kind}:{at}:{at + len(span)}" if kind else None
+    return rows, hidden
+
+
+def test_precision_and_recall_of_added_spans_on_planted_forms(spark):
+    rows, hidden = corpus_with_planted_forms()
+    report = personal.personal_report(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()
+    texts = dict(rows)
+    added = {(r.doc_id, s) for r in report for s in set(r.spans.split(",")) - {""} - set(plain_spans(texts[r.doc_id]))}
+    wanted = {(i, s) for i, s in hidden.items() if s}
+    precision, recall = len(added & wanted) / max(len(added), 1), len(added & wanted) / len(wanted)
+    assert precision > 0.95 and recall > 0.8, (precision, recall, sorted(added - wanted)[:5], sorted(wanted - added)[:5])
+
+
+def test_added_spans_follow_from_texts_and_not_from_the_layout(spark):
+    rows, _ = corpus_with_planted_forms()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    one, many = (sorted(map(tuple, personal.personal_report(d).collect())) for d in (df.coalesce(1), df.repartition(7, F.xxhash64("text"))))
+    assert one == many
+
+
+def test_a_card_beside_other_figures_is_proposed_by_itself(spark):
+    text = "x 7536784127813050 4845168114407329 y"
+    found = spark.createDataFrame([(text,)], "t string").select(personal.proposals(F.col("t")).alias("p")).first().p
+    assert sorted((p.kind, p.span.start, p.span.end) for p in found) == [("card", 2, 18), ("card", 2, 35), ("card", 19, 35)]
+
+
+def test_thresholds_equal_trying_each():
+    rng = random.Random(5)
+    for _ in range(50):
+        bins = [{"bin": b, "n": (n := rng.randint(1, 30)), "right": rng.randint(n * b // 100, n)} for b in rng.sample(range(101), 30)]
+        choice = personal.Choice(precision=rng.choice([0.7, 0.9, 0.99]), support=rng.choice([1, 50, 300]))
+        tried = [b / 100 for b in range(50, 101)
+                 if (n := sum(r["n"] for r in bins if r["bin"] >= b)) >= choice.support
+                 and sum(r["right"] for r in bins if r["bin"] >= b) >= choice.precision * n]
+        assert personal.thresholds(bins, choice) == (min(tried) if tried else None)
+
+
 def test_added_spans_do_not_overlap(spark):
     rows = trained(spark) + [(9000, "call (555) 010-9999 or 8.8.8.8 or +1 (555) 010-9999 or me@x.com")]
     spans = personal.personal_spans(spark.createDataFrame([(i, t, "", 0) for i, t in rows], SCHEMA)).where("doc_id = 9000").first()
