@@ -1,5 +1,6 @@
 """Quality rules, the quality classifier and mixing."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -95,6 +96,54 @@ def test_sparse_sites_shrink_to_their_parents(spark):
     assert site[900] < 0.2 < 0.4 < site[902] < 0.6 < 0.8 < site[901]
 
 
+def plain_strength(groups, means):
+    """Moments of a beta-binomial over groups (n, good) around their means."""
+    total, count = sum(n for n, _ in groups), len(groups)
+    spread = sum(n * (good / n - m) ** 2 for (n, good), m in zip(groups, means))
+    chance = sum(m * (1 - m) for m in means) / count
+    between = (spread - (count - 1) * chance) / (total - sum(n * n for n, _ in groups) / total)
+    return min(1e6, max(1.0, chance / between - 1)) if between > 0 else 1e6
+
+
+def test_posteriors_equal_a_plain_version(spark):
+    """Many sparse hosts and paths, one that holds a third of all, sites found elsewhere, repeated and absent labels."""
+    rng = random.Random(17)
+    rows, labels, sites = [], [], []
+    for i in range(900):
+        host = "hot" if i % 3 == 0 else f"h{int(rng.expovariate(0.05))}"
+        good = (hash_of := sum(map(ord, host)) * 7 % 10) / 10 > rng.random()
+        rows.append((i, words(30, i) if good else "$$ # " * 20 + words(10, i), f"/{hash_of % 2}{i % 4}", host, None))
+        labels += [(i, int(good))] * (i % 2 + (i % 10 == 1))
+        if i % 7 == 0:
+            sites.append((i, f"site{i % 5}", None if i % 2 else "/x"))
+    df, given = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id bigint, quality int")
+    found = spark.createDataFrame(sites, "id bigint, host string, path string")
+    got = quality_classifier.quality_report(df, given, sites=found).collect()
+    known, elsewhere = dict(labels), {i: (h, p or "") for i, h, p in sites}
+    base = sum(known.values()) / len(known)
+    own, place = {}, {}
+    for r in got:
+        own[r.doc_id] = known.get(r.doc_id, 1 / (1 + math.exp(-(r.evidence + math.log(base / (1 - base))))))
+        place[r.doc_id] = elsewhere.get(r.doc_id, (rows[r.doc_id][3], rows[r.doc_id][2]))
+        assert (r.host, r.path) == place[r.doc_id]
+    hosts, paths = {}, {}
+    for i, (host, path) in place.items():
+        for sums, key in ((hosts, host), (paths, (host, path))):
+            n, good = sums.get(key, (0, 0.0))
+            sums[key] = (n + 1, good + own[i])
+    mean = sum(own.values()) / len(own)
+    of_host = plain_strength(list(hosts.values()), [mean] * len(hosts))
+    shrunk = {h: (good + of_host * mean) / (n + of_host) for h, (n, good) in hosts.items()}
+    of_path = plain_strength(list(paths.values()), [shrunk[h] for h, _ in paths])
+    for r in got:
+        (hn, hg), (pn, pg), mine = hosts[r.host], paths[r.host, r.path], own[r.doc_id]
+        above = min(1 - 1e-4, max(1e-4, (hg - mine + of_host * mean) / (hn - 1 + of_host)))
+        site = min(1 - 1e-4, max(1e-4, (pg - mine + of_path * above) / (pn - 1 + of_path)))
+        assert abs(r.site - site) < 1e-6
+        assert abs(r.probability - 1 / (1 + math.exp(-(r.evidence + math.log(site / (1 - site)))))) < 1e-6
+    assert 1 < of_host < 1e6 and len(hosts) > 30 and min(n for n, _ in hosts.values()) == 1
+
+
 def test_classifier_without_labels_and_on_edges(spark):
     df = spark.createDataFrame([(1, None, None, None, None), (1, None, None, None, None), (None, "", "en", "a", "x")], SCHEMA)
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id bigint, quality int")

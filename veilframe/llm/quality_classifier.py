@@ -113,18 +113,26 @@ def chance(log_odds: Column) -> Column:
 
 
 def quality_report(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                   path_col: str = "lang", label_id: str = "doc_id", label_col: str = "quality", model: Model = Model()) -> DataFrame:
+                   path_col: str = "lang", label_id: str = "doc_id", label_col: str = "quality", model: Model = Model(),
+                   sites: DataFrame | None = None) -> DataFrame:
     """One row a document: id, host, path, evidence, site (what its host and path give it, itself left
-    out), probability, kept.
+    out), probability, kept. `sites` (id, host, path; an id once) has the host and path of documents found elsewhere;
+    they take the place of the document's own columns, and are joined to its counts, not to its text.
 
-    Null texts count as empty, null hosts and paths as empty names. Labels other than 0 and 1, and null
+    Null texts count as empty, texts of any length are read whole; null hosts and paths count as empty names. Other
+    columns are not looked at, whatever their names. A probability that equals the cut is kept. Labels other than 0 and 1, and null
     ones, count as none; a row with several labels takes the lowest. Without labels of both kinds the
     evidence is zero, and without any the probability is one half and the document kept. Rows that repeat
     an id are judged each. An empty table gives an empty report.
     """
     given = labels.select(F.col(label_id).alias("id"), F.col(label_col).cast("double").alias("label")).where(
         "id IS NOT NULL AND label IN (0.0, 1.0)").groupBy("id").agg(F.min("label").alias("label"))
-    rows = written(with_features(df, id_col, text_col, host_col, path_col).join(given, "id", "left"), "quality_features")
+    rows = with_features(df, id_col, text_col, host_col, path_col).join(given, "id", "left")
+    if sites is not None:
+        found = sites.toDF("id", "host_found", "path_found")
+        rows = rows.join(found, "id", "left").withColumns({
+            c: F.when(F.col("host_found").isNotNull(), F.coalesce(f"{c}_found", F.lit(""))).otherwise(F.col(c)) for c in ("host", "path")})
+    rows = written(rows, "quality_features")
     judged = evidence(rows, model).select("id", "host", "path", "label", "evidence")
     base = rows.agg(F.avg("label")).first()[0]
     base = 0.5 if base is None else min(1 - LEAST_SHARE, max(LEAST_SHARE, float(base)))

@@ -186,8 +186,15 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_quality_classifier")
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The source is the host of a document, and its language the path there."""
-    return quality_classifier.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    """Host and first directory of the page that holds a document, by the number that ends the page's path (of several
+    pages the first); a document without a page has its source as host, and its language as the path there."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
+    number = F.expr(r"try_cast(regexp_extract(path, '/([0-9]+)(\\.html)?/?$', 1) AS bigint)")
+    place = F.struct("page_id", "host", F.regexp_extract("path", "^(/[^/]*)/", 1).alias("path"))
+    sites = pages.where("host <> ''").withColumn("id", number).where("id IS NOT NULL").groupBy("id").agg(
+        F.min(place).alias("p")).select("id", "p.host", "p.path")
+    return quality_classifier.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), sites=sites)
 
 
 @query("op6_chat_format")
