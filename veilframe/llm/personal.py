@@ -41,7 +41,7 @@ OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 # The generators: addresses with a written or spaced "at", and runs of figures in any grouping.
 # A block of figures beside others is proposed by itself as well, as the run around it may be too long for a card.
 WIDE_EMAIL = rf"(?:(?<![{LOCAL}])|\G)[{LOCAL}]++(?:\x20?(?:@|\(at\)|\[at\])\x20?)[A-Za-z0-9-]++(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]++)++"
-WIDE_NUMBER = r"[0-9+(](?=[0-9().\x20/-]{5})(?:[().\x20/-]*+[0-9])++"
+WIDE_NUMBER = r"[0-9+(](?=[0-9().\x20/-]{5})(?:[().\x20/-]{0,8}+[0-9])++"
 BLOCK_NUMBER = r"(?<=[0-9][\x20./-])[0-9]{13,19}(?![0-9])|(?<![0-9])[0-9]{13,19}(?=[\x20./-][0-9])"
 SPACED_IP = r"^0*[0-9]{1,3}(?:\x20?\.\x20?0*[0-9]{1,3}){3}$"
 LEAST_LENGTH = 7
