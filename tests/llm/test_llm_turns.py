@@ -163,6 +163,29 @@ def test_query_equals_the_plain_report(spark, sf_dir):
     assert sorted(map(tuple, got), key=repr) == plain_report(rows) and len(got) > 10
 
 
+def test_rows_of_a_block_in_several_files(spark):
+    rng = random.Random(4)
+    rows = [(c, t, rng.choice(["user", "assistant"]), f"{rng.random()}" + rng.choice([".", ""])) for c in range(9) for t in range(40)]
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "6000"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = sorted(map(tuple, turns.damage_and_repair(spark.createDataFrame(rows, SCHEMA.split(", fault")[0])).collect()), key=repr)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == plain_report(rows)
+
+
+def test_rows_of_a_turn_go_by_their_whole_texts(spark):
+    rng = random.Random(3)
+    rows = [(c, t // 3, rng.choice(["user", "assistant"]), "p" * rng.choice([70, 300]) + rng.choice("abcdefgh") + rng.choice([".", ""]))
+            for c in range(20) for t in range(12)]
+    report = turns.damage_and_repair(spark.createDataFrame(rows, SCHEMA.split(", fault")[0]))
+    assert sorted(map(tuple, report.collect()), key=repr) == plain_report(rows)
+
+
 def test_edits_by_turn(spark):
     rows = [(1, 0, "user", "Hi."), (1, 1, "user", "Are you there?"), (1, 2, "assistant", "Yes."), (1, 2, "assistant", "Yes."), (1, 3, "assistant", " ")]
     done = turns.repaired(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))

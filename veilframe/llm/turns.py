@@ -37,6 +37,7 @@ ENDS = {START: 0, ASSISTANT: 0}
 FOLLOWING = {START: USER, SYSTEM: USER, USER: ASSISTANT, ASSISTANT: USER}
 FAR = 1 << 40
 BLOCK_TURNS = 1024
+RANGE_CHARS = 256
 DONE = ("", "blank", "duplicate", "truncated")  # a turn's first fault, by number
 
 
@@ -182,9 +183,11 @@ def given(df: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col:
                      F.coalesce(F.col(text_col), blank).alias("text")).groupBy("conv", "turn", "role", "text").agg(F.count(F.lit(1)).alias("n"))
     rows = rows.withColumns({"key": F.coalesce(F.col("conv").cast("string"), F.lit("")), "none": F.col("conv").isNull(),
                              "late": F.col("turn").isNotNull(), "digest": F.unhex(F.sha2("text", 256))})
-    order = ["key", "none", "late", "turn", "role", F.substring("text", 1, 64), "digest"]
+    order = ["key", "none", "late", "turn", "role"]
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("late")
+    # Ranges go by the first characters, as whole texts would be sampled; within them the whole text counts.
+    dealt = rows.repartitionByRange(parts, *order, F.substring("text", 1, RANGE_CHARS))
+    rows = dealt.sortWithinPartitions(*order, "text").drop("late")
     rows = written(rows.withColumn("place", F.monotonically_increasing_id()), "turns")
     said = ["key", "none", "role", "digest"]
     plain = F.when(~F.col("text").rlike(NO_SPACE), 1).when(~F.col("text").rlike(rf"[.!?]{SPACE}*\z"), 3).otherwise(0)
@@ -278,7 +281,10 @@ def repaired(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
         exits = long.join(after, BLOCK).groupBy(BLOCK).applyInPandas(block_exits, f"{block}, exits array<long>")
         entries = exits.groupBy("key", "none").applyInPandas(block_entries, f"{block}, entry long")
         single = single.unionByName(after.join(entries, BLOCK))
-    ready = turns.join(written(single, "turns_entries"), BLOCK).sortWithinPartitions(*BLOCK, "place")
+    # The window brings a block's rows into one task. The join does not: its plan may turn, as it runs, into one that
+    # sends the entries to every executor and leaves the rows where they are, also where they are dealt out before.
+    in_block = F.row_number().over(Window.partitionBy(*BLOCK).orderBy("place"))
+    ready = turns.join(written(single, "turns_entries"), BLOCK).withColumn("row", in_block).sortWithinPartitions(*BLOCK, "place")
     schema = T.StructType().add("place", T.LongType()).add("edits", T.ArrayType(
         T.StructType().add("step", T.IntegerType()).add("edit", T.StringType()).add("given", T.StringType())))
     arrow = to_arrow_schema(schema)
