@@ -37,11 +37,14 @@ def codes(df: DataFrame, columns: Sequence[str], bands: Mapping[str, float] | No
 def pair_information(df: DataFrame, coded: Mapping[str, Column]) -> dict[tuple[str, str], float]:
     """The mutual information of each pair of columns, in nats, from the counts of values and pairs.
 
-    One pass counts them all; what comes back is one number for each column and pair."""
+    Equal rows are counted first, and only their counts are spread over the columns and pairs; what comes back
+    is one number for each column and pair."""
     names = sorted(coded)
     sets = [(c,) for c in names] + list(combinations(names, 2))
-    each = [F.struct(F.lit(i).alias("set"), F.array(*[coded[c] for c in s]).alias("values")) for i, s in enumerate(sets)]
-    counts = df.select(F.explode(F.array(*each)).alias("e")).groupBy("e.set", "e.values").agg(F.count(F.lit(1)).alias("n"))
+    at = {c: F.col(f"c{i}") for i, c in enumerate(names)}
+    alike = df.groupBy(*[coded[c].alias(f"c{i}") for i, c in enumerate(names)]).agg(F.count(F.lit(1)).alias("alike"))
+    each = [F.struct(F.lit(i).alias("set"), F.array(*[at[c] for c in s]).alias("values")) for i, s in enumerate(sets)]
+    counts = alike.select("alike", F.explode(F.array(*each)).alias("e")).groupBy("e.set", "e.values").agg(F.sum("alike").alias("n"))
     sums = counts.groupBy("set").agg(F.sum(F.col("n") * F.log("n")).alias("e"), F.sum("n").alias("rows"))
     found = {sets[r["set"]]: (r["e"], r["rows"]) for r in sums.collect()}
     return {
