@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 
 from veilframe import fixed_values
 from veilframe.operators.dictionary import COLUMNS, NAMESPACES, SCHEMA, Namespace, first_seen, numbered_entries, present
-from veilframe.session import files_at, written, written_and_counted
+from veilframe.session import files_at, written
 
 DEEPEST = 12  # bits of the hash that buckets are told by at most
 BUCKET_ROWS = 100_000
+ROWS_PER_TASK = 1_000_000
 TRIES = 20
 KEY = ["namespace", "original"]
 
@@ -42,6 +43,8 @@ class Ledger:
 
     def __init__(self, spark: SparkSession, folder: str, bucket_rows: int = BUCKET_ROWS):
         self.spark, self.folder, self.bucket_rows = spark, folder.rstrip("/"), bucket_rows
+        # Parts never change, so the files of each are listed once.
+        self._listed: dict[str, DataFrame] = {}
 
     # ---- versions ----------------------------------------------------------------------
 
@@ -82,14 +85,18 @@ class Ledger:
         path = f"{self.folder}/parts/{uuid.uuid4().hex}"
         bucketed = entries.select(*COLUMNS, _prefix(depth).alias("bucket"))
         if depth:
-            bucketed = bucketed.repartition(1 << depth, "bucket")
+            # A task writes several buckets, one after the other: there are more of them than tasks are worth.
+            tasks = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+            bucketed = bucketed.repartition(min(1 << depth, tasks), "bucket")
         else:
             bucketed = bucketed.coalesce(1)
         bucketed.sortWithinPartitions("bucket", *KEY).write.partitionBy("bucket").parquet(path)
         return {"path": path.removeprefix(f"{self.folder}/"), "rows": rows, "depth": depth}
 
     def _part(self, part: dict) -> DataFrame:
-        return self.spark.read.schema(f"{SCHEMA}, bucket int").parquet(f"{self.folder}/{part['path']}")
+        if part["path"] not in self._listed:
+            self._listed[part["path"]] = self.spark.read.schema(f"{SCHEMA}, bucket int").parquet(f"{self.folder}/{part['path']}")
+        return self._listed[part["path"]]
 
     def entries(self) -> DataFrame:
         """All entries."""
@@ -124,11 +131,14 @@ class Ledger:
         twice, also where several writers extend the dictionary at a time.
         """
         namespaces = present(df, namespaces)
-        keys, _ = written_and_counted(first_seen(df, order_key, namespaces, placeholder), "batch_keys")
+        keys = written(first_seen(df, order_key, namespaces, placeholder), "batch_keys")
         for _ in range(TRIES):
             state = self.state()
-            known = written(self.near(keys, state).join(keys.select(*KEY), KEY, "left_semi"), "batch_known")
-            fresh, rows = written_and_counted(keys.join(known.select(*KEY), KEY, "left_anti"), "batch_fresh")
+            found = keys.join(self.near(keys, state), KEY, "left")
+            fresh_rows = Observation()
+            found = written(found.observe(fresh_rows, F.count_if(F.col("pseudonym").isNull()).alias("rows")), "batch_found")
+            known, rows = found.where(F.col("pseudonym").isNotNull()).select(*COLUMNS), fresh_rows.get["rows"]
+            fresh = found.where(F.col("pseudonym").isNull()).select(*keys.columns)
             if not rows:
                 return known
             seen = Observation()
