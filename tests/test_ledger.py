@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from veilframe.catalog.keys import _ten_batches
 from veilframe.operators.dictionary import Namespace
 from veilframe.operators.ledger import Ledger
 
@@ -65,6 +66,19 @@ def test_a_second_writer_gives_no_number_twice(spark, tmp_path, monkeypatch, ove
     assert {r.original: r.seq for r in found.where("namespace = 'people'").collect()} == {k: v for k, v in got.items() if int(k[1:]) < 50}
 
 
+def test_a_part_is_listed_once_and_a_batch_read_alone(spark, tmp_path, sf_dir):
+    ledger = Ledger(spark, str(tmp_path / "d"), bucket_rows=1)
+    ledger.extend(batch(spark, 0, 100), "id", SPEC)
+    part = ledger.state()["parts"][0]
+    assert ledger._part(part) is ledger._part(part)
+    batches = _ten_batches(spark, sf_dir, ["order_key"])
+    orders = [r[0] for r in spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey").collect()]
+    for i, df in enumerate(batches):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(_batch" in plan
+        assert sorted(r[0] for r in df.collect()) == sorted(k for k in orders if k * 10 // (max(orders) + 1) == i)
+
+
 def test_an_empty_ledger_and_an_empty_batch(spark, tmp_path):
     ledger = Ledger(spark, str(tmp_path / "d"))
     assert ledger.entries().count() == 0 and ledger.extend(batch(spark, 0, 0), "id", SPEC).count() == 0

@@ -180,17 +180,19 @@ def dict_incremental(spark, sf_dir):
     return load_dictionary(spark, folder)
 
 
-def _ten_batches(df):
-    last = df.agg(F.max("order_key")).first()[0]
-    batch = F.expr(f"order_key * 10 div {last + 1}")
-    return [df.where(batch == i) for i in range(10)]
+def _ten_batches(spark, sf_dir, columns):
+    """The visits in ten batches by their order, stored by batch, so that a batch is read alone."""
+    last = visits(spark, sf_dir, ["order_key"]).agg(F.max("order_key")).first()[0]
+    batch = F.expr(f"order_key * 10 div {last + 1}").alias("_batch")
+    stored = written(visits(spark, sf_dir, columns).select("*", batch), "visits", by="_batch")
+    return [stored.where(F.col("_batch") == i).drop("_batch") for i in range(10)]
 
 
 @query("dict_ledger", DICT_SQL)
 def dict_ledger(spark, sf_dir):
     """Ten batches, each reading the buckets of its keys, against one numbering of the whole."""
     ledger = Ledger(spark, new_path(spark, "ledger"), bucket_rows=2_000)
-    for batch in _ten_batches(loaded_visits(spark, sf_dir, KEYS)):
+    for batch in _ten_batches(spark, sf_dir, KEYS):
         ledger.extend(batch, "order_key")
     return ledger.entries()
 
@@ -310,7 +312,8 @@ LEFT JOIN dict AS r ON r.namespace = 'reason_codes' AND r.original = CAST(v."REA
 
 @query("deidentify_rules_as_published", RULES_AS_PUBLISHED_SQL)
 def rules_as_published(spark, sf_dir):
-    return deidentify_rules(loaded_visits(spark, sf_dir), "order_key", as_published=True).output
+    df = loaded_visits(spark, sf_dir, row_id="_row")
+    return deidentify_rules(df, "order_key", as_published=True, row_key="_row").output.drop("_row")
 
 
 @query("deidentify_incremental", BATCHES_SQL.replace(
@@ -339,7 +342,7 @@ def ledger_job(spark, sf_dir):
     columns = ["order_key", "Id_encounter", "PATIENT", "Id_patient", "ORGANIZATION", "PAYER", "REASONCODE",
                "START", "STOP", "BIRTHDATE", "condition_dates"]
     ledger = Ledger(spark, new_path(spark, "ledger"))
-    done = [deidentify_incremental(batch, "order_key", ledger).output for batch in _ten_batches(loaded_visits(spark, sf_dir, columns))]
+    done = [deidentify_incremental(batch, "order_key", ledger).output for batch in _ten_batches(spark, sf_dir, columns)]
     return reduce(DataFrame.unionByName, done)
 
 
@@ -355,8 +358,8 @@ SELECT (SELECT count(*) FROM visits) AS total_records, CAST(20 AS BIGINT) AS tot
        'Column Deletion, Encounter ID Pseudonymization, Date Generalization, Organization Grouping, '
        || 'Patient Pseudonymization, Payer Mapping, Id_payer Mapping, Reason Code Mapping' AS methods""")
 def summary(spark, sf_dir):
-    done = deidentify_rules(loaded_visits(spark, sf_dir), "order_key")
-    output = written(done.output, "output")  # the result is made once, then reported on
+    done = deidentify_rules(loaded_visits(spark, sf_dir, row_id="_row"), "order_key", row_key="_row")
+    output = written(done.output.drop("_row"), "output")  # the result is made once, then reported on
     report = summary_report(output, done.dictionary, done.removed, done.generalized)
     return report.select(
         "total_records", "total_columns", "mappings_generated.*", "columns_removed",
@@ -377,10 +380,10 @@ def summary_json_sink(spark, sf_dir):
 @query("run_audit", """SELECT 'visits' AS input, 'rules' AS job, '1' AS policy_version,
   (SELECT count(*) FROM orders) AS rows_in, (SELECT count(*) FROM orders) AS rows_out""")
 def audit(spark, sf_dir):
-    df = loaded_visits(spark, sf_dir)
-    done = deidentify_rules(df, "order_key", fill=False)
+    df = loaded_visits(spark, sf_dir, row_id="_row")
+    done = deidentify_rules(df, "order_key", fill=False, row_key="_row")
     rows_in = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return run_audit(rows_in, written(done.output, "output"), {"input": "visits", "job": "rules", "policy_version": "1"})
+    return run_audit(rows_in, written(done.output.drop("_row"), "output"), {"input": "visits", "job": "rules", "policy_version": "1"})
 
 
 @query("run_audit_log", """SELECT 'visits' AS input, batch AS job, '42' AS seed, CAST(finished AS TIMESTAMP) AS finished,
