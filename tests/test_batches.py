@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from veilframe.operators import encode
 from veilframe.operators.column_state import append_state, column_state, load_state, merged_state, scale_state_of, state_report
-from veilframe.operators.comoments import correlations
+from veilframe.operators.comoments import comoments, correlations
 from veilframe.operators.date_formats import format_votes, merged_votes, read_dates, settled_formats
 from veilframe.sources.tables import POSITION, row_count, scan_csv, write_csv
 
@@ -81,6 +81,19 @@ def test_correlations_equal_those_of_pandas(spark, stripe):
     assert all(r.n == 0 and r.correlation is None for r in correlations(df.where("false"), stripe=stripe).collect())
 
 
+def test_correlations_read_the_table_once_for_many_stripes(spark):
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame(pd.DataFrame(rng.normal(size=(50, 7)), columns=list("abcdefg")))
+
+    def readings(found):
+        return found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+
+    once, often = comoments(df, stripe=2), comoments(df, stripe=2, pass_bytes=1)
+    assert readings(once) == 1 and readings(often) == 4
+    told = [sorted((r.a, r.b, r.n, round(r.sxy, 9)) for r in found.collect()) for found in (once, often, comoments(df))]
+    assert told[0] == told[1] == told[2] and len(told[0]) == 21
+
+
 def test_states_of_batches_equal_one_pass(spark, tmp_path):
     df = spark.range(5_000).select("id", (F.col("id") % 700).alias("m"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("t"), F.col("id") % 40)).alias("t"),
                                    (F.col("id") * 0.5 + 1e6).alias("x"), F.lit(None).cast("int").alias("none"))

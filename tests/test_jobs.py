@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from veilframe.catalog.visits import visits
+from veilframe.catalog.visits import loaded_visits, visits
 from veilframe.operators import privacy, utility
 from veilframe.operators.ledger import Ledger
+from veilframe.operators.tree_synth import codes, pair_information
 from veilframe.plans.hybrid import clinical_sample, deidentify_hybrid, run_all
 from veilframe.plans.policy import route_direct
 from veilframe.plans.rules import deidentify_rules
@@ -81,3 +82,26 @@ def test_stream_of_row_treatments(spark, sf_dir, tmp_path):
     assert spark.read.parquet(out).exceptAll(expected).count() == 0
     assert set(expected.columns) == {"order_key", "AGE_RANGE", "start_year", "birth_year"}
     assert expected.where(F.col("start_year").isNull()).count() == 0
+
+
+def test_rows_told_apart_by_a_written_row_id(spark, sf_dir):
+    """Rows that repeat keep their number and their cells; the id is not filled, and written tables are packed."""
+    df = loaded_visits(spark, sf_dir, row_id="_row").where("order_key % 30 = 0")
+    df = df.unionByName(df.withColumn("_row", -1 - df["_row"]))
+    by_id = deidentify_rules(df, "order_key", row_key="_row").output
+    assert dict(by_id.dtypes)["_row"] == "bigint" and by_id.count() == df.count() > 40
+    plain = deidentify_rules(df.drop("_row"), "order_key").output
+    columns = plain.columns
+    assert sorted(map(repr, by_id.select(columns).collect())) == sorted(map(repr, plain.collect()))
+    assert all(f.endswith(".zstd.parquet") for f in loaded_visits(spark, sf_dir, ["order_key"]).inputFiles())
+
+
+def test_equal_rows_are_counted_before_the_pairs(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    plans, collect = [], Classic.collect
+    monkeypatch.setattr(Classic, "collect", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or collect(df))
+    df = spark.range(40).selectExpr("id % 2 AS a", "id % 2 AS b", "id % 3 AS c")
+    found = pair_information(df, codes(df, ["a", "b", "c"]))
+    assert found["a", "b"] == 0.693147 and abs(found["a", "c"]) < 0.01
+    assert "Aggregate" in plans[0].split("Generate explode")[1]

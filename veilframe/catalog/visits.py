@@ -143,10 +143,14 @@ def visits(spark: SparkSession, sf_dir: str, columns: Sequence[str] = COLUMNS) -
     return df.select(*[made[c].alias(c) for c in columns])
 
 
-def loaded_visits(spark: SparkSession, sf_dir: str, columns: Sequence[str] = COLUMNS) -> DataFrame:
+def loaded_visits(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] = COLUMNS, row_id: str | None = None,
+) -> DataFrame:
     """The visits as a written table, for jobs that read their input more than once:
-    the joins that make it are then run once."""
-    return written(visits(spark, sf_dir, columns), "visits")
+    the joins that make it are then run once. `row_id` names a column that tells all rows apart, also
+    those that are the same; it is written with them, so every reader sees the same."""
+    df = visits(spark, sf_dir, columns)
+    return written(df if row_id is None else df.withColumn(row_id, F.monotonically_increasing_id()), "visits")
 
 
 # The same table for DuckDB. Starts a WITH clause.

@@ -36,9 +36,9 @@ def codes_as_text(df: DataFrame, columns: Sequence[str] = CODE_COLUMNS) -> DataF
     return df.select(*[key_text(df, c).alias(c) if c in codes else F.col(f"`{c}`") for c in df.columns])
 
 
-def fill_missing(df: DataFrame, order_key: str, approximate: bool = False) -> DataFrame:
+def fill_missing(df: DataFrame, order_key: str, approximate: bool = False, row_key: str | None = None) -> DataFrame:
     """'Unknown' for text, the column's median for numbers."""
-    numbers = [c for c in number_columns(df) if c != order_key]
+    numbers = [c for c in number_columns(df) if c not in (order_key, row_key)]
     medians = (impute.approx_medians if approximate else impute.exact_medians)(df, numbers)
     return impute.fill_numbers(impute.fill_text(df), numbers, medians)
 
@@ -70,7 +70,7 @@ def deidentify_rules(
     if not as_published:
         df = codes_as_text(df)
     if fill:
-        df = fill_missing(df, order_key, approximate_medians)
+        df = fill_missing(df, order_key, approximate_medians, row_key)
     placeholder = None if as_published else fixed.UNKNOWN
     if ledger is not None:
         dictionary = fresh = ledger.extend(df, order_key, namespaces, placeholder)
