@@ -164,6 +164,26 @@ def test_number_helper(spark):
     assert {r.id: r.k for r in numbered(table, ["id"], "k", (), 9).collect()} == {i: i + 1 for i in range(100)}
 
 
+@pytest.mark.parametrize("rows_per_bucket", [37, 1_000_000])
+@pytest.mark.parametrize("group", [(), ("g",)])
+def test_numbers_equal_a_plain_window_and_shuffle_once(spark, rows_per_bucket, group):
+    table = written(hot_rows(spark), "t")
+    expected = table.withColumn("k", F.row_number().over(Window.partitionBy(*group).orderBy("day", "id")).cast("bigint"))
+    got = numbered(table, ["day", "id"], "k", group, rows_per_bucket)
+    assert rows_of(got) == rows_of(expected)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+
+
+def test_labels_are_padded_and_never_cut(spark):
+    from veilframe.operators.dictionary import Namespace, numbered_entries
+
+    keys = written(spark.range(1200).select(F.lit("n").alias("namespace"), F.col("id").cast("string").alias("original"),
+                                            F.lit(0).alias("place"), F.col("id").alias("first_row")), "t")
+    made = numbered_entries(keys, 1200, {"n": Namespace(("c",), "P_", 3)}, {"n": 5}).collect()
+    assert {r.original: r.pseudonym for r in made} == {str(i): f"P_{i + 6:03d}" for i in range(1200)}
+
+
 def test_trees_keep_pairs_and_replay_no_row(spark):
     """Pair shares stay near the source; a source row of its own kind comes back only by chance."""
     from collections import Counter

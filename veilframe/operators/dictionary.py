@@ -103,13 +103,12 @@ def first_seen(
 
 def _label(namespaces: Mapping[str, Namespace]) -> Column:
     """The pseudonym: prefix and number, padded with zeros but never cut."""
-    label = F.lit(None).cast("string")
+    label, number = F.lit(None).cast("string"), F.col("seq").cast("string")
     for name, spec in namespaces.items():
-        pattern = f"%0{spec.digits}d"
-        here = F.format_string(spec.prefix + pattern, "seq")
+        padded = F.lpad(number, F.greatest(F.lit(spec.digits), F.length(number)), F.lit("0"))
+        here = F.concat(F.lit(spec.prefix), padded)
         if spec.later_prefix:
-            later = F.format_string(spec.later_prefix + pattern, "seq")
-            here = F.when(F.col("place") > 0, later).otherwise(here)
+            here = F.when(F.col("place") > 0, F.concat(F.lit(spec.later_prefix), padded)).otherwise(here)
         label = F.when(F.col("namespace") == name, here).otherwise(label)
     return label
 
@@ -146,8 +145,9 @@ def new_entries(
         keys = keys.join(known.select("namespace", "original"), ["namespace", "original"], "left_anti")
     keys, rows = written_and_counted(keys, "first_seen")
     used = {} if known is None else dict(known.groupBy("namespace").agg(F.max("seq")).collect())  # one per namespace
+    # They lie in ranges of the namespace already: a task that reads some writes few files.
     entries = numbered_entries(keys, rows, namespaces, used, rows_per_bucket)
-    return written(entries.repartition("namespace", F.col("seq") % FILES), "dictionary", by="namespace").select(*COLUMNS)
+    return written(entries, "dictionary", by="namespace").select(*COLUMNS)
 
 
 def build_dictionary(

@@ -14,19 +14,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilframe.session import written
+from veilframe.session import sent_if_small, written, written_and_sized
 
 # A range of this many rows is a small sort for one task.
 ROWS_PER_BUCKET = 1_000_000
 
 
+def _ranges(table: DataFrame, key: Sequence[str], rows: int, rows_per_bucket: int) -> DataFrame:
+    least = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return table.repartitionByRange(max(least, -(-rows // rows_per_bucket)), *key)
+
+
 def dealt_by_range(table: DataFrame, key: Sequence[str], rows: int, rows_per_bucket: int) -> DataFrame:
     """The rows in ranges of the key, written, with the number of the range as `_bucket`.
 
     Written at once: the ranges follow from a sample, and every reader has to see the same.
     """
-    least = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = table.repartitionByRange(max(least, -(-rows // rows_per_bucket)), *key)
+    dealt = _ranges(table, key, rows, rows_per_bucket)
     return written(dealt.withColumn("_bucket", F.spark_partition_id()), "ranges")
 
 
@@ -81,9 +85,30 @@ def numbered(
     rows_per_bucket: int = ROWS_PER_BUCKET,
     rows: int | None = None,
 ) -> DataFrame:
-    """Number the rows of each group 1, 2, 3 … in the given order."""
-    counted = running_before(table, order, {name: F.lit(1)}, group, rows_per_bucket, rows)
-    return counted.withColumn(name, F.col(name) + 1)
+    """Number the rows of each group 1, 2, 3 … in the given order.
+
+    Demands on `table` are those of `running_before`. The ranges are sorted as they are written and
+    each row keeps its place, so the rows are shuffled once; what is added to the places
+    has a row per range and group in it.
+    """
+    rows = table.count() if rows is None else rows
+    key = [*group, *order]
+    # Number of the range above, number of the row in it below.
+    ordered = _ranges(table, key, rows, rows_per_bucket).sortWithinPartitions(*key)
+    placed = written(ordered.withColumn("_at_place", F.monotonically_increasing_id()), "ranges")
+    placed = placed.withColumn("_bucket", F.shiftright("_at_place", 33))
+    firsts = placed.groupBy(*group, "_bucket").agg(F.min("_at_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = firsts.select(
+        *[F.col(g).alias(f"_g_{g}") for g in group], F.col("_bucket").alias("_b"),
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1 - F.col("_first")).alias("_shift"),
+    )
+    shifts, size = written_and_sized(shifts, "range_starts")
+    same = F.col("_bucket") == F.col("_b")
+    for g in group:
+        same = same & (F.col(g) == F.col(f"_g_{g}"))
+    return placed.join(sent_if_small(shifts, size), same).select(
+        *[F.col(f"`{c}`") for c in table.columns], (F.col("_at_place") + F.col("_shift")).alias(name))
 
 
 def following(
