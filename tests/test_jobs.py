@@ -105,3 +105,34 @@ def test_equal_rows_are_counted_before_the_pairs(spark, monkeypatch):
     found = pair_information(df, codes(df, ["a", "b", "c"]))
     assert found["a", "b"] == 0.693147 and abs(found["a", "c"]) < 0.01
     assert "Aggregate" in plans[0].split("Generate explode")[1]
+
+
+def test_digests_and_dates_are_worked_out_once_a_row(spark):
+    from veilframe.functions import hashing
+    from veilframe.functions.dates import DATE_FORMATS, lenient_date
+    from veilframe.operators.columns import add_age_range, hash_identifiers
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().split("LogicalRDD")[0]
+
+    texts = ["", None, "05-03-1960", "1960-03-05", "1960-03-05T01:02:03Z", "1960-03-05t01:02:03z", "+12345-01-02", "31-02-1960", "5-3-1960",
+             "05-03-+12345", "1960-03-05 ", " 05-03-1960", "0-1", "-", "05-03-60", "1960-3-5", "1960-03-05T01:02:03", "1960-03-05T01:02:60Z", "x"]
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "n int, BIRTHDATE string, Id string")
+    plain = F.coalesce(*[F.try_to_timestamp("BIRTHDATE", F.lit(f)).cast("date") for f in DATE_FORMATS])
+    rows = df.select("n", plain.alias("plain"), lenient_date(F.col("BIRTHDATE")).alias("got")).selectExpr("n", "string(plain)", "string(got)").collect()
+    assert all(r.plain == r.got for r in rows) and sum(r.got is not None for r in rows) >= 4
+    aged = add_age_range(df)
+    assert aged.columns == [*df.columns, "AGE_RANGE"] and plan(aged).count("gettimestamp") == len(DATE_FORMATS)
+    for kind, one in (("id", lambda t: hashing.keyed_uuid(t, "s")), ("ssn", lambda t: hashing.hash_ssn(t, "s"))):
+        hashed = hash_identifiers(df, {kind: ["Id"]}, "s")
+        assert plan(hashed).count("sha2(") == 1 and hashed.columns == df.columns
+        expected = df.select("n", "BIRTHDATE", one(F.col("Id")).alias("Id"))
+        assert sorted(map(repr, hashed.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_lines_of_an_order_are_gathered_after_the_shuffle(spark, sf_dir):
+    """Sets of days are built once, not on both sides of the shuffle."""
+    plan = visits(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("\n")
+    sets, shuffle = (next(i for i, line in enumerate(lines) if word in line) for word in ("partial_collect_set", "hashpartitioning(l_orderkey"))
+    assert sets < shuffle and plan.count("hashpartitioning(l_orderkey") == 1

@@ -24,9 +24,22 @@ def first_in_list(text: Column) -> Column:
     return F.trim(F.split_part(text, F.lit(";"), F.lit(1)))
 
 
+# What every text of a format matches. A parse that fails costs many times the look at one character.
+_SIGNS = {
+    "yyyy-MM-dd": lambda text: F.substring(text, -3, 1) == "-",
+    "dd-MM-yyyy": lambda text: F.substring(text, 3, 1) == "-",
+    "yyyy-MM-dd'T'HH:mm:ss'Z'": lambda text: F.substring(text, -4, 1) == ":",
+}
+
+
+def _under_format(text: Column, form: str) -> Column:
+    day = F.try_to_timestamp(text, F.lit(form)).cast("date")
+    return F.when(_SIGNS[form](text), day) if form in _SIGNS else day
+
+
 def lenient_date(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
     """The date under the first format that fits; null where none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats])
+    return F.coalesce(*[_under_format(text, f) for f in formats])
 
 
 def age_at_reference(birth: Column) -> Column:

@@ -25,19 +25,23 @@ def hash_address(text: Column, salt: str | None = None) -> Column:
     return unless_missing(text, F.concat(F.lit(ADDRESS_PREFIX), _md5_tag(text, salt)))
 
 
-def hash_ssn(text: Column, salt: str | None = None) -> Column:
+def salted_digest(text: Column, salt: str | None) -> Column:
+    return F.sha2(text if salt is None else F.concat(F.lit(salt), text), 256)
+
+
+def hash_ssn(text: Column, salt: str | None = None, digest: Column | None = None) -> Column:
     """Nine digits of the hash in the groups of an SSN; salted, 24 digits in three groups of
-    eight, as 36 bits would give the same value to different people in a large table."""
-    salted = text if salt is None else F.concat(F.lit(salt), text)
-    digest = F.sha2(salted, 256)
+    eight, as 36 bits would give the same value to different people in a large table.
+    `digest`: the `salted_digest`, where a column has it already."""
+    digest = salted_digest(text, salt) if digest is None else digest
     parts = ((1, 3), (4, 2), (6, 4)) if salt is None else ((1, 8), (9, 8), (17, 8))
     groups = [F.substring(digest, at, size) for at, size in parts]
     return unless_missing(text, F.concat_ws("-", *groups))
 
 
-def keyed_uuid(text: Column, salt: str) -> Column:
+def keyed_uuid(text: Column, salt: str, digest: Column | None = None) -> Column:
     """A UUID that follows from salt and value, so no dictionary is needed."""
-    digest = F.sha2(F.concat(F.lit(salt), text), 256)
+    digest = salted_digest(text, salt) if digest is None else digest
     groups = [F.substring(digest, at, size) for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return unless_missing(text, F.concat_ws("-", *groups))
 

@@ -44,31 +44,38 @@ def add_age_range(df: DataFrame, birth: str = "BIRTHDATE", name: str = "AGE_RANG
     day = F.col(birth)
     if dict(df.dtypes)[birth] == "string":
         day = dates.lenient_date(day)
-    return df.withColumn(name, dates.age_range(dates.age_at_reference(day)))
+    # The age stands in every band's condition: as a column of its own it is worked out once a row.
+    aged = df.withColumn("_age", dates.age_at_reference(day))
+    return aged.withColumn(name, dates.age_range(F.col("_age"))).drop("_age")
 
 
 def hash_identifiers(df: DataFrame, routed: Mapping[str, Sequence[str]], salt: str | None = None,
                      id_salt: str = "") -> DataFrame:
     """Hash id, name, address and SSN columns; drop the ones routed to 'drop'.
 
-    A column under several kinds is hashed by each, in this order.
+    A column under several kinds is hashed by each, in this order. Ids and SSNs are glued of
+    several parts of a digest, which is a column of its own first: it is worked out once.
     """
     hashes = {
-        "id": lambda text: hashing.keyed_uuid(text, salt or id_salt),
-        "name": lambda text: hashing.hash_name(text, salt),
-        "address": lambda text: hashing.hash_address(text, salt),
-        "ssn": lambda text: hashing.hash_ssn(text, salt),
+        "id": lambda text, digest: hashing.keyed_uuid(text, salt or id_salt, digest),
+        "name": lambda text, digest: hashing.hash_name(text, salt),
+        "address": lambda text, digest: hashing.hash_address(text, salt),
+        "ssn": lambda text, digest: hashing.hash_ssn(text, salt, digest),
     }
-    result = []
-    for column in df.columns:
+    salts = {"id": salt or id_salt, "ssn": salt}
+    digests, result = {}, []
+    for place, column in enumerate(df.columns):
         if column in routed.get("drop", ()):
             continue
         kinds = [k for k in hashes if column in routed.get(k, ())]
-        value = key_text(df, column) if kinds else F.col(f"`{column}`")
+        value, digest = key_text(df, column) if kinds else F.col(f"`{column}`"), None
+        if kinds and kinds[0] in salts:
+            digests[f"_digest_{place}"] = hashing.salted_digest(value, salts[kinds[0]])
+            digest = F.col(f"_digest_{place}")
         for kind in kinds:
-            value = hashes[kind](value)
+            value, digest = hashes[kind](value, digest), None
         result.append(value.alias(column))
-    return df.select(*result)
+    return df.withColumns(digests).select(*result)
 
 
 def condition_target_split(
