@@ -42,9 +42,7 @@ def _from_lines():
             F.col("o_orderkey") % 5 == 0, (100000 + F.col("first_part") % 56).cast("double")
         ),
         "STOP": F.date_format("last_ship", STAMP),
-        "condition_dates": F.array_join(
-            F.transform(F.array_sort("ship_days"), lambda day: day.cast("string")), "; "
-        ),
+        "condition_dates": F.array_join(F.sort_array("ship_days").cast("array<string>"), "; "),
         "CODE": F.col("first_part"),
         "TOTAL_CLAIM_COST": F.col("claim").cast("double") / 10000,
     }
@@ -127,7 +125,9 @@ def visits(spark: SparkSession, sf_dir: str, columns: Sequence[str] = COLUMNS) -
     needs = {LINE_NEEDS[c] for c in columns if c in lines}
     if needs:
         totals = [c.alias(n) for n, c in _line_totals().items() if n in needs]
-        per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*totals)
+        # Lines are dealt out as they are: an order has few, and sets of days built before the
+        # shuffle are sorted and packed twice, to be hardly fewer.
+        per_order = table(spark, sf_dir, "lineitem").repartition("l_orderkey").groupBy("l_orderkey").agg(*totals)
         # Two tables of facts: neither is ever small, and the totals are already
         # partitioned by the order.
         per_order = per_order.hint("merge")
